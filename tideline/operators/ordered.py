@@ -271,8 +271,9 @@ def row_frames(
     copies = (
         tails.withColumn("__tail", F.collect_list(F.struct(*names)).over(by_order))
         .where(F.col("__back") == 1)
-        .select(F.lead(_SLICE).over(by_slice).alias(_SLICE), F.explode("__tail").alias("__row"))
+        .withColumn(_SLICE, F.lead(_SLICE).over(by_slice))
         .where(F.col(_SLICE).isNotNull())
+        .select(_SLICE, F.explode("__tail").alias("__row"))
         .select("__row.*", _SLICE, F.lit(True).alias(_HALO))
     )
     own = cut.frame.drop(_SPLIT).withColumn(_HALO, F.lit(False))

@@ -4,7 +4,7 @@ _K = "CAST(props->>'$.k' AS INTEGER)"
 
 ACTION_EVENT = f"""
 action_event AS (
-  SELECT event_id AS log_id, user_id AS guid, ts, epoch_ms(ts) AS action_time,
+  SELECT event_id AS log_id, user_id AS guid, ts, epoch_us(ts) // 1000 AS action_time,
          event_type AS event_id, CAST(round(value * 100) AS BIGINT) AS action_timelong,
          CASE {_K} % 4 WHEN 0 THEN 'app' WHEN 1 THEN 'wxapp' WHEN 2 THEN 'h5' ELSE 'web' END AS channel,
          'pg' || lpad(CAST({_K} AS VARCHAR), 3, '0') AS page_id
@@ -37,7 +37,7 @@ app_log AS (
     '1' || (user_id % 4) AS osversion,
     CASE WHEN event_id % 103 != 0 THEN 'pg' || lpad(CAST(k AS VARCHAR), 3, '0') END AS page,
     CASE k % 4 WHEN 0 THEN 'app' WHEN 1 THEN 'wxapp' WHEN 2 THEN 'h5' ELSE 'web' END AS releasechannel,
-    '1024*768' AS resolution, 's' || user_id AS sessionid, epoch_ms(ts) AS timestamp
+    '1024*768' AS resolution, 's' || user_id AS sessionid, epoch_us(ts) // 1000 AS timestamp
   FROM raw_log)"""
 
 MEMBERS = """
