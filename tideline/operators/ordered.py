@@ -1,23 +1,26 @@
-"""Ordered scans per key that never hold one key in one task.
+"""Ordered scans per key that never hold one large key in one task.
 
 Running counts, "last value so far", next-row lookups and short row frames all depend on
 the order of rows inside a key. A plain window function sorts a whole key in one task,
-which a key with a third of all rows does not survive. Here a key with more than
-``max_rows`` rows is cut into time slices. The window functions run per (key, slice); what
-a slice needs from the others is a small total per slice, folded in slice order and joined
-back. Keys below the bound have one slice and cost one count more than the plain form.
+which a key with a third of all rows does not survive. So the rows per key are counted
+first. If no key has more than ``max_rows`` rows, plain window functions follow and the
+plan has one shuffle. Otherwise the large keys are cut into time slices: the window
+functions run per (key, slice), and what a slice needs from the others is a small total
+per slice, folded in slice order and joined back.
 
-With no key at all the whole table is one ordered sequence and is sliced the same way.
+With no key at all the whole table is one ordered sequence and is treated the same way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tideline.session import stored
+
 MAX_ROWS = 2_000_000
 
 _SLICE, _SPLIT, _HALO = "__slice", "__split", "__halo"
@@ -38,6 +41,7 @@ class Running:
     fold: Callable[[Column], Column]
     merge: Callable[[Column, Column], Column]
     forward: bool = False
+    alone: Callable[[Column], Column] = lambda local: local
 
 
 def _up_to(window: WindowSpec, inclusive: bool) -> WindowSpec:
@@ -51,6 +55,7 @@ def running_sum(name: str, value: Column, inclusive: bool = True) -> Running:
         lambda order: F.sum(value),
         F.sum,
         lambda local, carry: F.coalesce(local, F.lit(0)) + F.coalesce(carry, F.lit(0)),
+        alone=lambda local: F.coalesce(local, F.lit(0)),
     )
 
 
@@ -109,15 +114,16 @@ def next_value(name: str, value: Column) -> Running:
 
 @dataclass(frozen=True)
 class Ordered:
-    """Rows cut into (key, slice) groups, ready for ordered expressions."""
+    """Rows ready for ordered expressions; large keys are cut into slices if there are any."""
 
     frame: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    helpers: tuple[str, ...] = field(default=(_SLICE, _SPLIT))
+    sliced: bool
+    scanned: bool = False
 
-    def _window(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys, _SLICE).orderBy(*self.order)
+    def _group(self) -> list[str]:
+        return [*self.keys, _SLICE] if self.sliced else list(self.keys)
 
     def scan(self, *running: Running, since: DataFrame | None = None) -> "Ordered":
         """Add one column per expression.
@@ -125,45 +131,60 @@ class Ordered:
         ``since`` holds, per key, the totals reached before these rows (see ``totals``);
         the micro-batches of a stream hand it on from one to the next.
         """
-        group = [*self.keys, _SLICE]
-        position = F.struct(*self.order)
+        group, frame = self._group(), self.frame
+        carry: dict[str, Column] = {}
+        helpers: list[str] = []
+        if self.sliced:
+            # Rows feed both the totals and the result, so an earlier scan is not run twice.
+            frame = stored(frame) if self.scanned else frame
+            frame = join_null_safe(frame, self._carried(frame, running), group)
+            carry = {r.name: F.col(f"__c_{r.name}") for r in running}
+            helpers += [f"__c_{r.name}" for r in running]
+        earlier = [r for r in running if not r.forward] if since is not None else []
+        if earlier and self.keys:
+            reached = since.select(*self.keys, *[F.col(r.name).alias(f"__s_{r.name}") for r in earlier])
+            frame = join_null_safe(frame, reached, list(self.keys))
+        elif earlier:
+            frame = frame.withColumns({f"__s_{r.name}": since.select(r.name).scalar() for r in earlier})
+        for r in earlier:
+            reached = F.col(f"__s_{r.name}")
+            carry[r.name] = r.merge(carry[r.name], reached) if r.name in carry else reached
+            helpers.append(f"__s_{r.name}")
+        window = Window.partitionBy(*group).orderBy(*self.order)
+        columns = {}
+        for r in running:
+            local = r.local(window)
+            columns[r.name] = r.merge(local, carry[r.name]) if r.name in carry else r.alone(local)
+        return replace(self, frame=frame.withColumns(columns).drop(*helpers), scanned=True)
+
+    def _carried(self, frame: DataFrame, running: tuple[Running, ...]) -> DataFrame:
+        """Per slice of a large key, the folded totals of the slices before (or after) it."""
+        group, position = self._group(), F.struct(*self.order)
         totals = (
-            self.frame.where(F.col(_SPLIT))
+            frame.where(F.col(_SPLIT))
             .groupBy(*group)
             .agg(*[r.total(position).alias(r.name) for r in running])
         )
         by_slice = Window.partitionBy(*self.keys).orderBy(_SLICE)
         before, after = by_slice.rowsBetween(_FIRST, -1), by_slice.rowsBetween(1, _LAST)
-        carried = totals.select(
+        return totals.select(
             *group,
             *[
                 r.fold(F.col(r.name)).over(after if r.forward else before).alias(f"__c_{r.name}")
                 for r in running
             ],
         )
-        joined = join_null_safe(self.frame, carried, group)
-        carry = {r.name: F.col(f"__c_{r.name}") for r in running}
-        earlier = [r for r in running if not r.forward] if since is not None else []
-        extra = [f"__s_{r.name}" for r in earlier]
-        if earlier and self.keys:
-            reached = since.select(*self.keys, *[F.col(r.name).alias(f"__s_{r.name}") for r in earlier])
-            joined = join_null_safe(joined, reached, list(self.keys))
-        elif earlier:
-            joined = joined.withColumns(
-                {f"__s_{r.name}": since.select(r.name).scalar() for r in earlier}
-            )
-        for r in earlier:
-            carry[r.name] = r.merge(carry[r.name], F.col(f"__s_{r.name}"))
-        window = self._window()
-        out = joined.withColumns({r.name: r.merge(r.local(window), carry[r.name]) for r in running})
-        out = out.drop(*[f"__c_{r.name}" for r in running], *extra)
-        return Ordered(out, self.keys, self.order, self.helpers)
 
-    def with_columns(self, columns: dict[str, Column]) -> "Ordered":
-        return Ordered(self.frame.withColumns(columns), self.keys, self.order, self.helpers)
+    def by(self, *keys: str) -> "Ordered":
+        """The same rows under finer or coarser keys; the slices of the first keys serve both."""
+        return replace(self, keys=keys)
+
+    def transform(self, change: Callable[[DataFrame], DataFrame]) -> "Ordered":
+        """Change the rows; ``change`` must keep columns it does not know."""
+        return replace(self, frame=change(self.frame))
 
     def rows(self) -> DataFrame:
-        return self.frame.drop(*self.helpers)
+        return self.frame.drop(_SLICE, _SPLIT)
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -176,44 +197,56 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFr
     return left.join(renamed, condition, "left").drop(*[f"__r_{k}" for k in keys])
 
 
+def _facts(time: Column) -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("__n"), F.min(time).alias("__low"), F.max(time).alias("__high"),
+    ]
+
+
+def _width(max_rows: int) -> Column:
+    span = F.col("__high") - F.col("__low") + 1
+    return F.ceil(span / F.ceil(F.col("__n") / F.lit(max_rows)))
+
+
+def large_keys(
+    frame: DataFrame, keys: list[str], time: str, max_rows: int, least_width: int = 1
+) -> DataFrame | None:
+    """Keys with more than ``max_rows`` rows and their slice width, or None if there are none.
+
+    At most (all rows / max_rows) keys qualify.
+    """
+    large = (
+        frame.groupBy(*keys)
+        .agg(*_facts(F.col(time)))
+        .where(F.col("__n") > max_rows)
+        .select(*keys, "__low", F.greatest(_width(max_rows), F.lit(least_width)).alias("__width"))
+    )
+    return None if large.isEmpty() else large
+
+
 def ordered(
     frame: DataFrame, keys: list[str], order: list[str], max_rows: int = MAX_ROWS
 ) -> Ordered:
-    """Cut ``frame`` for ordered work per key.
+    """Prepare ``frame`` for ordered work per key.
 
     ``order`` starts with a BIGINT time and ends with a unique id, so the order is total.
     """
     time = F.col(order[0])
-    facts = [
-        F.count(F.lit(1)).alias("__n"),
-        F.min(time).alias("__low"),
-        F.max(time).alias("__high"),
-    ]
-    width = F.ceil((F.col("__high") - F.col("__low") + 1) / F.ceil(F.col("__n") / F.lit(max_rows)))
     if keys:
-        # At most (all rows / max_rows) keys qualify, so AQE can send this side to all tasks.
-        large = (
-            frame.groupBy(*keys)
-            .agg(*facts)
-            .where(F.col("__n") > max_rows)
-            .select(*keys, "__low", width.alias("__width"))
-        )
-        sliced = join_null_safe(frame, large, keys)
-        position = F.floor((F.coalesce(time, F.col("__low")) - F.col("__low")) / F.col("__width"))
-        sliced = sliced.withColumns(
-            {
-                _SLICE: F.coalesce(position.cast("long"), F.lit(0).cast("long")),
-                _SPLIT: F.col("__width").isNotNull(),
-            }
-        ).drop("__low", "__width")
+        large = large_keys(frame, keys, order[0], max_rows)
+        if large is None:
+            return Ordered(frame, tuple(keys), tuple(order), sliced=False)
+        joined = join_null_safe(frame, large, keys)
+        low, width, split = F.col("__low"), F.col("__width"), F.col("__width").isNotNull()
     else:
-        one = frame.agg(*facts).select("__low", width.alias("__width"))
-        low, step = one.select("__low").scalar(), one.select("__width").scalar()
-        position = F.floor((F.coalesce(time, low) - low) / step)
-        sliced = frame.withColumns(
-            {_SLICE: F.coalesce(position.cast("long"), F.lit(0).cast("long")), _SPLIT: F.lit(True)}
-        )
-    return Ordered(sliced, tuple(keys), tuple(order))
+        one = frame.agg(*_facts(time)).select("__n", "__low", _width(max_rows).alias("__width")).first()
+        if one["__n"] <= max_rows:
+            return Ordered(frame, (), tuple(order), sliced=False)
+        joined = frame
+        low, width, split = F.lit(one["__low"]), F.lit(one["__width"]), F.lit(True)
+    slice_no = F.floor((F.coalesce(time, low) - low) / width).cast("long")
+    cut = joined.withColumns({_SLICE: F.coalesce(slice_no, F.lit(0).cast("long")), _SPLIT: split})
+    return Ordered(cut.drop("__low", "__width"), tuple(keys), tuple(order), sliced=True)
 
 
 def totals(
@@ -259,7 +292,9 @@ def row_frames(
     and are dropped afterwards.
     """
     cut = ordered(frame, keys, order, max_rows)
-    names = frame.columns
+    window = Window.partitionBy(*cut._group()).orderBy(*order).rowsBetween(-preceding, _CURRENT)
+    if not cut.sliced:
+        return frame.withColumns(columns(window))
     newest_first = Window.partitionBy(*keys, _SLICE).orderBy(*[F.col(c).desc() for c in order])
     tails = (
         cut.frame.where(F.col(_SPLIT))
@@ -269,7 +304,7 @@ def row_frames(
     by_order = Window.partitionBy(*keys).orderBy(_SLICE, *order).rowsBetween(-(preceding - 1), 0)
     by_slice = Window.partitionBy(*keys).orderBy(_SLICE)
     copies = (
-        tails.withColumn("__tail", F.collect_list(F.struct(*names)).over(by_order))
+        tails.withColumn("__tail", F.collect_list(F.struct(*frame.columns)).over(by_order))
         .where(F.col("__back") == 1)
         .withColumn(_SLICE, F.lead(_SLICE).over(by_slice))
         .where(F.col(_SLICE).isNotNull())
@@ -277,9 +312,6 @@ def row_frames(
         .select("__row.*", _SLICE, F.lit(True).alias(_HALO))
     )
     own = cut.frame.drop(_SPLIT).withColumn(_HALO, F.lit(False))
-    window = (
-        Window.partitionBy(*keys, _SLICE).orderBy(*order).rowsBetween(-preceding, Window.currentRow)
-    )
     framed = own.unionByName(copies).withColumns(columns(window))
     return framed.where(~F.col(_HALO)).drop(_SLICE, _HALO)
 
@@ -297,29 +329,23 @@ def range_frames(
     A slice is at least ``span`` wide, so a row is copied to at most one further slice.
     """
     time = F.col(order[0])
-    facts = frame.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(time).alias("__low"), F.max(time).alias("__high")
-    )
-    width = F.greatest(
-        F.ceil((F.col("__high") - F.col("__low") + 1) / F.ceil(F.col("__n") / F.lit(max_rows))),
-        F.lit(span).cast("long") + 1,
-    )
-    large = facts.where(F.col("__n") > max_rows).select(*keys, "__low", width.alias("__width"))
-    with_width = join_null_safe(frame, large, keys)
+    large = large_keys(frame, keys, order[0], max_rows, span + 1)
+    group = list(keys) if large is None else [*keys, _SLICE]
+    window = Window.partitionBy(*group).orderBy(order[0]).rangeBetween(-span, _CURRENT)
+    if large is None:
+        return frame.withColumns(columns(window))
     first = F.floor((time - F.col("__low")) / F.col("__width")).cast("long")
     reach = F.floor((time + F.lit(span) - F.col("__low")) / F.col("__width")).cast("long")
     slices = F.when(F.col("__width").isNull(), F.array(F.lit(0).cast("long"))).otherwise(
         F.sequence(first, reach)
     )
     copied = (
-        with_width.withColumn("__slices", slices)
+        join_null_safe(frame, large, keys)
+        .withColumn("__slices", slices)
         .drop("__low", "__width")
         .withColumn(_SLICE, F.explode("__slices"))
         .withColumn(_HALO, F.col(_SLICE) != F.col("__slices")[0])
         .drop("__slices")
     )
-    window = (
-        Window.partitionBy(*keys, _SLICE).orderBy(order[0]).rangeBetween(-span, Window.currentRow)
-    )
     framed = copied.withColumns(columns(window))
     return framed.where(~F.col(_HALO)).drop(_SLICE, _HALO)

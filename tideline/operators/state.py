@@ -24,7 +24,7 @@ def counter_with_expiry(
         previous_value("__prev", time), running_count("__at")
     )
     fresh = F.col("__prev").isNull() | (time - F.col("__prev") >= ttl)
-    counted = placed.with_columns({"__start": F.when(fresh, F.col("__at"))}).scan(
+    counted = placed.transform(lambda f: f.withColumn("__start", F.when(fresh, F.col("__at")))).scan(
         running_last("__from", F.col("__start"))
     )
     count = F.col("__at") - F.col("__from") + 1
@@ -51,9 +51,9 @@ def sequence_within(
         {"__first": F.when(first, time), "__then": then, "__trigger": trigger}
     )
     seen = ordered(marked, keys, order, max_rows).scan(running_last("__open", F.col("__first"), inclusive=False))
-    done = seen.with_columns({"__done": F.when(F.col("__then"), F.col("__open"))}).scan(
-        running_last("__matched", F.col("__done"), inclusive=False)
-    )
+    done = seen.transform(
+        lambda f: f.withColumn("__done", F.when(F.col("__then"), F.col("__open")))
+    ).scan(running_last("__matched", F.col("__done"), inclusive=False))
     return done.rows().where(F.col("__trigger") & (F.col("__matched") > time - ttl)).drop(
         "__first", "__then", "__trigger", "__open", "__done", "__matched"
     )

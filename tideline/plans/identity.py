@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.timing import not_blank
 from tideline.operators.ordered import MAX_ROWS, ordered, running_count, running_min
+from tideline.session import stored
 
 # Fixed value: temporary ids start above this number.
 TEMP_ID_BASE = 100_000_000
@@ -33,14 +34,31 @@ def _registered(logs: DataFrame, members: DataFrame) -> DataFrame:
     return logs.join(known, account == known["__account"], "left")
 
 
-def _weighted(rows: DataFrame, max_rows: int) -> DataFrame:
-    """Adds ``__n_all`` (N) and, per account, ``__n`` (n) and ``__n_first`` (N0)."""
-    on_device = ordered(rows, ["deviceid"], ORDER, max_rows).scan(
-        running_count("__n_all", F.col("__account").isNotNull())
-    ).rows()
-    return ordered(on_device, ["deviceid", "__account"], ORDER, max_rows).scan(
-        running_count("__n"), running_min("__n_first", F.col("__n_all"))
-    ).rows()
+def _best_bound(logs: DataFrame, members: DataFrame, max_rows: int) -> DataFrame:
+    """Adds N as ``__n_all`` and, as ``__best``, the strongest account up to the row."""
+    device = ordered(logs, ["deviceid"], ORDER, max_rows).transform(lambda f: _registered(f, members))
+    weighted = (
+        device.scan(running_count("__n_all", F.col("__account").isNotNull()))
+        .by("deviceid", "__account")
+        .scan(running_count("__n"), running_min("__n_first", F.col("__n_all")))
+        .by("deviceid")
+    )
+    score = 2 * F.col("__n") + F.col("__n_first") - 1
+    # Equal scores go to the account that sorts first.
+    candidate = F.when(
+        F.col("__account").isNotNull(),
+        F.struct(
+            (-score).alias("minus_score"),
+            F.col("__account").alias("account"),
+            F.col("__member").alias("member"),
+            F.col("__registered").alias("registered"),
+        ),
+    )
+    return (
+        weighted.transform(lambda f: f.withColumn("__candidate", candidate))
+        .scan(running_min("__best", F.col("__candidate")))
+        .rows()
+    )
 
 
 def device_bindings(logs: DataFrame, members: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
@@ -88,28 +106,13 @@ def map_identity(
 
     A device that once fell back to a temporary id keeps it for its anonymous rows.
     """
-    weighted = _weighted(_registered(logs, members), max_rows)
-    score = 2 * F.col("__n") + F.col("__n_first") - 1
-    candidate = F.when(
-        F.col("__account").isNotNull(),
-        F.struct(
-            (-score).alias("minus_score"),
-            F.col("__account").alias("account"),
-            F.col("__member").alias("member"),
-            F.col("__registered").alias("registered"),
-        ),
-    )
-    best = (
-        ordered(weighted.withColumn("__candidate", candidate), ["deviceid"], ORDER, max_rows)
-        .scan(running_min("__best", F.col("__candidate")))
-        .rows()
-    )
+    best = _best_bound(logs, members, max_rows)
     anonymous = F.col("__account").isNull()
     bound = -F.col("__best.minus_score") - F.col("__n_all") > 0
     unresolved = anonymous & ~F.coalesce(bound, F.lit(False))
-    rows = best.withColumn("__unresolved", unresolved)
-    fallback = (
-        rows.where("__unresolved")
+    # One short row per device, needed for the numbering and again for the result.
+    fallback = stored(
+        best.where(unresolved)
         .groupBy("deviceid")
         .agg(F.min(F.struct(*ORDER)).alias("__since"))
         .withColumn("first_time", F.col("__since.timestamp"))
@@ -127,7 +130,7 @@ def map_identity(
         temp = temp.join(earlier, "deviceid", "left")
     else:
         temp = temp.withColumn("__known", F.lit(False))
-    joined = rows.join(temp, "deviceid", "left")
+    joined = best.join(temp, "deviceid", "left")
     on_temp = anonymous & (
         F.coalesce(F.col("__known"), F.lit(False))
         | F.coalesce(F.col("__since") <= F.struct(*ORDER), F.lit(False))

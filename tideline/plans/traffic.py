@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.timing import day_of
-from tideline.operators.ordered import MAX_ROWS, Ordered, next_value, ordered, previous_value, running_last
+from tideline.operators.ordered import MAX_ROWS, next_value, ordered, previous_value, running_last
 from tideline.operators.ranking import top_n
 from tideline.operators.windows import cumulate
 
@@ -63,54 +63,60 @@ def visit_rows(detail: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     rows = ordered(detail, ["guid"], ORDER, max_rows).scan(
         *first_row_state(), next_value("__next", F.col("timestamp"))
     )
-    return rows.with_columns({"__starts": starts_visit()}).scan(*visit_state()).rows()
-
-
-def _traffic(rows: DataFrame, event: Column, ts: Column, page: str, load: str) -> DataFrame:
-    return rows.select(
-        "guid",
-        "log_id",
-        F.col("__start.sessionid").alias("sessionid"),
-        F.col("__start.split_session_id").alias("split_session_id"),
-        event.alias("event_id"),
-        ts.alias("ts"),
-        F.col(page).alias("page_id"),
-        F.col(load).alias("page_load_time"),
-        *[F.col(f"__start.{c}").alias(c) for c in DIMENSIONS],
-    )
+    return rows.transform(lambda f: f.withColumn("__starts", starts_visit())).scan(*visit_state()).rows()
 
 
-def split_sessions(visits: DataFrame) -> DataFrame:
-    """One traffic row per log row, plus one that closes the old page at each page load."""
-    own = F.struct(
-        F.col("eventid").alias("event"), F.col("__page").alias("page"), F.col("__load").alias("load")
-    )
-    left = F.struct(
-        F.lit(PAGE_LEFT).alias("event"),
-        F.col("__page_before").alias("page"),
-        F.col("__load_before").alias("load"),
+def _entry(event: Column, ts: Column, page: str, load: str) -> Column:
+    return F.struct(
+        event.alias("event_id"), ts.alias("ts"), F.col(page).alias("page_id"), F.col(load).alias("page_load_time"),
     )
+
+
+def _own_entries() -> Column:
+    """The row itself, after one that closes the old page if it loads a new one."""
+    time = F.col("timestamp")
+    own = _entry(F.col("eventid"), time, "__page", "__load")
+    left = _entry(F.lit(PAGE_LEFT), time, "__page_before", "__load_before")
     loads = (F.col("eventid") == PAGE_LOAD) & ~F.col("__starts")
-    rows = visits.withColumn("__row", F.explode(F.when(loads, F.array(left, own)).otherwise(F.array(own))))
-    return _traffic(rows, F.col("__row.event"), F.col("timestamp"), "__row.page", "__row.load")
+    return F.when(loads, F.array(left, own)).otherwise(F.array(own))
 
 
-def heartbeats(visits: DataFrame, every: int, at_most: int) -> DataFrame:
-    """Rows each ``every`` ms of silence until the next row, for at most ``at_most`` ms.
+def _beat_entries(every: int, at_most: int) -> Column:
+    """A row each ``every`` ms until the user's next row, for at most ``at_most`` ms.
 
     None follow a row that puts the app in the background or closes it.
     """
     first = F.col("timestamp") + F.lit(every)
     last = F.least(F.col("__next") - 1, F.col("timestamp") + F.lit(at_most))
-    active = visits.where(~F.col("eventid").isin(ENDS) & (first <= last))
-    beats = active.withColumn("__beat", F.explode(F.sequence(first, last, F.lit(every).cast("long"))))
-    return _traffic(beats, F.lit(HEARTBEAT), F.col("__beat"), "__page", "__load")
+    silent = ~F.col("eventid").isin(ENDS) & (first <= last)
+    times = F.when(silent, F.sequence(first, last, F.lit(every).cast("long"))).otherwise(
+        F.array().cast("array<bigint>")
+    )
+    return F.transform(times, lambda t: _entry(F.lit(HEARTBEAT), t, "__page", "__load"))
+
+
+def _traffic(visits: DataFrame, entries: Column) -> DataFrame:
+    rows = visits.select(
+        "guid", "log_id", "__start.sessionid", "__start.split_session_id",
+        *[F.col(f"__start.{c}").alias(c) for c in DIMENSIONS],
+        F.explode(entries).alias("__entry"),
+    )
+    return rows.select("*", "__entry.*").select(*TRAFFIC_COLUMNS)
+
+
+def split_sessions(visits: DataFrame) -> DataFrame:
+    """One traffic row per log row, plus one that closes the old page at each page load."""
+    return _traffic(visits, _own_entries())
+
+
+def heartbeats(visits: DataFrame, every: int, at_most: int) -> DataFrame:
+    """Only the rows that fill silent stretches."""
+    return _traffic(visits, _beat_entries(every, at_most))
 
 
 def traffic(detail: DataFrame, every: int, at_most: int, max_rows: int = MAX_ROWS) -> DataFrame:
-    """All traffic rows: log rows, page closings and heartbeats."""
-    visits = visit_rows(detail, max_rows)
-    return split_sessions(visits).unionByName(heartbeats(visits, every, at_most))
+    """All traffic rows: log rows, page closings and heartbeats, from one pass over the visits."""
+    return _traffic(visit_rows(detail, max_rows), F.concat(_own_entries(), _beat_entries(every, at_most)))
 
 
 def session_summary(rows: DataFrame) -> DataFrame:

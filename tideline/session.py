@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "tideline", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,3 +41,10 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tideline-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(frame: DataFrame) -> DataFrame:
+    """The frame written to the shared folder and read back: its lineage ends there."""
+    path = scratch_folder(frame.sparkSession, "stored")
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
