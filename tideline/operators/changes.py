@@ -6,31 +6,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.operators.joins import newest_per_key
-from tideline.operators.ordered import MAX_ROWS, ordered, running_sum
+from tideline.operators.ordered import OrderedJob, Stage, running_count, running_sum
 
 
-def running_total_changes(
-    frame: DataFrame, keys: list[str], order: list[str], value: Column, name: str, max_rows: int = MAX_ROWS
-) -> DataFrame:
-    """What a per-key running total tells its reader row by row.
+def running_total_changes(keys: list[str], order: list[str], value: str, name: str) -> OrderedJob:
+    """What a per-key running total of a BIGINT column tells its reader row by row.
 
     The first row of a key is ``+I``; each later one withdraws the old total (``-U``) and
     states the new one (``+U``).
     """
-    amount = frame.withColumn("__v", value)
-    scanned = ordered(amount, keys, order, max_rows).scan(
-        running_sum("__new", F.col("__v")),
-        running_sum("__rows", F.lit(1).cast("long")),
-    )
 
     def change(op: str, total: Column) -> Column:
         return F.struct(F.lit(op).alias("op"), total.alias(name))
 
-    old = F.col("__new") - F.col("__v")
-    changes = F.when(F.col("__rows") == 1, F.array(change("+I", F.col("__new")))).otherwise(
-        F.array(change("-U", old), change("+U", F.col("__new")))
-    )
-    return scanned.rows().select(*keys, *order, F.explode(changes).alias("__c")).select(*keys, *order, "__c.*")
+    def spread(frame: DataFrame) -> DataFrame:
+        new, old = F.col("__new"), F.col("__new") - F.col(value)
+        changes = F.when(F.col("__rows") == 1, F.array(change("+I", new))).otherwise(
+            F.array(change("-U", old), change("+U", new))
+        )
+        spread_out = frame.select(*keys, *order, F.explode(changes).alias("__c"))
+        return spread_out.select(*keys, *order, "__c.*")
+
+    running = Stage(lambda: [running_sum("__new", F.col(value)), running_count("__rows")])
+    return OrderedJob(keys, order, [running], spread)
 
 
 def snapshot_changes(old: DataFrame, new: DataFrame, keys: list[str], values: list[str]) -> DataFrame:

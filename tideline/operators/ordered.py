@@ -278,6 +278,30 @@ def totals(
     )
 
 
+@dataclass(frozen=True)
+class Stage:
+    """Columns derived from the stages before, then ordered expressions over them."""
+
+    running: Callable[[], list[Running]]
+    prepare: Callable[[DataFrame], DataFrame] = lambda frame: frame
+
+
+@dataclass(frozen=True)
+class OrderedJob:
+    """Ordered work per key that runs over a whole table or, with carried state, over a stream."""
+
+    keys: list[str]
+    order: list[str]
+    stages: list[Stage]
+    finish: Callable[[DataFrame], DataFrame]
+
+    def over(self, frame: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+        cut = ordered(frame, self.keys, self.order, max_rows)
+        for stage in self.stages:
+            cut = cut.transform(stage.prepare).scan(*stage.running())
+        return self.finish(cut.rows())
+
+
 def row_frames(
     frame: DataFrame,
     keys: list[str],

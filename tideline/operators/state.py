@@ -1,62 +1,71 @@
-"""Per-key state expressed as ordered scans: counters with expiry, patterns, timers."""
+"""Per-key state expressed as ordered jobs: counters with expiry, patterns, timers.
+
+Each job runs over a whole table (``job.over(frame)``) and, but for the one that looks
+ahead, over a stream (``tideline.streaming.carry``).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline.functions.timing import bucket
 from tideline.operators.ordered import (
     MAX_ROWS,
+    OrderedJob,
+    Stage,
     next_value,
     ordered,
     previous_value,
     running_count,
     running_last,
+    running_max,
 )
 
 
-def counter_with_expiry(
-    frame: DataFrame, keys: list[str], order: list[str], ttl: int, name: str, max_rows: int = MAX_ROWS
-) -> DataFrame:
+def counter_with_expiry(keys: list[str], order: list[str], ttl: int, name: str) -> OrderedJob:
     """Running count that starts again when ``ttl`` passed since the key's last row."""
-    time = F.col(order[0])
-    placed = ordered(frame, keys, order, max_rows).scan(
-        previous_value("__prev", time), running_count("__at")
-    )
-    fresh = F.col("__prev").isNull() | (time - F.col("__prev") >= ttl)
-    counted = placed.transform(lambda f: f.withColumn("__start", F.when(fresh, F.col("__at")))).scan(
-        running_last("__from", F.col("__start"))
+
+    def starts(frame: DataFrame) -> DataFrame:
+        time, previous = F.col(order[0]), F.col("__prev")
+        fresh = previous.isNull() | (time - previous >= ttl)
+        return frame.withColumn("__start", F.when(fresh, F.col("__at")))
+
+    return OrderedJob(
+        keys,
+        order,
+        [
+            Stage(lambda: [previous_value("__prev", F.col(order[0])), running_count("__at")]),
+            Stage(lambda: [running_last("__from", F.col("__start"))], starts),
+        ],
+        lambda frame: frame.withColumn(name, F.col("__at") - F.col("__from") + 1).drop(
+            "__prev", "__at", "__start", "__from"
+        ),
     )
-    count = F.col("__at") - F.col("__from") + 1
-    return counted.rows().withColumn(name, count).drop("__prev", "__at", "__start", "__from")
 
 
 def sequence_within(
-    frame: DataFrame,
-    keys: list[str],
-    order: list[str],
-    first: Column,
-    then: Column,
-    trigger: Column,
-    ttl: int,
-    max_rows: int = MAX_ROWS,
-) -> DataFrame:
-    """Trigger rows before which ``first`` and, after it, ``then`` occurred, all within ``ttl``.
+    keys: list[str], order: list[str], kind: str, first: str, then: str, trigger: str, ttl: int
+) -> OrderedJob:
+    """``trigger`` rows before which ``first`` and, after it, ``then`` occurred, all within ``ttl``.
 
     The newest ``then`` row has the newest possible ``first`` before it, so it decides alone;
     no pairs are formed.
     """
-    time = F.col(order[0])
-    marked = frame.withColumns(
-        {"__first": F.when(first, time), "__then": then, "__trigger": trigger}
-    )
-    seen = ordered(marked, keys, order, max_rows).scan(running_last("__open", F.col("__first"), inclusive=False))
-    done = seen.transform(
-        lambda f: f.withColumn("__done", F.when(F.col("__then"), F.col("__open")))
-    ).scan(running_last("__matched", F.col("__done"), inclusive=False))
-    return done.rows().where(F.col("__trigger") & (F.col("__matched") > time - ttl)).drop(
-        "__first", "__then", "__trigger", "__open", "__done", "__matched"
-    )
+
+    def opened() -> list:
+        time = F.when(F.col(kind) == first, F.col(order[0]))
+        return [running_last("__open", time, inclusive=False)]
+
+    def matched() -> list:
+        done = F.when(F.col(kind) == then, F.col("__open"))
+        return [running_last("__matched", done, inclusive=False)]
+
+    def hits(frame: DataFrame) -> DataFrame:
+        alive = F.col("__matched") > F.col(order[0]) - ttl
+        return frame.where((F.col(kind) == trigger) & alive).drop("__open", "__matched")
+
+    return OrderedJob(keys, order, [Stage(opened), Stage(matched)], hits)
 
 
 def delayed_alerts(frame: DataFrame, keys: list[str], time: str, condition: Column, delay: int) -> DataFrame:
@@ -81,36 +90,32 @@ def silence_alerts(
     return watched.rows().where(silent).select(*keys, *order, due.alias("alert_time"))
 
 
-def mark_first_seen(
-    frame: DataFrame, keys: list[str], order: list[str], name: str, max_rows: int = MAX_ROWS
-) -> DataFrame:
+def mark_first_seen(keys: list[str], order: list[str], name: str) -> OrderedJob:
     """1 on the first row of each key, 0 on the others; exact, unlike a Bloom filter."""
-    counted = ordered(frame, keys, order, max_rows).scan(running_count("__at")).rows()
-    return counted.withColumn(name, (F.col("__at") == 1).cast("int")).drop("__at")
+    return OrderedJob(
+        keys,
+        order,
+        [Stage(lambda: [running_count("__at")])],
+        lambda frame: frame.withColumn(name, (F.col("__at") == 1).cast("int")).drop("__at"),
+    )
 
 
 def lateness(
-    frame: DataFrame,
-    arrival: list[str],
-    time: str,
-    window: int,
-    disorder: int,
-    allowed: int,
-    name: str = "lateness",
-    max_rows: int = MAX_ROWS,
-) -> DataFrame:
+    arrival: list[str], time: str, window: int, disorder: int, allowed: int, name: str = "lateness"
+) -> OrderedJob:
     """How each row meets its window, replayed in arrival order.
 
-    The watermark before a row is the largest event time so far less ``disorder``. A row is
+    The watermark at a row is the largest event time so far less ``disorder``. A row is
     ``on_time`` while its window is open, ``refire`` within ``allowed`` after that and
-    ``late`` afterwards.
+    ``late`` afterwards. The row's own time cannot close its own window.
     """
-    from tideline.functions.timing import bucket
-    from tideline.operators.ordered import running_max
-
-    # The row's own time cannot close its own window, so the inclusive maximum serves.
-    seen = ordered(frame, [], arrival, max_rows).scan(running_max("__max", F.col(time))).rows()
-    end = (bucket(F.col(time), window) + 1) * F.lit(window)
-    mark = F.col("__max") - F.lit(disorder)
-    judged = F.when(end > mark, "on_time").when(end + F.lit(allowed) > mark, "refire").otherwise("late")
-    return seen.withColumn(name, judged).drop("__max")
+
+    def judge(frame: DataFrame) -> DataFrame:
+        end = (bucket(F.col(time), window) + 1) * F.lit(window)
+        mark = F.col("__max") - F.lit(disorder)
+        judged = (
+            F.when(end > mark, "on_time").when(end + F.lit(allowed) > mark, "refire").otherwise("late")
+        )
+        return frame.withColumn(name, judged).drop("__max")
+
+    return OrderedJob([], arrival, [Stage(lambda: [running_max("__max", F.col(time))])], judge)

@@ -6,7 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.timing import day_of
-from tideline.operators.ordered import MAX_ROWS, next_value, ordered, previous_value, running_last
+from tideline.operators.ordered import (
+    MAX_ROWS,
+    OrderedJob,
+    Stage,
+    next_value,
+    ordered,
+    previous_value,
+    running_last,
+)
 from tideline.operators.ranking import top_n
 from tideline.operators.windows import cumulate
 
@@ -46,12 +54,12 @@ def visit_state() -> list:
     ]
 
 
-def first_row_state() -> list:
+def previous_row() -> list:
     return [previous_value("__prev", F.col("timestamp"))]
 
 
-def starts_visit() -> Column:
-    return F.col("eventid").isin(STARTS) | F.col("__prev").isNull()
+def with_starts(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("__starts", F.col("eventid").isin(STARTS) | F.col("__prev").isNull())
 
 
 def visit_rows(detail: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
@@ -61,9 +69,9 @@ def visit_rows(detail: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     those of its first row. A page load sets the page, also when it is the first row.
     """
     rows = ordered(detail, ["guid"], ORDER, max_rows).scan(
-        *first_row_state(), next_value("__next", F.col("timestamp"))
+        *previous_row(), next_value("__next", F.col("timestamp"))
     )
-    return rows.transform(lambda f: f.withColumn("__starts", starts_visit())).scan(*visit_state()).rows()
+    return rows.transform(with_starts).scan(*visit_state()).rows()
 
 
 def _entry(event: Column, ts: Column, page: str, load: str) -> Column:
@@ -109,6 +117,13 @@ def split_sessions(visits: DataFrame) -> DataFrame:
     return _traffic(visits, _own_entries())
 
 
+def session_job() -> OrderedJob:
+    """Session splitting as an ordered job, for streams."""
+    return OrderedJob(
+        ["guid"], ORDER, [Stage(previous_row), Stage(visit_state, with_starts)], split_sessions
+    )
+
+
 def heartbeats(visits: DataFrame, every: int, at_most: int) -> DataFrame:
     """Only the rows that fill silent stretches."""
     return _traffic(visits, _beat_entries(every, at_most))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -248,6 +250,11 @@ def connect_comap(spark, folder):
 # Per-key state
 
 
+def pattern_job():
+    job = S.sequence_within(["guid"], ORDER, "event_id", "view", "click", "purchase", DAY)
+    return replace(job, finish=lambda rows: job.finish(rows).select("log_id", "guid"))
+
+
 @query(
     "st_pattern_ttl",
     action_sql(f"""
@@ -259,10 +266,8 @@ def connect_comap(spark, folder):
 )
 def st_pattern_ttl(spark, folder):
     """Purchases after a view and then a click, all within a day."""
-    event = F.col("event_id")
     rows = actions(spark, folder).select("guid", *ORDER, "event_id")
-    hits = S.sequence_within(rows, ["guid"], ORDER, event == "view", event == "click", event == "purchase", DAY)
-    return hits.select("log_id", "guid")
+    return pattern_job().over(rows)
 
 
 @query(
@@ -276,7 +281,7 @@ def st_pattern_ttl(spark, folder):
 def st_value_ttl(spark, folder):
     """Rows of a user since the last three silent hours."""
     rows = actions(spark, folder).select("guid", *ORDER)
-    return S.counter_with_expiry(rows, ["guid"], ORDER, 3 * HOUR, "cnt").select("log_id", "cnt")
+    return S.counter_with_expiry(["guid"], ORDER, 3 * HOUR, "cnt").over(rows).select("log_id", "cnt")
 
 
 @query(
@@ -310,7 +315,7 @@ def st_timer_cancel(spark, folder):
 def st_first_seen(spark, folder):
     """Whether a row is its user's first."""
     rows = actions(spark, folder).select("guid", *ORDER)
-    return S.mark_first_seen(rows, ["guid"], ORDER, "is_first").select("log_id", "is_first")
+    return S.mark_first_seen(["guid"], ORDER, "is_first").over(rows).select("log_id", "is_first")
 
 
 _LATENESS = f"""
@@ -321,10 +326,18 @@ judged AS (SELECT *, CASE WHEN window_end > mark THEN 'on_time' WHEN window_end
   FROM replayed)"""
 
 
-def _judged(spark, folder):
+def arrived(rows):
+    """Rows with an arrival time up to six hours after the event."""
     arrival = F.col("action_time") + F.col("guid") % 7 * HOUR
-    rows = actions(spark, folder).select("guid", *ORDER, "channel", arrival.alias("arrival"))
-    return S.lateness(rows, ["arrival", "log_id"], "action_time", HOUR, HOUR, 2 * HOUR)
+    return rows.select("guid", *ORDER, "channel", arrival.alias("arrival"))
+
+
+def lateness_job():
+    return S.lateness(["arrival", "log_id"], "action_time", HOUR, HOUR, 2 * HOUR)
+
+
+def _judged(spark, folder):
+    return lateness_job().over(arrived(actions(spark, folder)))
 
 
 @query(
@@ -368,8 +381,8 @@ def late_allowed(spark, folder):
 )
 def out_changelog_rows(spark, folder):
     """The running count per user as inserts and updates, row by row."""
-    rows = actions(spark, folder).select("guid", *ORDER)
-    return C.running_total_changes(rows, ["guid"], ORDER, F.lit(1).cast("long"), "cnt")
+    rows = actions(spark, folder).select("guid", *ORDER, F.lit(1).cast("long").alias("one"))
+    return C.running_total_changes(["guid"], ORDER, "one", "cnt").over(rows)
 
 
 @query(
