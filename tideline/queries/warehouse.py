@@ -229,7 +229,11 @@ visits AS (SELECT *, CAST(substr(sessionid, 2) AS BIGINT) AS guid,
 
 
 def visits(spark, folder):
-    gated = logs(spark, folder).where(D.passes_gate())
+    return visits_of(logs(spark, folder))
+
+
+def visits_of(rows):
+    gated = rows.where(D.passes_gate())
     user = F.substring("sessionid", 2, 20).cast("long")
     return gated.select(
         "log_id", "sessionid", "eventid", "timestamp", "properties", "devicetype", "releasechannel",
