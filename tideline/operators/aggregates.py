@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline.operators.ordered import MAX_ROWS, ordered, running_count
+
 
 def word_count(frame: DataFrame, column: str, pattern: str = r"\s+") -> DataFrame:
     words = frame.select(F.explode(F.split(F.col(column), pattern)).alias("word"))
@@ -37,19 +39,26 @@ def sum_keeping_row(
 
 
 def concat_in_order(
-    frame: DataFrame, keys: list[str], text: str, order: list[str], part: Column, separator: str
+    frame: DataFrame,
+    keys: list[str],
+    text: str,
+    order: list[str],
+    rows_per_part: int,
+    separator: str,
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
-    """Join strings per key in order, one result per (key, part).
+    """Join strings per key in order, ``rows_per_part`` rows to a result.
 
     A key's whole text has no bound, so it comes in numbered parts; read in part order they
-    are the text of the key. ``part`` is any non-decreasing function of the order, such as
-    a day or an hour number.
+    are the text of the key.
     """
+    placed = ordered(frame, keys, order, max_rows).scan(running_count("__at")).rows()
+    part = F.floor((F.col("__at") - 1) / F.lit(rows_per_part)).cast("long")
     entry = F.struct(*order, F.col(text).alias("__text"))
     joined = F.array_join(
         F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["__text"]), separator
     )
-    return frame.groupBy(*keys, part.alias("part")).agg(joined.alias("joined"))
+    return placed.groupBy(*keys, part.alias("part")).agg(joined.alias("joined"))
 
 
 def distinct_by_bitmap(frame: DataFrame, keys: list[str], number: str, name: str) -> DataFrame:

@@ -6,7 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.timing import bucket, local_time
-from tideline.operators.ordered import MAX_ROWS, ordered, running_count
+from tideline.operators.ordered import (
+    MAX_ROWS,
+    OrderedJob,
+    Stage,
+    ordered,
+    previous_value,
+    running_count,
+)
 
 
 def window_bounds(window: str = "window") -> list[Column]:
@@ -75,14 +82,14 @@ def cumulate(
     size: int,
     step: int,
     keys: list[str],
-    distinct: dict[str, str] | None = None,
+    distinct: tuple[str, str] | None = None,
     sums: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Windows that share a start and grow by ``step`` up to ``size``.
 
     Rows are not copied to every end. An item counts in the step where the window first
     sees it and a sum in its own step; running sums over the steps give every end. A key
-    has a row for each end from its first data on.
+    has a row for each end from its first data on. ``distinct`` is (result name, item).
     """
     steps_per_window = size // step
     number = bucket(time, step)
@@ -92,22 +99,18 @@ def cumulate(
             "__step": F.pmod(number, F.lit(steps_per_window)).cast("int"),
         }
     )
-    distinct, sums = distinct or {}, sums or {}
-    parts = []
-    if sums:
-        parts.append(
-            base.groupBy("__win", "__step", *keys).agg(*[F.sum(v).alias(n) for n, v in sums.items()])
-        )
-    for name, item in distinct.items():
-        first = base.groupBy("__win", *keys, item).agg(F.min("__step").alias("__step"))
-        parts.append(first.groupBy("__win", "__step", *keys).agg(F.count(item).alias(name)))
-    names = [*distinct, *sums]
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part, allowMissingColumns=True)
-    per_step = merged.groupBy("__win", "__step", *keys).agg(
-        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]
-    )
+    names = list(sums or {})
+    totals = [F.sum(value).alias(name) for name, value in (sums or {}).items()]
+    if distinct:
+        name, item = distinct
+        # At most one row per step and item is left before the first step is looked for.
+        per_item = base.groupBy("__win", *keys, item, "__step").agg(F.count(F.lit(1)).alias("__n"), *totals)
+        steps_of_item = Window.partitionBy("__win", *keys, item).orderBy("__step")
+        fresh = (F.row_number().over(steps_of_item) == 1) & F.col(item).isNotNull()
+        base = per_item.withColumn(name, fresh.cast("long"))
+        names.insert(0, name)
+        totals = [F.sum(n).alias(n) for n in names]
+    per_step = base.groupBy("__win", "__step", *keys).agg(*totals)
     by_step = Window.partitionBy("__win", *keys).orderBy("__step")
     up_to_here = by_step.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = per_step.select(
@@ -200,11 +203,39 @@ def marker_windows(
     )
 
 
-def session_windows(frame: DataFrame, time: str, gap: str, keys: list[str], *aggregates: Column) -> DataFrame:
-    """Windows that grow while rows follow within ``gap`` and merge when they meet."""
-    grouped = frame.groupBy(F.session_window(time, gap), *keys).agg(*aggregates)
+def session_windows(
+    frame: DataFrame,
+    keys: list[str],
+    order: list[str],
+    gap: int,
+    *aggregates: Column,
+    max_rows: int = MAX_ROWS,
+) -> DataFrame:
+    """Windows that grow while a key's rows follow within less than ``gap`` ms.
+
+    Sessions are numbered by an ordered scan and then grouped, so a large key is not
+    merged in one task.
+    """
+    time = F.col(order[0])
+
+    def with_start(rows: DataFrame) -> DataFrame:
+        opens = F.col("__prev").isNull() | (time - F.col("__prev") >= gap)
+        return rows.withColumn("__opens", opens)
+
+    numbering = OrderedJob(
+        keys,
+        order,
+        [
+            Stage(lambda: [previous_value("__prev", time)]),
+            Stage(lambda: [running_count("__no", F.col("__opens"))], with_start),
+        ],
+        lambda rows: rows,
+    )
+    grouped = numbering.over(frame, max_rows).groupBy(*keys, "__no").agg(
+        F.min(time).alias("__first"), F.max(time).alias("__last"), *aggregates
+    )
     return grouped.select(
-        F.col("session_window.start").alias("window_start"),
-        F.col("session_window.end").alias("window_end"),
-        *[c for c in grouped.columns if c != "session_window"],
+        local_time(F.col("__first")).alias("window_start"),
+        local_time(F.col("__last") + F.lit(gap)).alias("window_end"),
+        *[c for c in grouped.columns if c not in ("__no", "__first", "__last")],
     )

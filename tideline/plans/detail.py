@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.timing import day_of, not_blank, same_day
 from tideline.operators.ordered import MAX_ROWS
-from tideline.plans.geo import enrich_area, with_geohash
+from tideline.plans.geo import enrich_area, located
 from tideline.plans.identity import map_identity
 
 # Fixed value: times at or below this are not epoch milliseconds.
@@ -49,6 +49,6 @@ def build_detail(
     """The whole cleaning job; ``area_missing`` marks rows for the unknown-position output."""
     gated = logs.where(passes_gate()).withColumn("props_json", F.to_json("properties"))
     mapped = map_identity(gated, members, known_ids, max_rows)
-    enriched = enrich_area(with_geohash(with_new_flag(mapped, as_of)), dictionary)
+    enriched = enrich_area(located(with_new_flag(mapped, as_of)), dictionary)
     dated = enriched.withColumn("dw_date", F.date_format(day_of(F.col("timestamp")), "yyyy-MM-dd"))
     return dated.select("log_id", *DETAIL_COLUMNS, "properties", "area_missing")

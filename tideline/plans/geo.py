@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions.geohash import geohash
+from tideline.functions.geohash import possible_position, with_geohash
 
 # Fixed value: the name given to an area that cannot be found.
 UNKNOWN = "未知"
@@ -47,23 +47,24 @@ def area_paths(areas: DataFrame) -> DataFrame:
 
 def geo_dictionary(areas: DataFrame) -> DataFrame:
     """One area per geohash, the last written one."""
-    hashed = area_paths(areas).withColumn("geohash", geohash(F.col("lat"), F.col("lng"), HASH_LENGTH))
+    hashed = with_geohash(area_paths(areas), "lat", "lng", "geohash", HASH_LENGTH)
     last = F.max_by(F.struct("province", "city", "region"), F.struct("part", "source_id"))
     return hashed.groupBy("geohash").agg(last.alias("area")).select("geohash", "area.*")
 
 
-def with_geohash(logs: DataFrame) -> DataFrame:
-    return logs.withColumn("geohash", geohash(F.col("latitude"), F.col("longitude"), HASH_LENGTH))
+def located(logs: DataFrame) -> DataFrame:
+    return with_geohash(logs, "latitude", "longitude", "geohash", HASH_LENGTH)
 
 
 def enrich_area(logs: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Area names by geohash; a miss is named unknown and flagged in ``area_missing``."""
     found = dictionary.withColumn("__found", F.lit(True))
     joined = logs.join(found, "geohash", "left")
-    missing = F.col("__found").isNull() & (F.col("geohash") != "")
+    # Tested on the position, not the geohash, so that a filter on it stays cheap in the scan.
+    missing = F.col("__found").isNull() & possible_position(F.col("latitude"), F.col("longitude"))
     return joined.withColumns(
         {
-            "area_missing": missing,
+            "area_missing": F.coalesce(missing, F.lit(False)),
             **{c: F.coalesce(F.col(c), F.lit(UNKNOWN)) for c in ("province", "city", "region")},
         }
     ).drop("__found")

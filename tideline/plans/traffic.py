@@ -193,7 +193,7 @@ def cumulative_report(sessions: DataFrame, size: int, step: int) -> DataFrame:
         size,
         step,
         ["set_no", *DIMENSIONS],
-        {"uv": "guid"},
+        ("uv", "guid"),
         {"pv": F.col("session_pv"), "total_time": F.col("session_time"), "session_cnt": F.lit(1)},
     )
 

@@ -331,15 +331,13 @@ def agg_reduce_sum(spark, folder):
 
 @query(
     "agg_reduce_concat",
-    action_sql(f"""SELECT guid, action_time // {DAY} AS part, string_agg(event_id, '|' ORDER BY action_time, log_id) AS joined
-                   FROM action_event GROUP BY ALL"""),
+    action_sql("""WITH placed AS (SELECT *, row_number() OVER (PARTITION BY guid ORDER BY action_time, log_id) AS pos FROM action_event)
+                  SELECT guid, (pos - 1) // 20 AS part, string_agg(event_id, '|' ORDER BY pos) AS joined FROM placed GROUP BY ALL"""),
 )
 def agg_reduce_concat(spark, folder):
-    """Event names of each user in order, one part per day."""
-    return A.concat_in_order(
-        actions(spark, folder), ["guid"], "event_id", ["action_time", "log_id"],
-        bucket(F.col("action_time"), DAY), "|",
-    )
+    """Event names of each user in order, twenty to a part."""
+    rows = actions(spark, folder).select("guid", "event_id", "action_time", "log_id")
+    return A.concat_in_order(rows, ["guid"], "event_id", ["action_time", "log_id"], 20, "|")
 
 
 @query(

@@ -133,7 +133,8 @@ def win_hop_stream(spark, folder):
 @query("win_session_stream", f"SELECT * FROM ({ORACLES['win_session_merge']}) WHERE window_end <= (SELECT max(ts) FROM events)")
 def win_session_stream(spark, folder):
     """Activity sessions that have ended."""
-    rows = with_event_time(actions(spark, folder), "ts", "0 seconds")
+    moment = F.timestamp_millis("action_time")
+    rows = with_event_time(actions(spark, folder).withColumn("moment", moment), "moment", "0 seconds")
     return appended(spark, O.sessions(rows, "rt", "2 hours", ["guid"], *_counts()), "sessions")
 
 

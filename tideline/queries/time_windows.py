@@ -59,7 +59,7 @@ _CUMULATE = f"""
 def win_cumulate(spark, folder):
     """Hour by hour, the users and views of the day so far per channel."""
     return W.cumulate(
-        actions(spark, folder), F.col(TIME), DAY, HOUR, ["channel"], {"uv": "guid"}, {"pv": F.lit(1)}
+        actions(spark, folder), F.col(TIME), DAY, HOUR, ["channel"], ("uv", "guid"), {"pv": F.lit(1)}
     )
 
 
@@ -169,15 +169,17 @@ def win_incremental_avg(spark, folder):
 @query(
     "win_session_merge",
     action_sql(f"""
-    WITH gaps AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY guid ORDER BY ts, log_id) < INTERVAL 2 HOUR THEN 0 ELSE 1 END AS starts
-                  FROM action_event),
-         islands AS (SELECT *, sum(starts) OVER (PARTITION BY guid ORDER BY ts, log_id) AS no FROM gaps)
-    SELECT guid, min(ts) AS window_start, max(ts) + INTERVAL 2 HOUR AS window_end, count(*) AS cnt,
+    WITH gaps AS (SELECT *, CASE WHEN action_time - lag(action_time) OVER w < {2 * HOUR} THEN 0 ELSE 1 END AS starts
+                  FROM action_event WINDOW w AS (PARTITION BY guid ORDER BY action_time, log_id)),
+         islands AS (SELECT *, sum(starts) OVER (PARTITION BY guid ORDER BY action_time, log_id) AS no FROM gaps)
+    SELECT guid, make_timestamp(min(action_time) * 1000) AS window_start,
+           make_timestamp((max(action_time) + {2 * HOUR}) * 1000) AS window_end, count(*) AS cnt,
            CAST(sum(action_timelong) AS BIGINT) AS total FROM islands GROUP BY guid, no"""),
 )
 def win_session_merge(spark, folder):
     """Activity sessions of a user, ended by two silent hours."""
+    rows = actions(spark, folder).select("guid", "action_time", "log_id", "action_timelong")
     return W.session_windows(
-        actions(spark, folder), "ts", "2 hours", ["guid"],
+        rows, ["guid"], ["action_time", "log_id"], 2 * HOUR,
         F.count(F.lit(1)).alias("cnt"), F.sum("action_timelong").alias("total"),
     )

@@ -25,11 +25,11 @@ app_log AS (
     CASE user_id % 4 WHEN 0 THEN 'phone-a' WHEN 1 THEN 'phone-b' WHEN 2 THEN 'pad-a' ELSE 'pad-b' END AS devicetype,
     CASE WHEN event_id % 101 = 0 THEN '' WHEN event_type = 'signup' THEN 'applaunch'
          WHEN event_type = 'view' THEN 'pageload' WHEN event_type = 'click' THEN 'click'
-         WHEN event_type = 'purchase' THEN 'addcart' WHEN k % 3 = 0 THEN 'putback'
-         WHEN k % 3 = 1 THEN 'wakeup' ELSE 'appclose' END AS eventid,
+         WHEN event_type = 'purchase' THEN 'addcart' WHEN event_id // 7 % 3 = 0 THEN 'putback'
+         WHEN event_id // 7 % 3 = 1 THEN 'wakeup' ELSE 'appclose' END AS eventid,
     '10.0.' || (user_id % 256) || '.' || k AS ip,
     CASE WHEN event_id % 50 = 7 THEN CAST(95 AS DOUBLE)
-         WHEN event_id % 4 = 0 THEN CAST(-30 AS DOUBLE) - (k % 10)
+         WHEN event_id % 4 = 0 THEN CAST(-30 AS DOUBLE) - (user_id % 10)
          ELSE CAST(20 AS DOUBLE) + CAST(user_id * 37 % 3000 AS DOUBLE) / 100 END AS latitude,
     CAST(80 AS DOUBLE) + CAST(user_id * 53 % 4500 AS DOUBLE) / 100 AS longitude,
     CASE k % 2 WHEN 0 THEN 'WIFI' ELSE '5G' END AS nettype,

@@ -75,7 +75,7 @@ def set_union_all(spark, folder):
 @query("dw_geohash", with_views(f"SELECT log_id, {geohash5('latitude', 'longitude')} AS geohash FROM app_log", APP_LOG))
 def dw_geohash(spark, folder):
     """Geohash of every log row's position."""
-    return G.with_geohash(logs(spark, folder)).select("log_id", "geohash")
+    return G.located(logs(spark, folder)).select("log_id", "geohash")
 
 
 @query("dw_geo_dict", with_views("SELECT * FROM geo_dict", AREAS, GEO_PATHS, GEO_DICT))
@@ -99,7 +99,7 @@ enriched AS (SELECT h.log_id, h.geohash, h.latitude, h.longitude, coalesce(d.pro
 def dw_area_enrich(spark, folder):
     """Log rows with area names, unknown where the dictionary has none."""
     dictionary = G.geo_dictionary(areas(spark, folder))
-    enriched = G.enrich_area(G.with_geohash(logs(spark, folder)), dictionary)
+    enriched = G.enrich_area(G.located(logs(spark, folder)), dictionary)
     return enriched.select("log_id", "geohash", "province", "city", "region", "area_missing")
 
 
@@ -110,7 +110,7 @@ def dw_area_enrich(spark, folder):
 def dw_unknown_gps(spark, folder):
     """Positions the dictionary does not know."""
     dictionary = G.geo_dictionary(areas(spark, folder))
-    return G.unknown_positions(G.enrich_area(G.with_geohash(logs(spark, folder)), dictionary))
+    return G.unknown_positions(G.enrich_area(G.located(logs(spark, folder)), dictionary))
 
 
 # Identity. The check restates the rule row by row: the weight of an account at a row is its

@@ -19,8 +19,9 @@ MODELS = ["phone-a", "phone-b", "pad-a", "pad-b"]
 LEVEL_BASE = 1_000_000_000_000
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+def _with_k(events: DataFrame) -> DataFrame:
+    """Adds the number held by the JSON text, as a column of its own so it is parsed once."""
+    return events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
 
 
 def _pick(names: list[str], index: Column) -> Column:
@@ -41,29 +42,30 @@ def longitude(key: Column) -> Column:
 
 def action_event(events: DataFrame) -> DataFrame:
     """User actions: who, when, what, how long (hundredths of a second), which channel."""
-    return events.select(
+    return _with_k(events).select(
         F.col("event_id").alias("log_id"),
         F.col("user_id").alias("guid"),
         F.col("ts"),
         epoch_millis(F.col("ts")).alias("action_time"),
         F.col("event_type").alias("event_id"),
         F.round(F.col("value") * 100).cast("long").alias("action_timelong"),
-        _pick(CHANNELS, _k() % 4).alias("channel"),
-        _padded("pg", _k(), 3).alias("page_id"),
+        _pick(CHANNELS, F.col("k") % 4).alias("channel"),
+        _padded("pg", F.col("k"), 3).alias("page_id"),
     )
 
 
 def app_log(events: DataFrame) -> DataFrame:
     """Raw application log lines, with the gaps and faults the cleaning job has to handle."""
-    user, log, k, kind = F.col("user_id"), F.col("event_id"), _k(), F.col("event_type")
+    user, log, k, kind = F.col("user_id"), F.col("event_id"), F.col("k"), F.col("event_type")
+    turn = F.floor(log / 7) % 3
     action = (
         F.when(log % 101 == 0, "")
         .when(kind == "signup", "applaunch")
         .when(kind == "view", "pageload")
         .when(kind == "click", "click")
         .when(kind == "purchase", "addcart")
-        .when(k % 3 == 0, "putback")
-        .when(k % 3 == 1, "wakeup")
+        .when(turn == 0, "putback")
+        .when(turn == 1, "wakeup")
         .otherwise("appclose")
     )
     account = (
@@ -76,8 +78,8 @@ def app_log(events: DataFrame) -> DataFrame:
         .when(user % 5 == 0, _padded("solo", user, 6))
         .otherwise(_padded("dev", F.floor(user / 3).cast("long"), 6))
     )
-    lat = F.when(log % 50 == 7, 95.0).when(log % 4 == 0, F.lit(-30.0) - (k % 10)).otherwise(latitude(user))
-    return events.select(
+    lat = F.when(log % 50 == 7, 95.0).when(log % 4 == 0, F.lit(-30.0) - (user % 10)).otherwise(latitude(user))
+    return _with_k(events).select(
         log.alias("log_id"),
         account.alias("account"),
         F.lit("tide.shop").alias("appid"),

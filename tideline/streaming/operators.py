@@ -86,22 +86,17 @@ def new_keys(frame: DataFrame, keys: list[str]) -> DataFrame:
 def change_feed(keys: list[str], values: list[str], state: str, results: str):
     """``foreachBatch`` work that turns updated results into ``+I``, ``-U`` and ``+U`` rows.
 
-    The state before each batch is read for the batch's keys only from the folders that
-    earlier batches left.
+    ``state`` holds the result table after each batch, from which the next one starts.
     """
-    from tideline.operators.joins import newest_per_key
 
     def work(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         batch.persist()
-        if number:
-            earlier = spark.read.parquet(*[f"{state}/batch={i}" for i in range(number)])
-            touched = earlier.join(batch.select(*keys), keys, "left_semi")
-            old = newest_per_key(touched, keys, ["version"]).select(*keys, *values)
-        else:
-            old = batch.where(F.lit(False)).select(*keys, *values)
-        append_batch(snapshot_changes(old, batch.select(*keys, *values), keys, values), results, number)
-        append_batch(batch.withColumn("version", F.lit(number)), state, number)
+        new = batch.select(*keys, *values)
+        old = spark.read.parquet(f"{state}/batch={number - 1}") if number else new.where(F.lit(False))
+        touched = old.join(new.select(*keys), keys, "left_semi")
+        append_batch(snapshot_changes(touched, new, keys, values), results, number)
+        append_batch(old.join(new.select(*keys), keys, "left_anti").unionByName(new), state, number)
         batch.unpersist()
 
     return work
