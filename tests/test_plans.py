@@ -3,8 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
-
 from tideline.plans import identity as I
 from tideline.plans import traffic as V
 

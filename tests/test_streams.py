@@ -167,6 +167,16 @@ def test_rows_behind_the_watermark_are_dropped_and_counted(spark):
     assert out == {"00:00:00": 1, "00:01:00": 2}
 
 
+def test_growing_windows_over_files_equal_batch(spark, folder):
+    from tideline.operators.windows import cumulate
+
+    rows = stream(spark, folder).withColumn("moment", F.timestamp_millis("t"))
+    marked = with_event_time(rows, "moment", "1 second")
+    got = O.growing(spark, marked, "rt", 20_000, 2_000, ["s"], ("users", "k"), {"total": F.col("v")})
+    want = cumulate(spark.read.parquet(folder), F.col("t"), 20_000, 2_000, ["s"], ("users", "k"), {"total": F.col("v")})
+    assert values(got) == values(want)
+
+
 def test_watched_folder_takes_new_files(spark):
     path, base = scratch_folder(spark, "lines"), scratch_folder(spark, "watch")
     for text in ("one", "two"):

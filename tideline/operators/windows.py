@@ -91,26 +91,34 @@ def cumulate(
     sees it and a sum in its own step; running sums over the steps give every end. A key
     has a row for each end from its first data on. ``distinct`` is (result name, item).
     """
-    steps_per_window = size // step
     number = bucket(time, step)
-    base = frame.withColumns(
+    names = list(sums or {})
+    totals = [F.sum(value).alias(name) for name, value in (sums or {}).items()]
+    items = [distinct[1]] if distinct else []
+    # At most one row per step, key and item is left before the steps are added up.
+    parts = frame.groupBy(number.alias("__step"), *keys, *items).agg(F.count(F.lit(1)).alias("__n"), *totals)
+    return grow(parts, size, step, keys, distinct, names)
+
+
+def grow(
+    parts: DataFrame, size: int, step: int, keys: list[str], distinct: tuple[str, str] | None, sums: list[str]
+) -> DataFrame:
+    """Growing windows from one row per step (``__step``, counted from the epoch), key and item."""
+    per_window = F.lit(size // step)
+    parts = parts.withColumns(
         {
-            "__win": F.floor(number / F.lit(steps_per_window)).cast("long"),
-            "__step": F.pmod(number, F.lit(steps_per_window)).cast("int"),
+            "__win": F.floor(F.col("__step") / per_window).cast("long"),
+            "__step": F.pmod(F.col("__step"), per_window).cast("int"),
         }
     )
-    names = list(sums or {})
-    totals = [F.sum(value).alias(name) for name, value in (sums or {}).items()]
+    names = list(sums)
     if distinct:
         name, item = distinct
-        # At most one row per step and item is left before the first step is looked for.
-        per_item = base.groupBy("__win", *keys, item, "__step").agg(F.count(F.lit(1)).alias("__n"), *totals)
         steps_of_item = Window.partitionBy("__win", *keys, item).orderBy("__step")
         fresh = (F.row_number().over(steps_of_item) == 1) & F.col(item).isNotNull()
-        base = per_item.withColumn(name, fresh.cast("long"))
+        parts = parts.withColumn(name, fresh.cast("long"))
         names.insert(0, name)
-        totals = [F.sum(n).alias(n) for n in names]
-    per_step = base.groupBy("__win", "__step", *keys).agg(*totals)
+    per_step = parts.groupBy("__win", "__step", *keys).agg(*[F.sum(n).alias(n) for n in names])
     by_step = Window.partitionBy("__win", *keys).orderBy("__step")
     up_to_here = by_step.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = per_step.select(
@@ -118,10 +126,11 @@ def cumulate(
         "__step",
         *keys,
         *[F.sum(n).over(up_to_here).alias(n) for n in names],
-        F.coalesce(F.lead("__step").over(by_step) - 1, F.lit(steps_per_window - 1)).alias("__until"),
+        F.coalesce(F.lead("__step").over(by_step), per_window).alias("__until"),
     )
     start = F.col("__win") * F.lit(size)
-    filled = running.withColumn("__at", F.explode(F.sequence("__step", "__until")))
+    # A step without data repeats the totals of the one before.
+    filled = running.withColumn("__at", F.explode(F.sequence(F.col("__step"), F.col("__until") - 1)))
     return filled.select(
         local_time(start).alias("window_start"),
         local_time(start + (F.col("__at") + 1) * F.lit(step)).alias("window_end"),

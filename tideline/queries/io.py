@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.timing import local_time
-from tideline.operators import changes as C
 from tideline.plans.detail import passes_gate
 from tideline.queries.registry import query
 from tideline.queries.relational import action_sql, actions

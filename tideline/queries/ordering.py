@@ -13,7 +13,7 @@ from tideline.operators.windows import (
     marker_windows,
 )
 from tideline.queries.registry import query
-from tideline.queries.relational import DAY, HOUR, action_sql, actions
+from tideline.queries.relational import DAY, action_sql, actions
 from tideline.queries.views import ORDER_ITEM, SHOP_ORDER, with_views
 from tideline.functions.timing import epoch_millis
 from tideline.sources.behaviour import order_item, shop_order

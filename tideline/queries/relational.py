@@ -10,8 +10,8 @@ from tideline.operators import aggregates as A
 from tideline.operators.ranking import top_n, top_n_per_group
 from tideline.operators.rows import branch, parse_delimited, route, split_rows
 from tideline.queries.registry import query
-from tideline.queries.views import ACTION_EVENT, APP_LOG, SHOP_ORDER, with_views
-from tideline.sources.behaviour import action_event, app_log, shop_order
+from tideline.queries.views import ACTION_EVENT, APP_LOG, with_views
+from tideline.sources.behaviour import action_event, app_log
 from tideline.sources.tables import table
 
 HOUR = 3_600_000

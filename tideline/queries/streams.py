@@ -8,24 +8,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideline.functions.timing import epoch_millis
 from tideline.operators import changes as C
 from tideline.operators import state as S
 from tideline.operators.ordered import OrderedJob, Stage, running_count, running_sum
 from tideline.operators.ranking import top_n_per_group
 from tideline.operators.rows import split_rows
 from tideline.plans import traffic as V
-from tideline.queries import joining, ordering, relational, time_windows, warehouse  # noqa: F401  their checks are reused
+from tideline.queries import joining, ordering, relational, time_windows, warehouse  # noqa: F401
 from tideline.queries.registry import ORACLES, query
 from tideline.queries.relational import DAY, HOUR, action_sql
-from tideline.queries.views import ACTION_EVENT, with_views
 from tideline.session import scratch_folder
-from tideline.sinks.tables import read_batches, read_keyed
+from tideline.sinks.tables import read_batches
 from tideline.sources.behaviour import action_event, app_log
 from tideline.sources.tables import table, table_stream
 from tideline.streaming import operators as O
 from tideline.streaming.carry import ordered_stream
-from tideline.streaming.run import appended, each_batch, kept_current, with_event_time
+from tideline.streaming.run import append_to, appended, each_batch, kept_current, with_event_time
 
 ORDER = ["action_time", "log_id"]
 
@@ -138,6 +136,13 @@ def win_session_stream(spark, folder):
     return appended(spark, O.sessions(rows, "rt", "2 hours", ["guid"], *_counts()), "sessions")
 
 
+@query("win_cumulate_stream", ORACLES["win_cumulate"])
+def win_cumulate_stream(spark, folder):
+    """Users and views of the day so far, hour by hour, kept current by a stream."""
+    rows = with_event_time(actions(spark, folder), "ts", "1 hour")
+    return O.growing(spark, rows, "rt", DAY, HOUR, ["channel"], ("uv", "guid"), {"pv": F.lit(1)})
+
+
 @query("agg_word_count_stream", """SELECT word, count(*) AS cnt FROM (SELECT unnest(string_split(text, ' ')) AS word FROM conversations) GROUP BY word""")
 def agg_word_count_stream(spark, folder):
     """Words of all conversation turns, counted as they come."""
@@ -186,6 +191,27 @@ def join_interval_stream(spark, folder):
     return appended(spark, pairs.select(F.col("l_guid").alias("guid"), "buy_id", "click_id"), "pairs")
 
 
+@query(
+    "join_window_stream",
+    action_sql("""
+    SELECT time_bucket(INTERVAL 1 hour, a.ts) AS window_start, time_bucket(INTERVAL 1 hour, a.ts) + INTERVAL 1 hour AS window_end,
+           a.guid, a.log_id AS click_id, b.log_id AS buy_id
+    FROM action_event a JOIN action_event b ON a.guid = b.guid AND a.event_id = 'click' AND b.event_id = 'purchase'
+      AND time_bucket(INTERVAL 1 hour, a.ts) = time_bucket(INTERVAL 1 hour, b.ts)"""),
+)
+def join_window_stream(spark, folder):
+    """Clicks and purchases of a user in the same hour, stream to stream."""
+    rows = actions(spark, folder)
+    clicks = rows.where("event_id = 'click'").select("guid", F.col("log_id").alias("click_id"), "ts")
+    buys = rows.where("event_id = 'purchase'").select("guid", F.col("log_id").alias("buy_id"), "ts")
+    joined = O.window_join(
+        with_event_time(clicks, "ts", "1 hour", "click_rt").drop("ts"),
+        with_event_time(buys, "ts", "1 hour", "buy_rt").drop("ts"),
+        ["guid"], "click_rt", "buy_rt", "1 hour",
+    )
+    return appended(spark, joined, "same-hour")
+
+
 @query("join_lookup_stream", ORACLES["join_lookup_left"])
 def join_lookup_stream(spark, folder):
     """Events with the customer record current when they are read."""
@@ -229,6 +255,33 @@ def running_sum_stream(spark, folder):
     return ordered_stream(spark, rows, job)
 
 
+@query("st_recovery", ORACLES["running_sum"])
+def st_recovery(spark, folder):
+    """Running sums of a stream that is stopped after half the data and started again."""
+    source, base = scratch_folder(spark, "halves"), scratch_folder(spark, "recovered")
+    rows = action_event(table(spark, folder, "events")).select("guid", *ORDER, "action_timelong", "ts")
+    job = OrderedJob(
+        ["guid"], ORDER, [Stage(lambda: [running_sum("total", F.col("action_timelong"))])],
+        lambda summed: summed.select("log_id", "total"),
+    )
+    result = None
+    for half in ("ts < TIMESTAMP_NTZ '2024-01-15'", "ts >= TIMESTAMP_NTZ '2024-01-15'"):
+        rows.where(half).drop("ts").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.drop("ts").schema).parquet(source)
+        result = ordered_stream(spark, stream, job, base)
+    return result
+
+
+@query("st_restart_source", action_sql("SELECT log_id, guid FROM action_event"))
+def st_restart_source(spark, folder):
+    """A source that goes on from its committed offsets: started three times, read once."""
+    base = scratch_folder(spark, "offsets")
+    rows = actions(spark, folder).select("log_id", "guid")
+    for _ in range(3):
+        append_to(rows, f"{base}/rows", f"{base}/checkpoint")
+    return spark.read.schema(rows.schema).parquet(f"{base}/rows")
+
+
 @query(
     "running_count_state",
     action_sql("SELECT channel, event_id, count(*) AS cnt FROM action_event GROUP BY ALL"),

@@ -15,6 +15,8 @@ def build_session(app: str = "tideline", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Sessions of a large key are merged in each task before they are brought together.
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),

@@ -8,7 +8,6 @@ replaces its folder, so a replayed batch changes nothing. ``compact`` merges old
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tideline.operators.joins import newest_per_key
 
@@ -68,8 +67,3 @@ def append_batch(frame: DataFrame, path: str, batch: int) -> None:
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch")
-
-
-def drop_deleted(frame: DataFrame) -> DataFrame:
-    """Rows of a keyed table whose newest statement is not a delete."""
-    return frame.where(F.col("op") != "-D").drop("op")

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tideline.functions.timing import bucket, epoch_millis
 from tideline.operators.changes import snapshot_changes
+from tideline.operators.windows import grow
 from tideline.sinks.tables import append_batch
+from tideline.streaming.run import kept_current
 
 
 def windowed(frame: DataFrame, time: str, size: str, keys: list[str], *aggregates: Column, slide: str | None = None) -> DataFrame:
@@ -60,6 +63,43 @@ def interval_join(
     return a.join(b, condition, how)
 
 
+def growing(
+    spark: SparkSession,
+    frame: DataFrame,
+    time: str,
+    size: int,
+    step: int,
+    keys: list[str],
+    distinct: tuple[str, str],
+    sums: dict[str, Column],
+) -> DataFrame:
+    """Windows that grow by ``step`` up to ``size``, with exact distinct counts.
+
+    The stream keeps one row per step, key and item current. Its state leaves with the
+    watermark, and the growing totals are formed when the result is read.
+    """
+    keyed = [*keys, distinct[1]]
+    totals = [F.sum(value).alias(name) for name, value in sums.items()]
+    parts = windowed(frame, time, f"{step} milliseconds", keyed, F.count(F.lit(1)).alias("__n"), *totals)
+    current = kept_current(spark, parts, ["window_start", *keyed], "growing")
+    number = bucket(epoch_millis(F.col("window_start")), step)
+    return grow(current.withColumn("__step", number), size, step, keys, distinct, list(sums))
+
+
+def window_join(
+    left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, size: str
+) -> DataFrame:
+    """Stream-stream join of rows in the same fixed window; both sides need watermarks."""
+    a = left.withColumn("window", F.window(left_time, size)).drop(left_time)
+    b = right.withColumn("window", F.window(right_time, size)).drop(right_time)
+    joined = a.join(b, [*keys, "window"])
+    return joined.select(
+        F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+        *[c for c in joined.columns if c != "window"],
+    )
+
+
 def counts_in_state(frame: DataFrame, keys: list[str], schema: str, name: str) -> DataFrame:
     """Rows per key kept in user-defined state; ``schema`` is the DDL of the keys.
 
