@@ -30,6 +30,17 @@ def build_session(app: str = "tideline", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def fit_to_one_process(spark: SparkSession) -> None:
+    """Use as many shuffle and state partitions as cores, if Spark runs in one process.
+
+    Only where the number was left at its default; on a cluster nothing is changed.
+    """
+    context, name = spark.sparkContext, "spark.sql.shuffle.partitions"
+    untouched = spark.conf.get(name) == "200" and not context.getConf().contains(name)
+    if context.master.startswith("local") and untouched:
+        spark.conf.set(name, str(context.defaultParallelism))
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new, empty path below the shared folder named by ``spark.checkpoint.dir``.
 
