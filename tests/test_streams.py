@@ -144,9 +144,29 @@ def test_change_feed_adds_up_to_the_result(spark, folder):
 
 
 def test_state_counts_over_files(spark, folder):
-    counted = O.counts_in_state(stream(spark, folder), ["k"], "k long", "n")
+    counted = O.counts_in_state(stream(spark, folder), ["k"], "k long", "n", "id", 3)
     want = spark.read.parquet(folder).groupBy("k").agg(F.count("*").alias("n"))
-    assert values(kept_current(spark, counted, ["k"], "state")) == values(want)
+    current = kept_current(spark, counted, ["k", "part"], "state")
+    assert values(current.groupBy("k").agg(F.sum("n").alias("n"))) == values(want)
+
+
+def test_stream_interval_join_over_files_equals_batch(spark, folder):
+    from tideline.operators.joins import interval_join
+
+    def side(rows, kind, name):
+        moment = F.timestamp_millis("t")
+        return rows.where(F.col("s") == kind).select("k", F.col("id").alias(f"{name}_id"), "t", moment.alias("moment"))
+
+    rows, whole = stream(spark, folder), spark.read.parquet(folder)
+    left = with_event_time(side(rows, "b", "l"), "moment", "1 second", "l_rt").drop("t", "moment")
+    right = with_event_time(side(rows, "d", "r"), "moment", "1 second", "r_rt").drop("t", "moment")
+    pairs = O.interval_join(left, right, ["k"], "l_rt", "r_rt", 3000)
+    got = appended(spark, pairs.select("k", "l_id", "r_id"), "pairs")
+    want = interval_join(
+        side(whole, "b", "l").withColumnRenamed("t", "l_t").drop("moment"),
+        side(whole, "d", "r").withColumnRenamed("t", "r_t").drop("moment"), ["k"], "l_t", "r_t", 0, 3000,
+    ).select("k", "l_id", "r_id")
+    assert values(got) == values(want) and want.count() > 0
 
 
 def test_rows_behind_the_watermark_are_dropped_and_counted(spark):

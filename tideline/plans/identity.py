@@ -30,7 +30,9 @@ def _registered(logs: DataFrame, members: DataFrame) -> DataFrame:
         F.col("id").alias("__member"),
         F.col("create_time").alias("__registered"),
     )
-    account = F.when(not_blank(F.col("account")), F.col("account"))
+    # Rows without an account match nothing; a key of their own keeps them spread over tasks.
+    nobody = F.concat(F.lit("\u0000"), F.col("log_id").cast("string"))
+    account = F.when(not_blank(F.col("account")), F.col("account")).otherwise(nobody)
     return logs.join(known, account == known["__account"], "left")
 
 

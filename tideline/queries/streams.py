@@ -152,9 +152,10 @@ def agg_word_count_stream(spark, folder):
 
 @query("agg_count_distinct_stream", action_sql("SELECT channel, count(DISTINCT guid) AS uv FROM action_event GROUP BY channel"))
 def agg_count_distinct_stream(spark, folder):
-    """Exact distinct users: each user enters a channel once, then rows are counted."""
-    entered = appended(spark, O.new_keys(actions(spark, folder), ["channel", "guid"]), "entered")
-    return entered.groupBy("channel").agg(F.count(F.lit(1)).alias("uv"))
+    """Exact distinct users: one row per channel and user is kept current, then counted."""
+    per_user = actions(spark, folder).groupBy("channel", "guid").agg(F.count(F.lit(1)).alias("cnt"))
+    current = kept_current(spark, per_user, ["channel", "guid"], "users")
+    return current.groupBy("channel").agg(F.count(F.lit(1)).alias("uv"))
 
 
 @query("st_first_seen_stream", action_sql("SELECT DISTINCT guid FROM action_event"))
@@ -186,9 +187,9 @@ def join_interval_stream(spark, folder):
     pairs = O.interval_join(
         with_event_time(buys, "ts", "1 hour", "buy_rt").drop("ts"),
         with_event_time(clicks, "ts", "1 hour", "click_rt").drop("ts"),
-        ["guid"], "buy_rt", "click_rt", "6 HOURS",
+        ["guid"], "buy_rt", "click_rt", 6 * HOUR,
     )
-    return appended(spark, pairs.select(F.col("l_guid").alias("guid"), "buy_id", "click_id"), "pairs")
+    return appended(spark, pairs.select("guid", "buy_id", "click_id"), "pairs")
 
 
 @query(
@@ -288,8 +289,9 @@ def st_restart_source(spark, folder):
 )
 def running_count_state(spark, folder):
     """Counts per channel and event in user-defined state."""
-    counted = O.counts_in_state(actions(spark, folder), ["channel", "event_id"], "channel STRING, event_id STRING", "cnt")
-    return kept_current(spark, counted, ["channel", "event_id"], "state")
+    keys = ["channel", "event_id"]
+    counted = O.counts_in_state(actions(spark, folder), keys, "channel STRING, event_id STRING", "cnt", "log_id")
+    return kept_current(spark, counted, [*keys, "part"], "state").groupBy(*keys).agg(F.sum("cnt").alias("cnt"))
 
 
 @query("st_pattern_ttl_stream", ORACLES["st_pattern_ttl"])

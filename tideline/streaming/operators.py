@@ -46,21 +46,27 @@ def silence(frame: DataFrame, time: str, keys: list[str], order: list[str], dela
 
 
 def interval_join(
-    left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, span: str, how: str = "inner"
+    left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, span: int
 ) -> DataFrame:
-    """Stream-stream join: left time within ``span`` after the right time.
+    """Stream-stream join: left time at most ``span`` ms after the right time.
 
-    Both sides need watermarks; the range lets Spark drop rows that can match no more.
-    Key columns are named ``l_`` and ``r_`` in the result.
+    Both sides need watermarks; the range lets Spark drop rows that can match no more. The
+    time bucket is a second equal key, so the state of a large key is spread over its
+    buckets; a right row is kept in the two buckets its range can touch.
     """
-    a = left.withColumnsRenamed({k: f"l_{k}" for k in keys})
-    b = right.withColumnsRenamed({k: f"r_{k}" for k in keys})
-    condition = (F.col(left_time) >= F.col(right_time)) & (
-        F.col(left_time) <= F.col(right_time) + F.expr(f"INTERVAL {span}")
+    low, high = bucket(F.unix_millis(right_time), span), bucket(F.unix_millis(right_time) + span, span)
+    a = left.withColumn("__bucket", bucket(F.unix_millis(left_time), span))
+    b = right.withColumn("__near", F.explode(F.sequence(low, high))).withColumnsRenamed(
+        {k: f"__r_{k}" for k in keys}
+    )
+    condition = (
+        (F.col("__bucket") == F.col("__near"))
+        & (F.col(left_time) >= F.col(right_time))
+        & (F.col(left_time) <= F.col(right_time) + F.expr(f"INTERVAL {span} MILLISECONDS"))
     )
     for k in keys:
-        condition = condition & (F.col(f"l_{k}") == F.col(f"r_{k}"))
-    return a.join(b, condition, how)
+        condition = condition & (F.col(k) == F.col(f"__r_{k}"))
+    return a.join(b, condition).drop("__bucket", "__near", *[f"__r_{k}" for k in keys])
 
 
 def growing(
@@ -100,10 +106,13 @@ def window_join(
     )
 
 
-def counts_in_state(frame: DataFrame, keys: list[str], schema: str, name: str) -> DataFrame:
-    """Rows per key kept in user-defined state; ``schema`` is the DDL of the keys.
+def counts_in_state(
+    frame: DataFrame, keys: list[str], schema: str, name: str, spread_by: str, parts: int = 8
+) -> DataFrame:
+    """Rows per key and ``part`` kept in user-defined state; ``schema`` is the DDL of the keys.
 
-    The rows of a key come in Arrow batches and only their number is kept.
+    A key is spread over ``parts`` states by the hash of ``spread_by``, whose counts the
+    reader adds up. Rows come in Arrow batches and only their number is kept.
     """
 
     def count(
@@ -111,10 +120,11 @@ def counts_in_state(frame: DataFrame, keys: list[str], schema: str, name: str) -
     ) -> Iterator[pd.DataFrame]:
         total = (state.get[0] if state.exists else 0) + sum(len(batch) for batch in batches)
         state.update((total,))
-        yield pd.DataFrame({**{k: [v] for k, v in zip(keys, key)}, name: [total]})
+        yield pd.DataFrame({**{k: [v] for k, v in zip([*keys, "part"], key)}, name: [total]})
 
-    return frame.select(*keys).groupBy(*keys).applyInPandasWithState(
-        count, f"{schema}, {name} BIGINT", f"{name} BIGINT", "update", GroupStateTimeout.NoTimeout
+    part = F.pmod(F.xxhash64(spread_by), F.lit(parts)).cast("int").alias("part")
+    return frame.select(*keys, part).groupBy(*keys, "part").applyInPandasWithState(
+        count, f"{schema}, part INT, {name} BIGINT", f"{name} BIGINT", "update", GroupStateTimeout.NoTimeout
     )
 
 
