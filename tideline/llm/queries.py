@@ -6,12 +6,38 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.llm import exact, lines, mixing, reputation
+from tideline.llm import decontamination, exact, lines, mixing, reputation, substrings
 from tideline.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.dedup_substrings(table(spark, folder, "documents"), with_text=False)
+
+
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), w AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 49], ' ') AS run
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM d)
+), f AS (SELECT run, min(doc_id) AS first FROM w GROUP BY run
+), s AS (SELECT doc_id, i FROM w JOIN f USING (run) WHERE first < doc_id
+), p AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM s
+), k AS (
+  SELECT v.doc_id, v.i, v.word, p.i IS NOT NULL AS gone
+  FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d) v
+  LEFT JOIN p ON p.doc_id = v.doc_id AND p.i = v.i
+), g AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+         string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM k GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN g ON g.doc_id = d.doc_id
+"""
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.dedup_lines(table(spark, folder, "documents"), with_text=False)
 
@@ -60,12 +86,53 @@ def op6_mix(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumnRenamed("id", "doc_id").drop("copies")
 
 
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.drop("items")
+
+
+OP7_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+), w AS (
+  SELECT DISTINCT item_id, least(13, len(words)) AS size, array_to_string(words[i:i + least(13, len(words)) - 1], ' ') AS run
+  FROM (SELECT *, unnest(range(1, len(words) - least(13, len(words)) + 2)) AS i FROM b WHERE len(words) > 0)
+), z AS (SELECT DISTINCT size FROM w
+), o AS (
+  SELECT doc_id, size, i, array_to_string(words[i:i + size - 1], ' ') AS run
+  FROM (SELECT d.*, size, unnest(range(1, len(words) - size + 2)) AS i FROM d JOIN z ON size <= len(words))
+), m AS (SELECT doc_id, item_id, i, o.size FROM o JOIN w ON w.run = o.run AND w.size = o.size
+), h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM m) GROUP BY doc_id
+), t AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM m) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
+"""
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_line_dedup, op4_url_filter, op5_exact_dedup, op6_mix)
+    f.__name__: f
+    for f in (
+        op2_substring_dedup,
+        op3_line_dedup,
+        op4_url_filter,
+        op5_exact_dedup,
+        op6_mix,
+        op7_decontamination,
+    )
 }
 ORACLES: dict[str, str] = {
+    "op2_substring_dedup": OP2_SQL,
     "op3_line_dedup": OP3_SQL,
     "op4_url_filter": reputation.SQL,
     "op5_exact_dedup": OP5_SQL,
     "op6_mix": mixing.SQL,
+    "op7_decontamination": OP7_SQL,
 }

@@ -95,6 +95,17 @@ def run_hashes(words: np.ndarray, k: int, powers: Powers = RUNS) -> np.ndarray:
     return mixed((sums[k:] - sums[:-k]) * down[: len(words) - k + 1])
 
 
+def sliding(x: np.ndarray, width: int, least) -> np.ndarray:
+    """``least`` (np.minimum or np.maximum) over each ``width`` neighbours."""
+    if len(x) < width:
+        return x[:0]
+    size = 1
+    while size * 2 <= width:
+        x, size = least(x[:-size], x[size:]), size * 2
+    rest = width - size
+    return least(x[:-rest], x[rest:]) if rest else x
+
+
 @dataclass
 class Words:
     """``first[i]`` to ``first[i + 1]`` are text i's words in the other arrays."""
