@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.llm import decontamination, exact, lines, mixing, reputation, substrings
+from tideline.llm import decontamination, exact, jaccard, lines, mixing, reputation, substrings
 from tideline.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,6 +117,28 @@ FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
 """
 
 
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, folder, "documents")).drop("class_id")
+
+
+OP10_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^ 	-]+') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + least(4, len(words)) - 1], ' ') AS run
+  FROM (SELECT *, unnest(range(1, len(words) - least(4, len(words)) + 2)) AS i FROM d WHERE len(words) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS joint FROM s x JOIN s y ON x.run = y.run AND x.doc_id <> y.doc_id GROUP BY ALL
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * joint >= 85 * (x.n + y.n - joint)
+), r AS (SELECT doc_id, doc_id AS reached FROM d UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.reached)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reached) AS component_id
+FROM d JOIN r ON r.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -126,6 +148,7 @@ QUERIES: dict[str, Query] = {
         op5_exact_dedup,
         op6_mix,
         op7_decontamination,
+        op10_jaccard_join,
     )
 }
 ORACLES: dict[str, str] = {
@@ -135,4 +158,5 @@ ORACLES: dict[str, str] = {
     "op5_exact_dedup": OP5_SQL,
     "op6_mix": mixing.SQL,
     "op7_decontamination": OP7_SQL,
+    "op10_jaccard_join": OP10_SQL,
 }
