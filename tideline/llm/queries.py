@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.llm import decontamination, exact, jaccard, lines, mixing, reputation, substrings
+from tideline.llm import decontamination, exact, extraction, jaccard, language, lines, mixing, reputation, substrings
 from tideline.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    found = language.page_languages(table(spark, folder, "pages"))
+    return found.select("page_id", "lang", "declared", "posterior", "accepted")
+
+
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.dedup_substrings(table(spark, folder, "documents"), with_text=False)
 
@@ -117,6 +122,10 @@ FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
 """
 
 
+def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extraction.extract_main_text(table(spark, folder, "pages"))
+
+
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, folder, "documents")).drop("class_id")
 
@@ -124,7 +133,8 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 OP10_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-         '[^ 	-]+') AS words FROM documents
+         '[^ 	-
+]+') AS words FROM documents
 ), s AS (
   SELECT DISTINCT doc_id, array_to_string(words[i:i + least(4, len(words)) - 1], ' ') AS run
   FROM (SELECT *, unnest(range(1, len(words) - least(4, len(words)) + 2)) AS i FROM d WHERE len(words) > 0)
@@ -142,12 +152,14 @@ FROM d JOIN r ON r.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_language_id,
         op2_substring_dedup,
         op3_line_dedup,
         op4_url_filter,
         op5_exact_dedup,
         op6_mix,
         op7_decontamination,
+        op9_main_text,
         op10_jaccard_join,
     )
 }
