@@ -24,7 +24,7 @@ STRENGTH = 60.0
 #: Rows that a prior counts for in the level below it; cells added to the declared-language table.
 PRIOR_ROWS, CELL = 20.0, 0.5
 #: The prior of a text in no known language, whose features are all equally likely.
-UNKNOWN_PRIOR = 1e-3
+UNKNOWN_PRIOR = 1e-9
 UNKNOWN = "und"
 MIN_POSTERIOR = 0.5
 

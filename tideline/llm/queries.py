@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.llm import decontamination, exact, extraction, jaccard, language, lines, mixing, reputation, substrings
+from tideline.llm import decontamination, exact, extraction, jaccard, language, lines, maxent, mixing, reputation, substrings
 from tideline.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,6 +122,10 @@ FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
 """
 
 
+def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return maxent.score_documents(table(spark, folder, "documents"))
+
+
 def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return extraction.extract_main_text(table(spark, folder, "pages"))
 
@@ -159,6 +163,7 @@ QUERIES: dict[str, Query] = {
         op5_exact_dedup,
         op6_mix,
         op7_decontamination,
+        op8_lm_score,
         op9_main_text,
         op10_jaccard_join,
     )
