@@ -281,6 +281,28 @@ def similarity_links(texts: DataFrame, size: int, percent: int) -> tuple[DataFra
     return links, stored(components(links))
 
 
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col)
+    return docs.select(id_or_last(id_col).alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("key"), text.alias("text"))
+
+
+def grouped_texts(texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """id, key, n_shingles, class_id and component_id of each row (id, key, text); the last two null for empty sets."""
+    rows = stored(set_profiles(texts, size))
+    classes = rows.where("n_shingles > 0").groupBy("high", "low", "n_shingles").agg(F.min("id").alias("class_id"))
+    _, found = similarity_links(texts, size, percent)
+    # A signature row stands under the key of some text of its class: bring components to classes.
+    keys = rows.select("key", "high", "low", "n_shingles").distinct()
+    linked = found.withColumnRenamed("node", "key").join(keys, "key").select("high", "low", "n_shingles", "component").distinct()
+    member = classes.join(linked, ["high", "low", "n_shingles"], "left")
+    least = member.where("component IS NOT NULL").groupBy("component").agg(F.min("class_id").alias("component_id"))
+    member = member.join(least, "component", "left").select(
+        "high", "low", "n_shingles", "class_id", F.coalesce("component_id", "class_id").alias("component_id")
+    )
+    out = rows.join(member, ["high", "low", "n_shingles"], "left")
+    return out.select("id", "key", "n_shingles", "class_id", "component_id")
+
+
 def jaccard_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
@@ -295,27 +317,29 @@ def jaccard_components(
     Returns doc_id, n_shingles, component_id (the smallest id that links reach) and class_id (smallest id of the
     same set).
     """
-    text = F.col(text_col)
-    texts = docs.select(id_or_last(id_col).alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("key"), text.alias("text"))
-    rows = stored(set_profiles(texts, size))
-    classes = rows.where("n_shingles > 0").groupBy("high", "low", "n_shingles").agg(
-        F.min("id").alias("class_id"), F.min("key").alias("class_key")
-    )
-    _, found = similarity_links(texts, size, percent)
-    # A signature row stands under the key of any text of its class: bring components to classes.
-    keys = rows.select("key", "high", "low", "n_shingles").distinct()
-    linked = found.withColumnRenamed("node", "key").join(keys, "key").select("high", "low", "n_shingles", "component").distinct()
-    # Copies of one set may have come under several keys, which were then linked, so a class has one component.
-    member = classes.join(linked, ["high", "low", "n_shingles"], "left")
-    least = member.where("component IS NOT NULL").groupBy("component").agg(F.min("class_id").alias("component_id"))
-    member = member.join(least, "component", "left").select(
-        "high", "low", "n_shingles", "class_id", F.coalesce("component_id", "class_id").alias("component_id")
-    )
-    shown = lambda c: F.when(F.col(c) != LAST_ID, F.col(c))
-    out = rows.join(member, ["high", "low", "n_shingles"], "left")
+    out = grouped_texts(keyed(docs, id_col, text_col), size, percent)
+    shown = lambda c: F.when(c != LAST_ID, c)
     return out.select(
-        shown("id").alias("doc_id"),
+        shown(F.col("id")).alias("doc_id"),
         "n_shingles",
-        F.when(F.col("n_shingles") > 0, shown("component_id")).otherwise(shown("id")).alias("component_id"),
-        F.when(F.col("n_shingles") > 0, shown("class_id")).otherwise(shown("id")).alias("class_id"),
+        shown(F.coalesce("component_id", "id")).alias("component_id"),
+        shown(F.coalesce("class_id", "id")).alias("class_id"),
+    )
+
+
+def one_of_each_group(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """The documents that stay, with all their columns: the smallest id of each component, as one row.
+
+    Documents without words belong to no group and all stay.
+    """
+    marked = docs.withColumns(
+        {"__id": id_or_last(id_col), "__key": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))}
     )
+    found = grouped_texts(keyed(docs, id_col, text_col), size, percent)
+    first = found.where("id = component_id").groupBy("id").agg(F.min("key").alias("key"))
+    stay = first.select(F.col("id").alias("__id"), F.col("key").alias("__key"))
+    single = marked.join(stay, ["__id", "__key"], "left_semi").dropDuplicates(["__id", "__key"])
+    blank = ~F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return single.where(~blank).unionByName(marked.where(blank)).drop("__id", "__key")

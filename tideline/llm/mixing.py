@@ -107,10 +107,12 @@ def mix_counts(
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: a row of ``docs`` for each copy taken, with ``copy`` counting from 1."""
+    """The mix itself: a row of ``docs`` for each copy taken, with ``copy`` counting from 1 (in place of any such column)."""
     counted = mix_counts(docs, keep_row=True, **options).where("copies > 0")
     copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return counted.select("row", copies.alias("copy")).select("row.*", "copy")
+    return counted.select("row", copies.alias("number")).select(
+        *[F.col("row")[c].alias(c) for c in docs.columns if c != "copy"], F.col("number").alias("copy")
+    )
 
 
 SQL = f"""
