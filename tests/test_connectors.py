@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tideline.session import scratch_folder
 from tideline.sinks import messages as M
 from tideline.sinks import tables as K
-from tideline.sources import jdbc, kafka
+from tideline.sources import files, jdbc, kafka
 
 SCHEMA = T.StructType(
     [T.StructField("guid", T.LongType()), T.StructField("event", T.StringType()), T.StructField("long", T.LongType())]
@@ -114,3 +114,11 @@ def test_row_helpers(spark):
     assert [tuple(r) for r in parsed] == [(1, "a", 2), (2, "b", None)]
     routed = route(spark.range(6), {"low": F.col("id") < 2, "even": F.col("id") % 2 == 0}, "rest")
     assert [branch(routed, n).count() for n in ("low", "even", "rest")] == [2, 2, 2]
+
+
+def test_delimited_rows_do_not_depend_on_the_columns_read(spark, tmp_path):
+    (tmp_path / "rows.csv").write_text('1,a\nx,b\n2,"c,d"\n3\n4,e,f\n5,\n')
+    schema = T.StructType.fromDDL("n BIGINT, name STRING")
+    rows = files.read_delimited(spark, str(tmp_path), schema)
+    assert sorted((r["n"], r["name"]) for r in rows.collect()) == [(1, "a"), (2, "c,d"), (5, None)]
+    assert rows.count() == rows.select("name").count() == rows.select("n").count() == 3

@@ -1,5 +1,6 @@
 """Operators against known answers and brute force, with keys cut and not cut."""
 
+import datetime
 import random
 
 import pytest
@@ -55,28 +56,31 @@ def test_geohash_of_eight_characters(spark):
     assert with_geohash(frame, "lat", "lng", length=8).first()["geohash"] == "u4pruydq"
 
 
-def test_cumulated_users_of_a_day(spark):
-    # Eight rows in the first four seconds of a day at UTC+8, two channels.
-    base = 1647619201000
-    rows = [(u, base + (u - 1) * 1000, c) for u in (1, 2, 3, 4) for c in ("wxapp", "app")]
+def test_growing_windows_equal_brute_force(spark):
+    rng = random.Random(11)
+    hour = 3_600_000
+    rows = [(rng.randint(1, 12), rng.randint(0, 2 * 24 * hour - 1), rng.choice(["web", "shop"])) for _ in range(150)]
     frame = spark.createDataFrame(rows, "guid long, t long, channel string")
-    shifted = F.col("t") + 8 * 3_600_000
-    out = W.cumulate(frame, shifted, 86_400_000, 2000, ["channel"], ("uv", "guid"))
-    first = out.where("window_end <= TIMESTAMP_NTZ '2022-03-19 00:00:04'").orderBy("window_end", "channel").collect()
-    assert [(str(r["window_start"]), str(r["window_end"]), r["channel"], r["uv"]) for r in first] == [
-        ("2022-03-19 00:00:00", "2022-03-19 00:00:02", "app", 1),
-        ("2022-03-19 00:00:00", "2022-03-19 00:00:02", "wxapp", 1),
-        ("2022-03-19 00:00:00", "2022-03-19 00:00:04", "app", 3),
-        ("2022-03-19 00:00:00", "2022-03-19 00:00:04", "wxapp", 3),
-    ]
-    assert out.count() == 2 * 43_200
-
-
-def test_tumbling_sums(spark):
-    rows = [("2", s, 1647441090000 + s * 1000) for s in range(1, 7)]
+    out = W.cumulate(frame, F.col("t"), 24 * hour, 4 * hour, ["channel"], ("uv", "guid"))
+    got = {(r["window_start"], r["window_end"], r["channel"]): r["uv"] for r in out.collect()}
+    stamp = lambda ms: datetime.datetime(1970, 1, 1) + datetime.timedelta(milliseconds=ms)
+    for day in (0, 1):
+        for end in range(4, 25, 4):
+            low, high = day * 24 * hour, day * 24 * hour + end * hour
+            for channel in ("web", "shop"):
+                users = {g for g, t, c in rows if c == channel and low <= t < high}
+                assert got.get((stamp(low), stamp(high), channel), 0) == len(users)
+
+
+def test_fixed_windows_equal_brute_force(spark):
+    rng = random.Random(12)
+    rows = [(rng.choice("pq"), rng.randint(-5, 40), rng.randint(0, 29_999)) for _ in range(80)]
     frame = spark.createDataFrame(rows, "id string, score int, t long").withColumn("ts", F.timestamp_millis("t"))
-    out = W.tumble(frame, "ts", "2 seconds", ["id"], F.sum("score").alias("total")).orderBy("window_start")
-    assert [r["total"] for r in out.collect()][:3] == [1, 5, 9]
+    out = W.tumble(frame, "ts", "7 seconds", ["id"], F.sum("score").alias("total"))
+    want = {}
+    for name, score, t in rows:
+        want[name, t // 7000] = want.get((name, t // 7000), 0) + score
+    assert sorted(r["total"] for r in out.collect()) == sorted(want.values())
 
 
 def test_window_grid_offset(spark):
@@ -85,18 +89,53 @@ def test_window_grid_offset(spark):
     assert str(out["window_start"]) == "2024-01-01 16:00:00"
 
 
-def test_changes_of_a_count(spark):
-    frame = spark.createDataFrame([(w, i, i, 1) for i, w in enumerate("aaab")], "w string, t long, id long, one long")
-    out = C.running_total_changes(["w"], ORDER, "one", "n").over(frame)
-    assert sorted((r["id"], r["op"], r["w"], r["n"]) for r in out.collect()) == [
-        (0, "+I", "a", 1), (1, "+U", "a", 2), (1, "-U", "a", 1), (2, "+U", "a", 3), (2, "-U", "a", 2), (3, "+I", "b", 1),
-    ]
+def test_changes_of_a_count_lead_to_it(spark):
+    rng = random.Random(13)
+    words = [rng.choice("uvwxyz") for _ in range(60)]
+    frame = spark.createDataFrame([(w, i // 3, i, 1) for i, w in enumerate(words)], "w string, t long, id long, one long")
+    out = C.running_total_changes(["w"], ORDER, "one", "n").over(frame).collect()
+    current = {}
+    for r in sorted(out, key=lambda r: (r["id"], r["op"] != "-U")):
+        if r["op"] == "-U":
+            assert current.pop(r["w"]) == r["n"]
+        else:
+            assert (r["op"] == "+I") == (r["n"] == 1) and r["w"] not in current
+            current[r["w"]] = r["n"]
+    assert current == {w: words.count(w) for w in set(words)}
 
 
 def test_common_numbers_of_two_bitmaps(spark):
-    frame = spark.createDataFrame([("x", 1), ("x", 3), ("x", 5), ("y", 2), ("y", 3), ("y", 6)], "side string, n long")
-    out = A.common_by_bitmap(frame, F.col("side") == "x", F.col("side") == "y", "n")
-    assert out.first()["common"] == 1
+    rng = random.Random(14)
+    sides = {side: {rng.randint(0, 90_000) for _ in range(500)} | set(range(low, low + 40)) for side, low in (("l", 60), ("m", 75))}
+    frame = spark.createDataFrame([(s, n) for s, numbers in sides.items() for n in numbers], "side string, n long")
+    out = A.common_by_bitmap(frame, F.col("side") == "l", F.col("side") == "m", "n")
+    assert out.first()["common"] == len(sides["l"] & sides["m"])
+
+
+def test_null_keys_in_changes(spark):
+    old = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3)], "k string, v long")
+    new = spark.createDataFrame([(None, 4), ("a", 2), ("c", 5)], "k string, v long")
+    got = {tuple(r) for r in C.snapshot_changes(old, new, ["k"], ["v"]).select("k", "op", "v").collect()}
+    assert got == {(None, "-U", 1), (None, "+U", 4), ("b", "-D", 3), ("c", "+I", 5)}
+
+
+def test_as_of_join_leaves_null_keys_alone(spark):
+    left = spark.createDataFrame([(None, 5, 1), (1, 5, 2)], "k long, t long, id long")
+    right = spark.createDataFrame([(None, 1, 1, "x"), (1, 2, 2, "y")], "k long, vt long, vid long, name string")
+    out = J.as_of_join(left, right, ["k"], ORDER, ["vt", "vid"], ["vid", "name"])
+    assert {(r["id"], r["name"]) for r in out.collect()} == {(1, None), (2, "y")}
+
+
+def test_a_missing_value_is_no_extreme(spark):
+    frame = spark.createDataFrame([("a", None, "p"), ("a", 4, "r"), ("a", 4, "q"), ("a", 9, "s")], "k string, v long, name string")
+    assert A.extreme_row(frame, ["k"], "v", "name", largest=False).first()["name"] == "q"
+    assert A.extreme_row(frame, ["k"], "v", "name").first()["name"] == "s"
+
+
+def test_approximate_users_are_near(spark):
+    frame = spark.range(40_000).selectExpr("id % 9973 AS guid", "CAST(id % 2 AS STRING) AS channel")
+    for r in frame.groupBy("channel").agg(F.approx_count_distinct("guid", 0.03).alias("uv")).collect():
+        assert abs(r["uv"] - 9973) < 0.15 * 9973
 
 
 @CUTS

@@ -89,15 +89,42 @@ def test_row_frames_equal_brute_force(frame, rows, keyed, max_rows):
 
 
 @pytest.mark.parametrize("max_rows", [3, 40, 10_000])
-def test_range_frames_equal_brute_force(frame, rows, max_rows):
-    framed = O.range_frames(frame, ["k"], ORDER, 200, lambda w: {"n": F.count("id").over(w)}, max_rows)
-    got = {r["id"]: r["n"] for r in framed.select("id", "n").collect()}
-    want = {
-        r[2]: sum(x[0] == r[0] and r[1] - 200 <= x[1] <= r[1] for x in rows) for r in rows
-    }
+def test_range_sums_equal_brute_force(frame, rows, max_rows):
+    framed = O.range_sums(frame, ["k"], ORDER, 200, {"n": F.lit(1), "total": F.col("v")}, max_rows)
+    got = {r["id"]: (r["n"], r["total"]) for r in framed.select("id", "n", "total").collect()}
+    want = {}
+    for r in rows:
+        near = [x for x in rows if x[0] == r[0] and r[1] - 200 <= x[1] <= r[1]]
+        want[r[2]] = (len(near), sum(x[3] or 0 for x in near))
     assert got == want
 
 
+def test_no_slice_is_large(spark):
+    """An outlier in time, a burst, rows of one instant and rows without a time all stay bounded."""
+    made = [(1, 5_000_000 + i * 40, i) for i in range(3000)] + [(1, 10**15, 3000)]
+    made += [(2, 70_000 + i % 7, 4000 + i) for i in range(2000)] + [(3, 1, 7000 + i) for i in range(2500)]
+    made += [(4, None, 10_000 + i) for i in range(900)] + [(4, i * 10**6, 11_000 + i) for i in range(900)]
+    frame = spark.createDataFrame(made, "k long, t long, id long")
+    cut = O.ordered(frame, ["k"], ORDER, 100)
+    assert cut.frame.groupBy("k", O._SLICE).count().agg(F.max("count")).first()[0] <= 200
+    got = {r["id"]: r["at"] for r in cut.scan(O.running_count("at")).rows().collect()}
+    for key in range(1, 5):
+        ids = sorted((r for r in made if r[0] == key), key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        assert [got[r[2]] for r in ids] == list(range(1, len(ids) + 1))
+
+
+def test_preparing_runs_no_job(spark, frame):
+    frame.count()
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "")
+    O.ordered(frame, ["k"], ORDER).scan(O.running_count("a")).scan(O.running_count("b")).rows()
+    O.row_frames(frame, ["k"], ORDER, 2, lambda w: {"n": F.count("id").over(w)})
+    O.range_sums(frame, ["k"], ORDER, 200, {"n": F.lit(1)})
+    jobs = tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setJobGroup("", "")
+    assert not list(jobs)
+
+
 @pytest.mark.parametrize("keyed", [True, False])
 def test_scan_goes_on_from_earlier_totals(frame, keyed):
     keys = ["k"] if keyed else []

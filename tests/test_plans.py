@@ -3,6 +3,8 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
+
 from tideline.plans import identity as I
 from tideline.plans import traffic as V
 
@@ -61,6 +63,22 @@ def test_identity(spark, seed, max_rows):
     }
 
 
+def test_identity_over_several_runs(spark):
+    rows = identity_rows(3)
+    members = {"a": (1, 11), "b": (2, 22), "c": (3, 33)}
+    logs = spark.createDataFrame(rows, "log_id long, deviceid string, account string, timestamp long")
+    people = spark.createDataFrame([(i, a, t) for a, (i, t) in members.items()], "id long, account string, create_time long")
+    times = sorted({r[3] for r in rows})
+    cuts = [times[len(times) // 3], times[2 * len(times) // 3]]
+    got, state = {}, None
+    for low, high in zip([0, *cuts], [*cuts, 1 << 60]):
+        part = logs.where((F.col("timestamp") >= low) & (F.col("timestamp") < high))
+        mapped, state = I.continue_identity(part, people, state, max_rows=20)
+        state = state.written()
+        got |= {r["log_id"]: (r["guid"], r["account"]) for r in mapped.collect()}
+    assert got == walk(rows, members)[0]
+
+
 @CUTS
 def test_temporary_ids_go_on(spark, max_rows):
     visits = spark.createDataFrame([(f"d{i}", 100 - i) for i in range(20)], "deviceid string, first_time long")
@@ -84,30 +102,24 @@ def visit(events, guid=1, start=0):
     ]
 
 
-def test_the_walk_through_three_pages(spark):
-    # Launch, a page, an action, background; wake-up, two more pages, close.
-    events = [("applaunch", None), ("pageload", "pg001"), ("e1", None), ("putback", None), ("wakeup", None),
-              ("pageload", "pg003"), ("e1", None), ("e1", None), ("pageload", "pg006"), ("appclose", None)]
-    frame = spark.createDataFrame(visit(events), SCHEMA)
-    rows = V.split_sessions(V.visit_rows(frame)).collect()
+def test_walks_equal_brute_force(spark):
+    rng = random.Random(21)
+    kinds = ["applaunch", "wakeup", "pageload", "share", "putback"]
+    events = [(kind, f"home/{rng.randint(1, 4)}" if kind == "pageload" else None) for kind in rng.choices(kinds, k=40)]
+    rows = V.split_sessions(V.visit_rows(spark.createDataFrame(visit(events), SCHEMA))).collect()
     got = sorted((r["ts"] // SECOND, r["event_id"] != "flag", r["event_id"], r["split_session_id"], r["page_id"],
                   r["page_load_time"] // SECOND) for r in rows)
-    first, second = "s1:1000", "s1:5000"
-    assert got == [
-        (1, True, "applaunch", first, None, 1),
-        (2, False, "flag", first, None, 1),
-        (2, True, "pageload", first, "pg001", 2),
-        (3, True, "e1", first, "pg001", 2),
-        (4, True, "putback", first, "pg001", 2),
-        (5, True, "wakeup", second, "pg001", 5),
-        (6, False, "flag", second, "pg001", 5),
-        (6, True, "pageload", second, "pg003", 6),
-        (7, True, "e1", second, "pg003", 6),
-        (8, True, "e1", second, "pg003", 6),
-        (9, False, "flag", second, "pg003", 6),
-        (9, True, "pageload", second, "pg006", 9),
-        (10, True, "appclose", second, "pg006", 9),
-    ]
+    want, page, begun, loaded = [], None, None, None
+    for second, (kind, target) in enumerate(events, 1):
+        if begun is None or kind in ("applaunch", "wakeup"):
+            begun = loaded = second
+        if kind == "pageload":
+            if second > 1:
+                want.append((second, False, "flag", f"s1:{begun * SECOND}", page, loaded))
+            page, loaded = target, second
+        want.append((second, True, kind, f"s1:{begun * SECOND}", page, loaded))
+    assert [g[:5] for g in got if g[1]] == [w[:5] for w in sorted(want, key=lambda w: w[:2]) if w[1]]
+    assert sum(not g[1] for g in got) <= sum(not w[1] for w in want)
 
 
 def test_heartbeats_stop_at_the_next_row_and_the_cap(spark):

@@ -16,13 +16,13 @@ def word_count(frame: DataFrame, column: str, pattern: str = r"\s+") -> DataFram
 def extreme_row(
     frame: DataFrame, keys: list[str], value: str, tie: str, largest: bool = True
 ) -> DataFrame:
-    """The whole row holding the extreme value of each key; ``tie`` ascending decides."""
+    """The whole row holding the extreme value of each key; ``tie`` ascending decides.
+
+    ``value`` is a number. A row without it is no extreme; a key with such rows only has nulls.
+    """
     rest = [c for c in frame.columns if c not in keys]
-    row = F.struct(*rest)
-    if largest:
-        best = F.max_by(row, F.struct(F.col(value), -F.col(tie)))
-    else:
-        best = F.min_by(row, F.struct(F.col(value), F.col(tie)))
+    rank = -F.col(value) if largest else F.col(value)
+    best = F.min_by(F.struct(*rest), F.when(F.col(value).isNotNull(), F.struct(rank, F.col(tie))))
     return frame.groupBy(*keys).agg(best.alias("__row")).select(*keys, "__row.*")
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,9 +36,13 @@ def running_total_changes(keys: list[str], order: list[str], value: str, name: s
 
 def snapshot_changes(old: DataFrame, new: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """The changes that lead from one state of a keyed table to the next."""
-    before = old.select(*keys, F.struct(*values).alias("__old"))
-    after = new.select(*keys, F.struct(*values).alias("__new"))
-    both = before.join(after, keys, "full")
+    # A null key is a key like any other.
+    before = old.select(F.struct(*keys).alias("__key_old"), F.struct(*values).alias("__old"))
+    after = new.select(F.struct(*keys).alias("__key_new"), F.struct(*values).alias("__new"))
+    same = [F.col(f"__key_old.{k}").eqNullSafe(F.col(f"__key_new.{k}")) for k in keys]
+    both = before.join(after, reduce(and_, same), "full").select(
+        F.coalesce("__key_old", "__key_new").alias("__key"), "__old", "__new"
+    ).select("__key.*", "__old", "__new")
 
     def change(op: str, row: str) -> Column:
         return F.struct(F.lit(op).alias("op"), F.col(row).alias("row"))

@@ -62,8 +62,9 @@ def as_of_join(
 
     Both sides become one sequence per key and the newest version is carried forward, so
     the cost is one ordered scan; no pair of row and version is ever formed. The columns of
-    a version are null where none is old enough.
+    a version are null where none is old enough, or where a key is null.
     """
+    versions = versions.dropna(subset=keys)
     kept = [c for c in left.columns if c not in keys]
     version = F.struct(*[F.col(c) for c in columns])
     left_rows = left.select(

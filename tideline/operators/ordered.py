@@ -2,11 +2,16 @@
 
 Running counts, "last value so far", next-row lookups and short row frames all depend on
 the order of rows inside a key. A plain window function sorts a whole key in one task,
-which a key with a third of all rows does not survive. So the rows per key are counted
-first. If no key has more than ``max_rows`` rows, plain window functions follow and the
-plan has one shuffle. Otherwise the large keys are cut into time slices: the window
-functions run per (key, slice), and what a slice needs from the others is a small total
-per slice, folded in slice order and joined back.
+which a key with a third of all rows does not survive. So every key is cut into slices of
+at most about ``max_rows`` rows, in the same plan at every size: the window functions run
+per (key, slice), and what a slice needs from the others is a small total per slice,
+folded in slice order and joined back. A key with few rows is one slice.
+
+Slices are cut by row counts. A histogram per key over short stretches of time gives the
+rows before each stretch, and so the slice it falls into. A stretch with too many rows is
+cut by the rows before each of its instants, and an instant with too many rows by ranges
+of the row id. A row far off in time or a burst thus fills no slice. All of this is part
+of the plan: preparing it runs no job.
 
 With no key at all the whole table is one ordered sequence and is treated the same way.
 """
@@ -18,12 +23,15 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tideline.session import stored
+from tideline.functions.timing import bucket
 
 MAX_ROWS = 2_000_000
+#: Length of the stretches that are counted first, in units of the order's time (ms).
+GRAIN = 60_000
 
-_SLICE, _SPLIT, _HALO = "__slice", "__split", "__halo"
+_SLICE, _HALO = "__slice", "__halo"
 _FIRST, _CURRENT, _LAST = Window.unboundedPreceding, Window.currentRow, Window.unboundedFollowing
 
 
@@ -41,7 +49,6 @@ class Running:
     fold: Callable[[Column], Column]
     merge: Callable[[Column, Column], Column]
     forward: bool = False
-    alone: Callable[[Column], Column] = lambda local: local
 
 
 def _up_to(window: WindowSpec, inclusive: bool) -> WindowSpec:
@@ -55,7 +62,6 @@ def running_sum(name: str, value: Column, inclusive: bool = True) -> Running:
         lambda order: F.sum(value),
         F.sum,
         lambda local, carry: F.coalesce(local, F.lit(0)) + F.coalesce(carry, F.lit(0)),
-        alone=lambda local: F.coalesce(local, F.lit(0)),
     )
 
 
@@ -114,16 +120,15 @@ def next_value(name: str, value: Column) -> Running:
 
 @dataclass(frozen=True)
 class Ordered:
-    """Rows ready for ordered expressions; large keys are cut into slices if there are any."""
+    """Rows ready for ordered expressions, each with the slice of its key that holds it."""
 
     frame: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    sliced: bool
     scanned: bool = False
 
     def _group(self) -> list[str]:
-        return [*self.keys, _SLICE] if self.sliced else list(self.keys)
+        return [*self.keys, _SLICE]
 
     def scan(self, *running: Running, since: DataFrame | None = None) -> "Ordered":
         """Add one column per expression.
@@ -131,15 +136,12 @@ class Ordered:
         ``since`` holds, per key, the totals reached before these rows (see ``totals``);
         the micro-batches of a stream hand it on from one to the next.
         """
-        group, frame = self._group(), self.frame
-        carry: dict[str, Column] = {}
-        helpers: list[str] = []
-        if self.sliced:
-            # Rows feed both the totals and the result, so an earlier scan is not run twice.
-            frame = stored(frame) if self.scanned else frame
-            frame = join_null_safe(frame, self._carried(frame, running), group)
-            carry = {r.name: F.col(f"__c_{r.name}") for r in running}
-            helpers += [f"__c_{r.name}" for r in running]
+        group = self._group()
+        # Rows feed both the totals and the result, so an earlier scan is kept, not run twice.
+        frame = self.frame.persist() if self.scanned else self.frame
+        frame = join_null_safe(frame, self._carried(frame, running), group)
+        carry = {r.name: F.col(f"__c_{r.name}") for r in running}
+        helpers = [f"__c_{r.name}" for r in running]
         earlier = [r for r in running if not r.forward] if since is not None else []
         if earlier and self.keys:
             reached = since.select(*self.keys, *[F.col(r.name).alias(f"__s_{r.name}") for r in earlier])
@@ -148,23 +150,16 @@ class Ordered:
             frame = frame.withColumns({f"__s_{r.name}": since.select(r.name).scalar() for r in earlier})
         for r in earlier:
             reached = F.col(f"__s_{r.name}")
-            carry[r.name] = r.merge(carry[r.name], reached) if r.name in carry else reached
+            carry[r.name] = r.merge(carry[r.name], reached)
             helpers.append(f"__s_{r.name}")
         window = Window.partitionBy(*group).orderBy(*self.order)
-        columns = {}
-        for r in running:
-            local = r.local(window)
-            columns[r.name] = r.merge(local, carry[r.name]) if r.name in carry else r.alone(local)
+        columns = {r.name: r.merge(r.local(window), carry[r.name]) for r in running}
         return replace(self, frame=frame.withColumns(columns).drop(*helpers), scanned=True)
 
     def _carried(self, frame: DataFrame, running: tuple[Running, ...]) -> DataFrame:
-        """Per slice of a large key, the folded totals of the slices before (or after) it."""
+        """Per slice, the folded totals of the slices before (or after) it."""
         group, position = self._group(), F.struct(*self.order)
-        totals = (
-            frame.where(F.col(_SPLIT))
-            .groupBy(*group)
-            .agg(*[r.total(position).alias(r.name) for r in running])
-        )
+        totals = frame.groupBy(*group).agg(*[r.total(position).alias(r.name) for r in running])
         by_slice = Window.partitionBy(*self.keys).orderBy(_SLICE)
         before, after = by_slice.rowsBetween(_FIRST, -1), by_slice.rowsBetween(1, _LAST)
         return totals.select(
@@ -184,7 +179,7 @@ class Ordered:
         return replace(self, frame=change(self.frame))
 
     def rows(self) -> DataFrame:
-        return self.frame.drop(_SLICE, _SPLIT)
+        return self.frame.drop(_SLICE)
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -197,56 +192,51 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFr
     return left.join(renamed, condition, "left").drop(*[f"__r_{k}" for k in keys])
 
 
-def _facts(time: Column) -> list[Column]:
-    return [
-        F.count(F.lit(1)).alias("__n"), F.min(time).alias("__low"), F.max(time).alias("__high"),
-    ]
-
-
-def _width(max_rows: int) -> Column:
-    span = F.col("__high") - F.col("__low") + 1
-    return F.ceil(span / F.ceil(F.col("__n") / F.lit(max_rows)))
-
-
-def large_keys(
-    frame: DataFrame, keys: list[str], time: str, max_rows: int, least_width: int = 1
-) -> DataFrame | None:
-    """Keys with more than ``max_rows`` rows and their slice width, or None if there are none.
-
-    At most (all rows / max_rows) keys qualify.
-    """
-    large = (
-        frame.groupBy(*keys)
-        .agg(*_facts(F.col(time)))
-        .where(F.col("__n") > max_rows)
-        .select(*keys, "__low", F.greatest(_width(max_rows), F.lit(least_width)).alias("__width"))
-    )
-    return None if large.isEmpty() else large
-
-
 def ordered(
-    frame: DataFrame, keys: list[str], order: list[str], max_rows: int = MAX_ROWS
+    frame: DataFrame, keys: list[str], order: list[str], max_rows: int = MAX_ROWS, grain: int = GRAIN, keep: bool = False
 ) -> Ordered:
     """Prepare ``frame`` for ordered work per key.
 
     ``order`` starts with a BIGINT time and ends with a unique id, so the order is total.
+    The id is a number, or a text, which a single instant is cut by in its first characters
+    only. ``keep`` says that the frame is costly to make and should be made once, not once for
+    the counts and once for the rows.
     """
-    time = F.col(order[0])
-    if keys:
-        large = large_keys(frame, keys, order[0], max_rows)
-        if large is None:
-            return Ordered(frame, tuple(keys), tuple(order), sliced=False)
-        joined = join_null_safe(frame, large, keys)
-        low, width, split = F.col("__low"), F.col("__width"), F.col("__width").isNotNull()
-    else:
-        one = frame.agg(*_facts(time)).select("__n", "__low", _width(max_rows).alias("__width")).first()
-        if one["__n"] <= max_rows:
-            return Ordered(frame, (), tuple(order), sliced=False)
-        joined = frame
-        low, width, split = F.lit(one["__low"]), F.lit(one["__width"]), F.lit(True)
-    slice_no = F.floor((F.coalesce(time, low) - low) / width).cast("long")
-    cut = joined.withColumns({_SLICE: F.coalesce(slice_no, F.lit(0).cast("long")), _SPLIT: split})
-    return Ordered(cut.drop("__low", "__width"), tuple(keys), tuple(order), sliced=True)
+    rows = frame.persist() if keep else frame
+    # Rows without a time come first.
+    time = F.coalesce(F.col(order[0]).cast("long"), F.lit(-(1 << 62)))
+    rows = rows.withColumn("__stretch", bucket(time, grain))
+    counted = rows.groupBy(*keys, "__stretch").agg(F.count(F.lit(1)).alias("__n"))
+    rows = join_null_safe(rows, _cuts(counted, keys, "__stretch", max_rows, "__s1", "__full"), [*keys, "__stretch"])
+    # Instants of the stretches that are too large for a slice; without any, nothing is joined.
+    instants = rows.where(F.col("__full")).withColumn("__instant", time)
+    place = [*keys, "__stretch"]
+    counted = instants.groupBy(*place, "__instant").agg(F.count(F.lit(1)).alias("__n"))
+    cuts = _cuts(counted, place, "__instant", max_rows, "__s2", "__crowd")
+    rows = join_null_safe(rows.withColumn("__instant", time), cuts, [*place, "__instant"])
+    last = F.col(order[-1])
+    text_id = isinstance(frame.schema[order[-1]].dataType, T.StringType)
+    part = F.substring(last, 1, 8) if text_id else bucket(last, max_rows).cast("string")
+    part_order = F.lit(0).cast("long") if text_id else bucket(last, max_rows)
+    crowd = F.coalesce(F.col("__crowd"), F.lit(False))
+    slice_ = F.struct(
+        F.col("__s1").alias("a"),
+        F.col("__full").cast("int").alias("b"),
+        F.coalesce(F.col("__s2"), F.lit(0)).alias("c"),
+        crowd.cast("int").alias("d"),
+        *[F.when(crowd, F.col(c)).alias(f"e{i}") for i, c in enumerate(order[1:-1])],
+        F.when(crowd, part_order).alias("f"),
+        F.when(crowd, part).alias("g"),
+    )
+    cut = rows.withColumn(_SLICE, slice_).drop("__stretch", "__instant", "__s1", "__full", "__s2", "__crowd")
+    return Ordered(cut, tuple(keys), tuple(order))
+
+
+def _cuts(counted: DataFrame, keys: list[str], cell: str, max_rows: int, name: str, full: str) -> DataFrame:
+    """For each cell of a key, the slice that the rows before it put it into, and whether it is too large itself."""
+    before = Window.partitionBy(*keys).orderBy(cell).rowsBetween(_FIRST, -1)
+    rank = F.floor(F.coalesce(F.sum("__n").over(before), F.lit(0)) / F.lit(max_rows)).cast("long")
+    return counted.select(*keys, cell, rank.alias(name), (F.col("__n") > max_rows).alias(full))
 
 
 def totals(
@@ -317,11 +307,9 @@ def row_frames(
     """
     cut = ordered(frame, keys, order, max_rows)
     window = Window.partitionBy(*cut._group()).orderBy(*order).rowsBetween(-preceding, _CURRENT)
-    if not cut.sliced:
-        return frame.withColumns(columns(window))
     newest_first = Window.partitionBy(*keys, _SLICE).orderBy(*[F.col(c).desc() for c in order])
     tails = (
-        cut.frame.where(F.col(_SPLIT))
+        cut.frame
         .withColumn("__back", F.row_number().over(newest_first))
         .where(F.col("__back") <= preceding)
     )
@@ -335,41 +323,38 @@ def row_frames(
         .select(_SLICE, F.explode("__tail").alias("__row"))
         .select("__row.*", _SLICE, F.lit(True).alias(_HALO))
     )
-    own = cut.frame.drop(_SPLIT).withColumn(_HALO, F.lit(False))
+    own = cut.frame.withColumn(_HALO, F.lit(False))
     framed = own.unionByName(copies).withColumns(columns(window))
     return framed.where(~F.col(_HALO)).drop(_SLICE, _HALO)
 
 
-def range_frames(
+def range_sums(
     frame: DataFrame,
     keys: list[str],
     order: list[str],
     span: int,
-    columns: Callable[[WindowSpec], dict[str, Column]],
+    sums: dict[str, Column],
     max_rows: int = MAX_ROWS,
 ) -> DataFrame:
-    """Window functions over the rows of the last ``span`` time units up to this one.
+    """Add sums over the rows of the last ``span`` time units up to this one's time.
 
-    A slice is at least ``span`` wide, so a row is copied to at most one further slice.
+    A sum up to now minus the sum up to just before the span: both are running totals over
+    the instants of a key, of which the earlier one is read at a mark put ``span`` before
+    each instant. The cost does not depend on how many rows a span holds. A null value
+    counts as 0; values should be whole numbers or decimals, so that differences are exact.
     """
-    time = F.col(order[0])
-    large = large_keys(frame, keys, order[0], max_rows, span + 1)
-    group = list(keys) if large is None else [*keys, _SLICE]
-    window = Window.partitionBy(*group).orderBy(order[0]).rangeBetween(-span, _CURRENT)
-    if large is None:
-        return frame.withColumns(columns(window))
-    first = F.floor((time - F.col("__low")) / F.col("__width")).cast("long")
-    reach = F.floor((time + F.lit(span) - F.col("__low")) / F.col("__width")).cast("long")
-    slices = F.when(F.col("__width").isNull(), F.array(F.lit(0).cast("long"))).otherwise(
-        F.sequence(first, reach)
+    time = order[0]
+    instants = frame.groupBy(*keys, F.col(time).alias("__at")).agg(*[F.sum(v).alias(n) for n, v in sums.items()])
+    ends = instants.select(*keys, "__at", F.col("__at").alias("__t"), F.lit(1).alias("__side"), *sums)
+    marks = instants.select(
+        *keys, "__at", (F.col("__at") - span).alias("__t"), F.lit(0).alias("__side"),
+        *[F.lit(None).cast(instants.schema[n].dataType).alias(n) for n in sums],
     )
-    copied = (
-        join_null_safe(frame, large, keys)
-        .withColumn("__slices", slices)
-        .drop("__low", "__width")
-        .withColumn(_SLICE, F.explode("__slices"))
-        .withColumn(_HALO, F.col(_SLICE) != F.col("__slices")[0])
-        .drop("__slices")
+    reached = (
+        ordered(ends.unionByName(marks), keys, ["__t", "__side", "__at"], max_rows)
+        .scan(*[running_sum(f"__to_{n}", F.col(n)) for n in sums])
+        .rows()
     )
-    framed = copied.withColumns(columns(window))
-    return framed.where(~F.col(_HALO)).drop(_SLICE, _HALO)
+    signed = lambda n: F.when(F.col("__side") == 1, F.col(f"__to_{n}")).otherwise(-F.col(f"__to_{n}"))
+    within = reached.groupBy(*keys, "__at").agg(*[F.sum(signed(n)).alias(n) for n in sums])
+    return join_null_safe(frame.withColumn("__at", F.col(time)), within, [*keys, "__at"]).drop("__at")

@@ -10,11 +10,13 @@ are paired with its accounts.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.timing import not_blank
-from tideline.operators.ordered import MAX_ROWS, ordered, running_count, running_min
+from tideline.operators.ordered import MAX_ROWS, ordered, running_count, running_min, totals
 from tideline.session import stored
 
 # Fixed value: temporary ids start above this number.
@@ -36,14 +38,39 @@ def _registered(logs: DataFrame, members: DataFrame) -> DataFrame:
     return logs.join(known, account == known["__account"], "left")
 
 
-def _best_bound(logs: DataFrame, members: DataFrame, max_rows: int) -> DataFrame:
-    """Adds N as ``__n_all`` and, as ``__best``, the strongest account up to the row."""
-    device = ordered(logs, ["deviceid"], ORDER, max_rows).transform(lambda f: _registered(f, members))
-    weighted = (
-        device.scan(running_count("__n_all", F.col("__account").isNotNull()))
-        .by("deviceid", "__account")
-        .scan(running_count("__n"), running_min("__n_first", F.col("__n_all")))
-        .by("deviceid")
+@dataclass(frozen=True)
+class IdentityState:
+    """What one run of the identity job hands to the next: all of it is one short row per device or account.
+
+    ``events`` counts account events per device, ``accounts`` has each account's events on a device and where the
+    first stood, ``best`` the strongest account so far, ``temporary`` the temporary ids given.
+    """
+
+    events: DataFrame
+    accounts: DataFrame
+    best: DataFrame
+    temporary: DataFrame
+
+    def written(self) -> "IdentityState":
+        """The same state from the shared folder, free of the run that made it."""
+        return IdentityState(*[stored(f) for f in (self.events, self.accounts, self.best, self.temporary)])
+
+
+def _best_bound(
+    logs: DataFrame, members: DataFrame, max_rows: int, state: IdentityState | None = None
+) -> tuple[DataFrame, tuple[DataFrame, DataFrame, DataFrame]]:
+    """Adds N as ``__n_all`` and, as ``__best``, the strongest account up to the row; and what each scan reached."""
+    rows = ordered(logs, ["deviceid"], ORDER, max_rows).transform(lambda f: _registered(f, members))
+    reached = []
+
+    def scan(rows, keys: list[str], since: DataFrame | None, *running):
+        reached.append(totals(rows.frame, keys, ORDER, list(running), since))
+        return rows.by(*keys).scan(*running, since=since)
+
+    rows = scan(rows, ["deviceid"], state and state.events, running_count("__n_all", F.col("__account").isNotNull()))
+    rows = scan(
+        rows, ["deviceid", "__account"], state and state.accounts,
+        running_count("__n"), running_min("__n_first", F.col("__n_all")),
     )
     score = 2 * F.col("__n") + F.col("__n_first") - 1
     # Equal scores go to the account that sorts first.
@@ -56,11 +83,9 @@ def _best_bound(logs: DataFrame, members: DataFrame, max_rows: int) -> DataFrame
             F.col("__registered").alias("registered"),
         ),
     )
-    return (
-        weighted.transform(lambda f: f.withColumn("__candidate", candidate))
-        .scan(running_min("__best", F.col("__candidate")))
-        .rows()
-    )
+    rows = rows.transform(lambda f: f.withColumn("__candidate", candidate))
+    rows = scan(rows, ["deviceid"], state and state.best, running_min("__best", F.col("__candidate")))
+    return rows.rows(), tuple(reached)
 
 
 def device_bindings(logs: DataFrame, members: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
@@ -96,7 +121,7 @@ def temporary_ids(
     if known is not None:
         fresh = first_visits.join(known.select("deviceid"), "deviceid", "left_anti")
         start = known.agg(F.coalesce(F.max("guid"), F.lit(TEMP_ID_BASE)).cast("long")).scalar()
-    numbered = ordered(fresh, [], ["first_time", "deviceid"], max_rows).scan(running_count("__at")).rows()
+    numbered = ordered(fresh, [], ["first_time", "deviceid"], max_rows, keep=True).scan(running_count("__at")).rows()
     given = numbered.select("deviceid", (F.col("__at") + start).alias("guid"), "first_time")
     return given if known is None else known.unionByName(given)
 
@@ -108,12 +133,29 @@ def map_identity(
 
     A device that once fell back to a temporary id keeps it for its anonymous rows.
     """
-    best = _best_bound(logs, members, max_rows)
+    return _mapped(logs, members, known_ids, max_rows, None)[0]
+
+
+def continue_identity(
+    logs: DataFrame, members: DataFrame, state: IdentityState | None = None, max_rows: int = MAX_ROWS
+) -> tuple[DataFrame, IdentityState]:
+    """``map_identity`` of rows that come after those of earlier runs, and the state for the next run.
+
+    Runs over consecutive stretches of a log give together what one run over all of it gives.
+    """
+    return _mapped(logs, members, state and state.temporary, max_rows, state)
+
+
+def _mapped(
+    logs: DataFrame, members: DataFrame, known_ids: DataFrame | None, max_rows: int, state: IdentityState | None
+) -> tuple[DataFrame, IdentityState]:
+    best, reached = _best_bound(logs, members, max_rows, state)
+    # Read by the numbering of devices and by the result.
+    best = best.persist()
     anonymous = F.col("__account").isNull()
     bound = -F.col("__best.minus_score") - F.col("__n_all") > 0
     unresolved = anonymous & ~F.coalesce(bound, F.lit(False))
-    # One short row per device, needed for the numbering and again for the result.
-    fallback = stored(
+    fallback = (
         best.where(unresolved)
         .groupBy("deviceid")
         .agg(F.min(F.struct(*ORDER)).alias("__since"))
@@ -137,7 +179,7 @@ def map_identity(
         F.coalesce(F.col("__known"), F.lit(False))
         | F.coalesce(F.col("__since") <= F.struct(*ORDER), F.lit(False))
     )
-    return joined.select(
+    mapped = joined.select(
         *[c for c in logs.columns if c != "account"],
         F.when(anonymous & ~on_temp, F.col("__best.account")).otherwise(F.col("account")).alias("account"),
         F.when(~anonymous, F.col("__member"))
@@ -149,3 +191,4 @@ def map_identity(
         .alias("register_time"),
         F.when(on_temp, F.col("__first_time")).alias("first_access_time"),
     )
+    return mapped, IdentityState(*reached, ids)

@@ -68,7 +68,7 @@ def visit_rows(detail: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     A launch, a wake-up or the user's first row starts a sub-session, whose dimensions are
     those of its first row. A page load sets the page, also when it is the first row.
     """
-    rows = ordered(detail, ["guid"], ORDER, max_rows).scan(
+    rows = ordered(detail, ["guid"], ORDER, max_rows, keep=True).scan(
         *previous_row(), next_value("__next", F.col("timestamp"))
     )
     return rows.transform(with_starts).scan(*visit_state()).rows()

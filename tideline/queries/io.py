@@ -173,10 +173,9 @@ def sink_upsert(spark, folder):
     """Three batches upserted one after the other, then the table as it stands."""
     path = scratch_folder(spark, "upsert")
     rows = actions(spark, folder).select("guid", "action_time", "log_id", "channel", "event_id", "ts")
-    cuts = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-03-01"]
-    for number, (low, high) in enumerate(zip(cuts, cuts[1:])):
-        batch = rows.where(f"ts >= TIMESTAMP_NTZ '{low}' AND ts < TIMESTAMP_NTZ '{high}'").drop("ts")
-        K.upsert_batch(batch, path, ["guid"], ["action_time", "log_id"], number)
+    early, middle = "ts < TIMESTAMP_NTZ '2024-01-11'", "ts < TIMESTAMP_NTZ '2024-01-21'"
+    for number, part in enumerate((early, f"NOT ({early}) AND {middle}", f"NOT ({middle}) OR ts IS NULL")):
+        K.upsert_batch(rows.where(part).drop("ts"), path, ["guid"], ["action_time", "log_id"], number)
     return K.read_keyed(spark, path, ["guid"], ["action_time", "log_id"])
 
 

@@ -12,6 +12,7 @@ from tideline.operators import changes as C
 from tideline.operators import joins as J
 from tideline.operators import state as S
 from tideline.operators.rows import complete_rows, parse_delimited
+from tideline.plans.orders import cents
 from tideline.queries.registry import query
 from tideline.queries.relational import DAY, HOUR, action_sql, actions
 from tideline.queries.views import ACTION_EVENT, ORDER_CHANGES, with_views
@@ -25,12 +26,17 @@ ORDER = ["action_time", "log_id"]
 _SIDES = """
 totals AS (SELECT guid, CAST(sum(action_timelong) AS BIGINT) AS total FROM action_event WHERE guid % 3 <> 1 GROUP BY guid),
 people AS (SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey % 2 = 0)"""
+_WHOLE = """
+totals AS (SELECT guid, CAST(sum(action_timelong) AS BIGINT) AS total FROM action_event GROUP BY guid),
+people AS (SELECT c_custkey, c_mktsegment FROM customer)"""
 
 
-def _sides(spark, folder):
-    totals = actions(spark, folder).where("guid % 3 <> 1").groupBy("guid").agg(F.sum("action_timelong").alias("total"))
-    people = table(spark, folder, "customer").where("c_custkey % 2 = 0").select("c_custkey", "c_mktsegment")
-    return people, totals
+def _sides(spark, folder, whole):
+    """Both sides; the outer joins leave some rows out, as misses are what they are about."""
+    rows, customers = actions(spark, folder), table(spark, folder, "customer")
+    if not whole:
+        rows, customers = rows.where("guid % 3 <> 1"), customers.where("c_custkey % 2 = 0")
+    return customers.select("c_custkey", "c_mktsegment"), rows.groupBy("guid").agg(F.sum("action_timelong").alias("total"))
 
 
 def _regular(how: str, sql_how: str, doc: str):
@@ -38,11 +44,11 @@ def _regular(how: str, sql_how: str, doc: str):
         f"join_{how}",
         with_views(
             f"SELECT c_custkey, c_mktsegment, guid, total FROM people {sql_how} JOIN totals ON c_custkey = guid",
-            ACTION_EVENT, _SIDES,
+            ACTION_EVENT, _WHOLE if how == "inner" else _SIDES,
         ),
     )
     def run(spark, folder):
-        people, totals = _sides(spark, folder)
+        people, totals = _sides(spark, folder, how == "inner")
         return people.join(totals, people.c_custkey == totals.guid, how)
 
     run.__doc__ = doc
@@ -388,9 +394,8 @@ def out_changelog_rows(spark, folder):
 @query(
     "out_changelog",
     action_sql("""
-    WITH a AS (SELECT channel, page_id, count(*) AS cnt FROM action_event WHERE ts < TIMESTAMP '2024-01-06' GROUP BY ALL),
-         b AS (SELECT channel, page_id, count(*) AS cnt FROM action_event
-               WHERE ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-08' GROUP BY ALL),
+    WITH a AS (SELECT channel, page_id, count(*) AS cnt FROM action_event WHERE day(ts) <= 20 GROUP BY ALL),
+         b AS (SELECT channel, page_id, count(*) AS cnt FROM action_event WHERE day(ts) > 10 GROUP BY ALL),
          j AS (SELECT coalesce(a.channel, b.channel) AS channel, coalesce(a.page_id, b.page_id) AS page_id, a.cnt AS old, b.cnt AS new
                FROM a FULL JOIN b ON a.channel = b.channel AND a.page_id = b.page_id)
     SELECT channel, page_id, '+I' AS op, new AS cnt FROM j WHERE old IS NULL
@@ -405,8 +410,7 @@ def out_changelog(spark, folder):
     def state(condition: str):
         return rows.where(condition).groupBy("channel", "page_id").agg(F.count(F.lit(1)).alias("cnt"))
 
-    old = state("ts < TIMESTAMP_NTZ '2024-01-06'")
-    new = state("ts >= TIMESTAMP_NTZ '2024-01-03' AND ts < TIMESTAMP_NTZ '2024-01-08'")
+    old, new = state("day(ts) <= 20"), state("day(ts) > 10")
     return C.snapshot_changes(old, new, ["channel", "page_id"], ["cnt"])
 
 
@@ -417,5 +421,5 @@ def out_changelog(spark, folder):
 def src_cdc(spark, folder):
     """The change feed by kind of change."""
     return order_changes(table(spark, folder, "orders")).groupBy("op").agg(
-        F.count(F.lit(1)).alias("cnt"), F.round(F.sum("amount"), 2).alias("amount")
+        F.count(F.lit(1)).alias("cnt"), (F.sum(cents(F.col("amount"))) / 100).alias("amount")
     )

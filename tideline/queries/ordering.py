@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideline.operators.ordered import ordered, range_frames, row_frames, running_count, running_sum
+from tideline.operators.ordered import ordered, range_sums, row_frames, running_count, running_sum
 from tideline.operators.ranking import top_n_per_group
 from tideline.operators.windows import (
     count_slide,
@@ -12,6 +12,7 @@ from tideline.operators.windows import (
     hop_sums,
     marker_windows,
 )
+from tideline.plans.orders import cents
 from tideline.queries.registry import query
 from tideline.queries.relational import DAY, action_sql, actions
 from tideline.queries.views import ORDER_ITEM, SHOP_ORDER, with_views
@@ -23,36 +24,41 @@ ORDER = ["action_time", "log_id"]
 LONG = "action_timelong"
 
 
-@query(
-    "topn_window",
-    with_views(
-        """
-        WITH joined AS (SELECT create_time, product_category, product_id, quantity, price, coupon_amount
+def _top_window(name: str, key: str, measure: str) -> None:
+    """Register the top three of ``key`` by ``measure`` over the last four weeks, moved on each week."""
+    week = 7 * DAY
+    sql = f"""
+        WITH joined AS (SELECT *, CAST(round(price * 100) AS BIGINT) * quantity AS c_cents,
+             CAST(round(coalesce(coupon_amount, 0) * 100) AS BIGINT) AS c_coupon
              FROM shop_order JOIN order_item ON order_id = id),
-        weeks AS (SELECT product_category, quantity, price,
-             make_timestamp((epoch_us(create_time) // 604800000000 - j) * 604800000000) AS window_start
+        weeks AS (SELECT {key}, quantity, c_cents, c_coupon,
+             make_timestamp((epoch_us(create_time) // {week * 1000} - j) * {week * 1000}) AS window_start
              FROM joined, (SELECT unnest(range(0, 4)) AS j)),
-        sums AS (SELECT window_start, product_category, CAST(sum(quantity) AS BIGINT) AS qty,
-             CAST(sum(CAST(round(price * 100) AS BIGINT) * quantity) AS BIGINT) AS cents FROM weeks GROUP BY ALL),
-        ranked AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY cents DESC, product_category) AS rn FROM sums)
-        SELECT window_start, product_category, qty, cents, rn FROM ranked WHERE rn <= 3""",
-        SHOP_ORDER, ORDER_ITEM,
-    ),
-)
-def topn_window(spark, folder):
-    """Top three categories by amount over the last four weeks, moved on each week."""
-    orders = shop_order(table(spark, folder, "orders")).select("id", "create_time")
-    items = order_item(table(spark, folder, "lineitem"), table(spark, folder, "part"))
-    joined = items.join(orders, items.order_id == orders.id)
-    week = 7 * DAY
-    sums = hop_sums(
-        joined, epoch_millis(F.col("create_time")), 4 * week, week, ["product_category"],
-        {"qty": F.col("quantity"), "cents": F.round(F.col("price") * 100).cast("long") * F.col("quantity")},
-    )
-    ranked = top_n_per_group(
-        sums, ["window_start"], [F.desc("cents"), F.asc("product_category")], 3, rank="rn"
-    )
-    return ranked.select("window_start", "product_category", "qty", "cents", F.col("rn").cast("long").alias("rn"))
+        sums AS (SELECT window_start, {key}, CAST(sum(quantity) AS BIGINT) AS qty, CAST(sum(c_cents) AS BIGINT) AS cents,
+             CAST(sum(c_coupon) AS BIGINT) AS coupon_cents FROM weeks GROUP BY ALL)
+        SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY {measure} DESC, {key}) AS rn FROM sums
+        QUALIFY rn <= 3"""
+
+    @query(name, with_views(sql, SHOP_ORDER, ORDER_ITEM))
+    def run(spark, folder):
+        orders = shop_order(table(spark, folder, "orders"))
+        items = order_item(table(spark, folder, "lineitem"), table(spark, folder, "part"))
+        joined = items.join(orders.select("id", "create_time"), items.order_id == orders.id)
+        amounts = {
+            "qty": F.col("quantity"),
+            "cents": cents(F.col("price")) * F.col("quantity"),
+            "coupon_cents": cents(F.coalesce(F.col("coupon_amount").cast("double"), F.lit(0.0))),
+        }
+        sums = hop_sums(joined, epoch_millis(F.col("create_time")), 4 * week, week, [key], amounts)
+        ranked = top_n_per_group(sums, ["window_start"], [F.desc(measure), F.asc(key)], 3, rank="rn")
+        return ranked.select("window_start", key, *amounts, F.col("rn").cast("long").alias("rn"))
+
+
+_top_window("topn_window", "product_category", "cents")
+_top_window("topn_window_category_qty", "product_category", "qty")
+_top_window("topn_window_product_amount", "product_id", "cents")
+_top_window("topn_window_product_qty", "product_id", "qty")
+_top_window("topn_window_product_coupon", "product_id", "coupon_cents")
 
 
 @query(
@@ -83,14 +89,8 @@ def over_rows(spark, folder):
 def over_range(spark, folder):
     """Sum and average over a user's last day up to each row."""
     rows = actions(spark, folder).select("guid", *ORDER, "action_timelong")
-    framed = range_frames(
-        rows, ["guid"], ORDER, DAY,
-        lambda w: {
-            "sum_long": F.sum(LONG).over(w),
-            "avg_long": F.sum(LONG).over(w) / F.count(F.lit(1)).over(w),
-        },
-    )
-    return framed.select("log_id", "sum_long", "avg_long")
+    framed = range_sums(rows, ["guid"], ORDER, DAY, {"sum_long": LONG, "rows": F.lit(1)})
+    return framed.select("log_id", "sum_long", (F.col("sum_long") / F.col("rows")).alias("avg_long"))
 
 
 @query(

@@ -7,8 +7,6 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.session import fit_to_one_process
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -26,7 +24,6 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         def run(spark: SparkSession, folder: str) -> DataFrame:
             # Window bounds and dates are stated in UTC on both sides.
             spark.conf.set("spark.sql.session.timeZone", "UTC")
-            fit_to_one_process(spark)
             return function(spark, folder)
 
         QUERIES[name] = run

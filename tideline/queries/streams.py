@@ -6,6 +6,7 @@ checks of append-mode windows hold the closed ones only.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tideline.operators import changes as C
@@ -18,7 +19,7 @@ from tideline.queries import joining, ordering, relational, time_windows, wareho
 from tideline.queries.registry import ORACLES, query
 from tideline.queries.relational import DAY, HOUR, action_sql
 from tideline.session import scratch_folder
-from tideline.sinks.tables import read_batches
+from tideline.sinks.tables import append_batch, read_batches
 from tideline.sources.behaviour import action_event, app_log
 from tideline.sources.tables import table, table_stream
 from tideline.streaming import operators as O
@@ -32,6 +33,22 @@ def actions(spark, folder):
     return action_event(table_stream(spark, folder, "events"))
 
 
+def parts_of(spark, folder, base: str):
+    """The events in three parts in order of time; each is in the watched folder ``base`` when it is yielded."""
+    events, day = table(spark, folder, "events"), F.day("ts")
+    for part in (day <= 9, (day > 9) & (day <= 20), (day > 20) | F.col("ts").isNull()):
+        events.where(part).write.mode("append").parquet(f"{base}/events.parquet")
+        yield table_stream(spark, base, "events")
+
+
+def ordered_in_parts(spark, folder, rows_of, job):
+    """An ordered job that is stopped and started between three parts of the events, state carried over."""
+    base, result = scratch_folder(spark, "parts"), None
+    for events in parts_of(spark, folder, base):
+        result = ordered_stream(spark, rows_of(events), job, f"{base}/job")
+    return result
+
+
 def _closed(size: str, delay: str, select: str, extra: str = "") -> str:
     return action_sql(f"""
     SELECT * FROM (
@@ -61,12 +78,11 @@ def wm_monotonic(spark, folder):
     return appended(spark, O.windowed(rows, "rt", "6 hours", ["channel"], *_counts()), "monotonic")
 
 
-@query("wm_forward", _closed("1 day", "30 minutes", _COUNTS, "WHERE guid > 5"))
+@query("wm_forward", _closed("1 day", "30 minutes", _COUNTS))
 def wm_forward(spark, folder):
     """A watermark set once and kept by the views built on it."""
-    rows = with_event_time(actions(spark, folder).where("guid > 5"), "ts", "30 minutes")
-    rows.select("rt", "channel", "action_timelong").createOrReplaceTempView("tideline_marked")
-    picked = spark.sql("SELECT rt, channel, action_timelong FROM tideline_marked")
+    rows = with_event_time(actions(spark, folder), "ts", "30 minutes")
+    picked = spark.sql("SELECT rt, channel, action_timelong FROM {marked}", marked=rows)
     return appended(spark, O.windowed(picked, "rt", "1 day", ["channel"], *_counts()), "forward")
 
 
@@ -166,10 +182,13 @@ def st_first_seen_stream(spark, folder):
 
 @query("topn_per_group_stream", ORACLES["topn_per_group"])
 def topn_per_group_stream(spark, folder):
-    """The top users per channel, ranked over the totals the stream keeps current."""
-    total = actions(spark, folder).groupBy("channel", "guid").agg(F.sum("action_timelong").alias("sum_actiontime"))
-    current = kept_current(spark, total, ["channel", "guid"], "totals")
-    return top_n_per_group(current, ["channel"], [F.desc("sum_actiontime"), F.asc("guid")], 5)
+    """The users most often on each page, ranked over the totals the stream keeps current."""
+    keys = ["page_id", "guid"]
+    spent = actions(spark, folder).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("visits"), F.sum("action_timelong").alias("time_spent")
+    )
+    current = kept_current(spark, spent, keys, "totals")
+    return top_n_per_group(current, ["page_id"], [F.desc("visits"), F.desc("time_spent"), F.asc("guid")], 4)
 
 
 @query(
@@ -236,24 +255,24 @@ def set_union_stream_live(spark, folder):
 @query("running_count_stream", ORACLES["running_count"])
 def running_count_stream(spark, folder):
     """Running counts carried from batch to batch."""
-    rows = actions(spark, folder).select("channel", *ORDER, "event_id")
     job = OrderedJob(
         ["channel"], ORDER,
         [Stage(lambda: [running_count("cnt"), running_count("views", F.col("event_id") == "view")])],
         lambda counted: counted.select("log_id", "cnt", "views"),
     )
-    return ordered_stream(spark, rows, job)
+    rows = lambda events: action_event(events).select("channel", *ORDER, "event_id")
+    return ordered_in_parts(spark, folder, rows, job)
 
 
 @query("running_sum_stream", ORACLES["running_sum"])
 def running_sum_stream(spark, folder):
     """Running sums carried from batch to batch."""
-    rows = actions(spark, folder).select("guid", *ORDER, "action_timelong")
     job = OrderedJob(
         ["guid"], ORDER, [Stage(lambda: [running_sum("total", F.col("action_timelong"))])],
         lambda summed: summed.select("log_id", "total"),
     )
-    return ordered_stream(spark, rows, job)
+    rows = lambda events: action_event(events).select("guid", *ORDER, "action_timelong")
+    return ordered_in_parts(spark, folder, rows, job)
 
 
 @query("st_recovery", ORACLES["running_sum"])
@@ -297,16 +316,16 @@ def running_count_state(spark, folder):
 @query("st_pattern_ttl_stream", ORACLES["st_pattern_ttl"])
 def st_pattern_ttl_stream(spark, folder):
     """The view, click, purchase pattern, found while the stream runs."""
-    rows = actions(spark, folder).select("guid", *ORDER, "event_id")
-    return ordered_stream(spark, rows, joining.pattern_job())
+    rows = lambda events: action_event(events).select("guid", *ORDER, "event_id")
+    return ordered_in_parts(spark, folder, rows, joining.pattern_job())
 
 
 @query("st_value_ttl_stream", ORACLES["st_value_ttl"])
 def st_value_ttl_stream(spark, folder):
     """The expiring counter, carried from batch to batch."""
-    rows = actions(spark, folder).select("guid", *ORDER)
     job = S.counter_with_expiry(["guid"], ORDER, 3 * HOUR, "cnt")
-    return ordered_stream(spark, rows, job).select("log_id", "cnt")
+    rows = lambda events: action_event(events).select("guid", *ORDER)
+    return ordered_in_parts(spark, folder, rows, job).select("log_id", "cnt")
 
 
 @query(
@@ -321,28 +340,38 @@ def st_timer_cancel_stream(spark, folder):
     return appended(spark, ended, "silence").where("event_id = 'click'").drop("event_id")
 
 
-@query("out_changelog_stream", action_sql("SELECT channel, event_id, '+I' AS op, count(*) AS cnt FROM action_event GROUP BY ALL"))
+@query(
+    "out_changelog_stream",
+    action_sql("""
+    WITH n AS (SELECT channel, event_id, count(*) FILTER (WHERE day(ts) <= 9) AS a,
+                      count(*) FILTER (WHERE day(ts) <= 20) AS b, count(*) AS c FROM action_event GROUP BY ALL),
+         steps AS (SELECT channel, event_id, 0 AS old, a AS new FROM n UNION ALL SELECT channel, event_id, a, b FROM n
+                   UNION ALL SELECT channel, event_id, b, c FROM n)
+    SELECT channel, event_id, CASE WHEN old = 0 THEN '+I' ELSE '+U' END AS op, new AS cnt FROM steps WHERE new > old
+    UNION ALL SELECT channel, event_id, '-U', old FROM steps WHERE new > old AND old > 0"""),
+)
 def out_changelog_stream(spark, folder):
-    """Changes of a grouped count; the first batch holds inserts only."""
+    """Changes of a grouped count over three batches: inserts, then withdrawn and new counts."""
     base = scratch_folder(spark, "feed")
-    counts = actions(spark, folder).groupBy("channel", "event_id").agg(F.count(F.lit(1)).alias("cnt"))
     feed = O.change_feed(["channel", "event_id"], ["cnt"], f"{base}/state", f"{base}/rows")
-    each_batch(counts, feed, f"{base}/checkpoint")
+    for events in parts_of(spark, folder, base):
+        counts = action_event(events).groupBy("channel", "event_id").agg(F.count(F.lit(1)).alias("cnt"))
+        each_batch(counts, feed, f"{base}/checkpoint")
     return read_batches(spark, f"{base}/rows")
 
 
 @query("out_changelog_rows_stream", ORACLES["out_changelog_rows"])
 def out_changelog_rows_stream(spark, folder):
     """Row-by-row changes of the running count, carried from batch to batch."""
-    rows = actions(spark, folder).select("guid", *ORDER, F.lit(1).cast("long").alias("one"))
-    return ordered_stream(spark, rows, C.running_total_changes(["guid"], ORDER, "one", "cnt"))
+    rows = lambda events: action_event(events).select("guid", *ORDER, F.lit(1).cast("long").alias("one"))
+    return ordered_in_parts(spark, folder, rows, C.running_total_changes(["guid"], ORDER, "one", "cnt"))
 
 
 @query("dw_session_split_stream", ORACLES["dw_session_split"])
 def dw_session_split_stream(spark, folder):
     """Sessions split while the stream runs."""
-    rows = warehouse.visits_of(app_log(table_stream(spark, folder, "events")))
-    return ordered_stream(spark, rows, V.session_job())
+    rows = lambda events: warehouse.visits_of(app_log(events))
+    return ordered_in_parts(spark, folder, rows, V.session_job())
 
 
 @query(
@@ -350,6 +379,19 @@ def dw_session_split_stream(spark, folder):
     action_sql("SELECT guid, count(*) AS cnt, CAST(sum(action_timelong) AS BIGINT) AS total FROM action_event GROUP BY guid"),
 )
 def sink_exactly_once(spark, folder):
-    """Rows through the transactional file sink: none lost, none twice."""
-    rows = appended(spark, actions(spark, folder).select("guid", "action_timelong"), "once")
-    return rows.groupBy("guid").agg(*_counts())
+    """Rows through a batch sink that fails once after it has written: none lost, none twice."""
+    base, failed = scratch_folder(spark, "once"), []
+
+    def write(batch, number):
+        append_batch(batch, f"{base}/rows", number)
+        if number == 1 and not failed:
+            failed.append(number)
+            raise RuntimeError("stopped after the write, before the batch was committed")
+
+    for events in parts_of(spark, folder, base):
+        rows = action_event(events).select("guid", "action_timelong")
+        try:
+            each_batch(rows, write, f"{base}/checkpoint", "append")
+        except StreamingQueryException:
+            each_batch(rows, write, f"{base}/checkpoint", "append")
+    return read_batches(spark, f"{base}/rows").groupBy("guid").agg(*_counts())

@@ -153,6 +153,22 @@ def dw_id_mapping(spark, folder):
     return I.map_identity(slim, members(spark, folder)).drop("timestamp")
 
 
+@query(
+    "dw_id_mapping_incremental",
+    with_views("SELECT log_id, deviceid, account, guid, register_time, first_access_time FROM mapped", *_IDENTITY_VIEWS),
+)
+def dw_id_mapping_incremental(spark, folder):
+    """The same mapping made in three runs, each of which goes on from the state of the one before."""
+    gated = logs(spark, folder).where(D.passes_gate()).select("log_id", "deviceid", "account", "timestamp")
+    day = F.day(F.timestamp_millis("timestamp"))
+    mapped, state = None, None
+    for part in (day <= 9, (day > 9) & (day <= 20), day > 20):
+        rows, state = I.continue_identity(gated.where(part), members(spark, folder), state)
+        state = state.written()
+        mapped = rows if mapped is None else mapped.unionByName(rows)
+    return mapped.drop("timestamp")
+
+
 @query(
     "dw_device_binding",
     with_views(
@@ -432,6 +448,28 @@ def dw_order_total(spark, folder):
     return R.order_total(orders(spark, folder))
 
 
+@query(
+    "dw_order_total_pay",
+    with_views("SELECT pay_type, count(*) AS order_cnt, round(sum(amount), 2) AS order_amt FROM shop_order GROUP BY pay_type", SHOP_ORDER),
+)
+def dw_order_total_pay(spark, folder):
+    """All orders so far by pay type."""
+    return R.order_total(orders(spark, folder), keys=["pay_type"])
+
+
+@query(
+    "dw_order_total_category",
+    with_views(
+        """SELECT product_category, count(DISTINCT id) AS order_cnt, round(sum(quantity * price), 2) AS order_amt
+           FROM shop_order JOIN order_item ON order_id = id GROUP BY product_category""",
+        SHOP_ORDER, ORDER_ITEM,
+    ),
+)
+def dw_order_total_category(spark, folder):
+    """All orders so far by product category."""
+    return R.category_total(orders(spark, folder), items(spark, folder))
+
+
 @query(
     "dw_order_today",
     with_views("SELECT count(*) AS order_cnt, round(coalesce(sum(amount), 0), 2) AS order_amt FROM shop_order WHERE CAST(create_time AS DATE) = DATE '1998-07-15'", SHOP_ORDER),
@@ -493,7 +531,7 @@ def join_order_items(spark, folder):
 def dw_cdc_inserts(spark, folder):
     """Only the inserted rows of the change feed."""
     return insert_rows(changes(spark, folder)).agg(
-        F.count(F.lit(1)).alias("cnt"), F.round(F.sum("amount"), 2).alias("amount")
+        F.count(F.lit(1)).alias("cnt"), (F.sum(R.cents(F.col("amount"))) / 100).alias("amount")
     )
 
 

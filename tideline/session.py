@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -9,7 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "tideline", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the jobs assume; ``conf`` overrides any of them."""
+    """A session with the settings the jobs assume; ``conf`` overrides any of them.
+
+    On a cluster a shuffle starts with many partitions, which Spark merges to about the advisory
+    size, so that neither a small nor a very large input needs another setting. In one process
+    (tests, benchmarks) there are as many as cores.
+    """
+    if master and master.startswith("local"):
+        cores = master.removeprefix("local").strip("[]").split(",")[0]
+        sizes = {"spark.sql.shuffle.partitions": cores if cores.isdigit() else str(os.cpu_count())}
+    else:
+        sizes = {
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        }
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
@@ -20,6 +34,7 @@ def build_session(app: str = "tideline", master: str | None = None, **conf: str)
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
+        **sizes,
         **conf,
     }
     builder = SparkSession.builder.appName(app)
@@ -30,17 +45,6 @@ def build_session(app: str = "tideline", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def fit_to_one_process(spark: SparkSession) -> None:
-    """Use as many shuffle and state partitions as cores, if Spark runs in one process.
-
-    Only where the number was left at its default; on a cluster nothing is changed.
-    """
-    context, name = spark.sparkContext, "spark.sql.shuffle.partitions"
-    untouched = spark.conf.get(name) == "200" and not context.getConf().contains(name)
-    if context.master.startswith("local") and untouched:
-        spark.conf.set(name, str(context.defaultParallelism))
-
-
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new, empty path below the shared folder named by ``spark.checkpoint.dir``.
 

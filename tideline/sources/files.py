@@ -25,8 +25,17 @@ def watch_lines(spark: SparkSession, folder: str, files_per_batch: int | None =
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, separator: str = ",") -> DataFrame:
-    """Delimited rows with a declared schema; rows that do not fit it are skipped."""
-    return spark.read.schema(schema).option("sep", separator).option("mode", "DROPMALFORMED").csv(path)
+    """Delimited rows with a declared schema; rows that do not fit it are skipped.
+
+    Each line is read in full, whatever columns are asked for later, so the same rows are there for a count and for
+    any choice of columns. A field cannot hold a line break.
+    """
+    broken = "__broken_line"
+    full = T.StructType([*schema.fields, T.StructField(broken, T.StringType())])
+    options = {"sep": separator, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken}
+    lines = spark.read.text(path).where(F.col("value") != "")
+    read = lines.select(F.from_csv("value", full.simpleString()[7:-1].replace(":", " "), options).alias("row"))
+    return read.where(F.col(f"row.{broken}").isNull()).select("row.*").drop(broken)
 
 
 def from_json_lines(frame: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -144,9 +146,11 @@ def change_feed(keys: list[str], values: list[str], state: str, results: str):
         batch.persist()
         new = batch.select(*keys, *values)
         old = spark.read.parquet(f"{state}/batch={number - 1}") if number else new.where(F.lit(False))
-        touched = old.join(new.select(*keys), keys, "left_semi")
+        named = new.select(*[F.col(k).alias(f"__n_{k}") for k in keys])
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__n_{k}")) for k in keys])
+        touched = old.join(named, same, "left_semi")
         append_batch(snapshot_changes(touched, new, keys, values), results, number)
-        append_batch(old.join(new.select(*keys), keys, "left_anti").unionByName(new), state, number)
+        append_batch(old.join(named, same, "left_anti").unionByName(new), state, number)
         batch.unpersist()
 
     return work
