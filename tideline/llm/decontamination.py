@@ -19,7 +19,7 @@ WINDOW = 13
 #: A document is contaminated if at least one word in so many is hit.
 SHARE = 20
 #: Text bytes indexed together, and words of test items searched together.
-SEGMENT_BYTES, BLOCK_WORDS = 4 << 20, 200_000
+SEGMENT_BYTES, BLOCK_WORDS = 2 << 20, 200_000
 
 INDEX = "first_row long, ids binary, counts binary, terms binary, starts binary, positions binary"
 
