@@ -91,7 +91,7 @@ def train(rows: DataFrame, is_markup: bool) -> TextModel:
 
     found = rows.select("declared", "text").mapInArrow(run, "declared string, feature long, n long")
     counts = np.zeros((len(languages), FEATURES))
-    for row in found.groupBy("declared", "feature").agg(F.sum("n").alias("n")).toLocalIterator():
+    for row in found.groupBy("declared", "feature").agg(F.sum("n").alias("n")).collect():
         counts[languages.index(row["declared"]), row["feature"]] = row["n"]
     return TextModel(languages, counts)
 
