@@ -11,16 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.components import components
-from tideline.llm.tables import LAST_ID, beside, grouped, id_or_last, shuffle_partitions
+from tideline.llm.tables import LAST_ID, grouped, id_or_last, likely_members, membership, shuffle_partitions, written
 from tideline.llm.words import OTHERS, in_blocks, mixed, run_hashes, signed, texts_of, tokenised
-from tideline.session import stored
 
 SHINGLE, PERCENT = 4, 85
 #: Sizes of sets from one band to the next, and parts of the domain for each part that must be enumerated.
 BAND_RATIO, SPARE = 1.5, 1.35
 #: Parts of the finer division whose digests, a byte each, rule pairs out.
 FINE = 4
-#: Documents of one signature that are compared in one task.
+#: Documents around one pivot that are compared in one block.
 BLOCK = 512
 
 
@@ -155,7 +154,7 @@ def signature_rows(texts: DataFrame, size: int, percent: int) -> DataFrame:
     return texts.select("key", "text").mapInArrow(run, SIGNED)
 
 
-SETS = "doc long, elements binary, fines array<struct<band:int,fine:binary>>"
+SETS = "doc long, size int, elements binary, fines array<struct<band:int,fine:binary>>"
 
 
 def set_rows(texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -163,7 +162,7 @@ def set_rows(texts: DataFrame, size: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
-            [("doc", pa.int64()), ("elements", pa.binary()),
+            [("doc", pa.int64()), ("size", pa.int32()), ("elements", pa.binary()),
              ("fines", pa.list_(pa.struct([("band", pa.int32()), ("fine", pa.binary())])))]
         )
         for batch in batches:
@@ -171,7 +170,7 @@ def set_rows(texts: DataFrame, size: int, percent: int) -> DataFrame:
             for part in in_blocks(bodies):
                 rows = [
                     {
-                        "doc": key, "elements": s.tobytes(),
+                        "doc": key, "size": len(s), "elements": s.tobytes(),
                         "fines": [{"band": b.number, "fine": fine_digests(s, b)} for b in Band.of(len(s), percent)],
                     }
                     for key, s in zip(keys[part], shingle_sets(bodies[part], size), strict=True)
@@ -181,54 +180,94 @@ def set_rows(texts: DataFrame, size: int, percent: int) -> DataFrame:
     return texts.select("key", "text").mapInArrow(run, SETS)
 
 
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    both = int((y[at] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def alike(percent: int):
     """Keep the pairs (a, b) whose sets are similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for one, other in zip(batch.column("one").to_pylist(), batch.column("other").to_pylist(), strict=True):
-                x, y = np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                both = int((y[at] == x).sum())
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            sides = zip(batch.column("one").to_pylist(), batch.column("other").to_pylist(), strict=True)
+            keep = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in sides]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
 def not_ruled_out(percent: int):
-    """Keep the pairs (a, b, band) whose fine digests differ in no more parts than similar sets may."""
+    """Keep the pairs (a, b) whose fine digests differ in no more parts than similar sets may."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("band", "one", "other"))
             keep = [
-                int((np.frombuffer(x, np.uint8) != np.frombuffer(y, np.uint8)).sum()) <= Band(band, percent).differ
-                for band, x, y in zip(*columns, strict=True)
+                int((np.frombuffer(x["fine"], np.uint8) != np.frombuffer(y["fine"], np.uint8)).sum())
+                <= allowed(min(x["size"], y["size"]), percent)
+                for x, y in zip(batch.column("one").to_pylist(), batch.column("other").to_pylist(), strict=True)
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def across(percent: int):
-    """In each block of a signature, the pairs of different components that the fine digests do not rule out."""
+MEMBER = "pivot long, left int, right int, band int, block int, doc long, component long, size int, fine binary"
+
+
+def candidates(rows: list[dict], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of a block, the later rows of other components that the fine digests do not rule out."""
+    sizes, components = np.array([r["size"] for r in rows]), np.array([r["component"] for r in rows])
+    blocks = np.array([r["block"] for r in rows])
+    within = rows[0]["left"] == rows[0]["right"]
+    fine = np.frombuffer(b"".join(r["fine"] for r in rows), np.uint8).reshape(len(rows), -1)
+    for i in range(len(rows) - 1):
+        other = components[i + 1 :] != components[i]
+        if not within:
+            other &= blocks[i + 1 :] != blocks[i]
+        others = np.flatnonzero(other) + i + 1
+        if len(others):
+            limits = np.minimum(sizes[others], sizes[i]) * (100 - percent) // percent
+            yield i, others[(fine[others] != fine[i]).sum(1) <= limits]
+
+
+def with_candidates(percent: int):
+    """The rows of each block that have a candidate: as many as there are rows at most, not pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, left, right, band), rows in grouped(batches, ["sig", "left", "right", "band"]):
-            rows = list(rows)
-            docs, parts = np.array([r["doc"] for r in rows]), np.array([r["component"] for r in rows])
-            blocks = np.array([r["block"] for r in rows])
-            fine = np.frombuffer(b"".join(r["fine"] for r in rows), np.uint8).reshape(len(rows), -1)
-            limit, a, b = Band(band, percent).differ, [], []
-            for i in range(len(rows)):
-                other = (parts[i + 1 :] != parts[i]) if left == right else (parts[i + 1 :] != parts[i]) & (blocks[i + 1 :] != blocks[i])
-                others = np.flatnonzero(other) + i + 1
-                hits = others[(fine[others] != fine[i]).sum(1) <= limit] if len(others) else others
-                a += [int(docs[i])] * len(hits)
-                b += docs[hits].tolist()
+        for _, rows in grouped(batches, ["pivot", "left", "right", "band"]):
+            rows, found = list(rows), set()
+            for i, others in candidates(rows, percent):
+                found.update([i, *others.tolist()] if len(others) else [])
+            if found:
+                table = pa.Table.from_pylist([rows[i] for i in sorted(found)], MEMBER_SCHEMA)
+                yield from table.to_batches()
+
+    return run
+
+
+MEMBER_SCHEMA = pa.schema(
+    [
+        ("pivot", pa.int64()), ("left", pa.int32()), ("right", pa.int32()), ("band", pa.int32()), ("block", pa.int32()),
+        ("doc", pa.int64()), ("component", pa.int64()), ("size", pa.int32()), ("fine", pa.binary()),
+    ]
+)
+
+
+def linked_in_blocks(percent: int):
+    """The pairs of candidates whose sets are similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in grouped(batches, ["pivot", "left", "right", "band"]):
+            rows, a, b = list(rows), [], []
+            sets = [np.frombuffer(r["elements"], np.uint64) for r in rows]
+            for i, others in candidates(rows, percent):
+                for j in others.tolist():
+                    if similar(sets[i], sets[j], percent):
+                        a.append(rows[i]["doc"])
+                        b.append(rows[j]["doc"])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return run
@@ -242,43 +281,50 @@ def both_sides(pairs: DataFrame, sides: DataFrame, keys: list[str], value: str)
     return pairs
 
 
-def similarity_links(texts: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(links, component of each linked key): links (a, b) of keys that hold every component together.
+def similarity_links(texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(node, component) of the keys that links connect to others.
 
-    First every document of a signature is compared with the smallest one; what is similar is linked and makes
-    components. Only signatures that still span several components go on: their documents are compared across
-    components, in blocks, by fine digests, and what those do not rule out by the sets. Pairs within a component
-    need no comparison, as a further link would change nothing, and no pair is written before it has passed the
-    digests.
+    First every document of a signature is compared with its pivot, the smallest one; what is similar is linked and
+    makes components. Only pivots whose documents still are of several components go on: these documents, once each
+    for all signatures of the pivot, are compared across components, in blocks, by fine digests first and those that
+    have candidates by the sets. Pairs within a component
+    need no comparison, as a further link would change nothing, and no pair is written that is not a link.
     """
     rows = signature_rows(texts, size, percent)
-    shared = rows.groupBy("sig").agg(F.min("doc").alias("pivot"), F.max("doc").alias("last"), F.count("*").alias("n"))
-    shared = shared.where("pivot < last").drop("last")
-    meeting = stored(rows.join(shared, "sig"))
-    involved = meeting.select(F.col("doc").alias("key")).distinct()
-    sets = stored(set_rows(texts.join(involved, "key", "left_semi").dropDuplicates(["key"]), size, percent))
-    fines = sets.select("doc", F.inline("fines"))
-    stars = meeting.where("doc > pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b"), "band").distinct()
-    likely = both_sides(stars, fines, ["band"], "fine").mapInArrow(not_ruled_out(percent), "a long, b long").distinct()
-    links = stored(both_sides(likely, sets, [], "elements").mapInArrow(alike(percent), "a long, b long"))
-    found = stored(components(links))
-    # What is left: signatures of three documents or more, not all of one component.
-    known = found.withColumnRenamed("node", "doc")
-    members = meeting.where("n > 2").join(known, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    ends = [F.min("component").alias("x"), F.max("component").alias("y")]
-    open_sigs = members.where("doc <> pivot").groupBy("sig").agg(*ends).where("x < y").select("sig")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = members.where("doc <> pivot").join(open_sigs, "sig").withColumn("blocks", blocks)
+    shared = rows.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1")
+    met = written(rows.join(shared, "sig"))
+    meeting = written(met.join(met.groupBy("sig").agg(F.min("doc").alias("pivot")), "sig"))
+    involved = met.select(F.col("doc").alias("key")).distinct()
+    near = likely_members(texts.select("key", "text"), "key", membership(involved, "key"))
+    sets = written(set_rows(near.join(involved, "key", "left_semi").dropDuplicates(["key"]), size, percent))
+    fines = sets.select("doc", "size", F.inline("fines"))
+    stars = meeting.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b"), "band").distinct()
+    looks = fines.select("doc", "band", F.struct("size", "fine").alias("look"))
+    likely = both_sides(stars, looks, ["band"], "look").mapInArrow(not_ruled_out(percent), "a long, b long").distinct()
+    links = written(both_sides(likely, sets, [], "elements").mapInArrow(alike(percent), "a long, b long"))
+    found = written(components(links))
+    # What is left: the documents around a pivot, over all its signatures, that are not all of one component.
+    around = meeting.where("doc <> pivot").select("pivot", "band", "doc").distinct()
+    members = around.join(found.withColumnRenamed("node", "doc"), "doc", "left")
+    members = members.withColumn("component", F.coalesce("component", "doc"))
+    facts = [F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")]
+    unsettled = members.groupBy("pivot", "band").agg(*facts).where("x < y").drop("x", "y")
+    rows = members.join(unsettled, ["pivot", "band"]).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "sig", "doc", "band", "component", "block", F.least("block", "with").alias("left"), F.greatest("block", "with").alias("right")
-    )
-    keys = ["sig", "left", "right", "band"]
-    rows = rows.join(fines, ["doc", "band"]).repartition(shuffle_partitions(rows), *keys).sortWithinPartitions(*keys, "doc")
-    likely = rows.mapInArrow(across(percent), "a long, b long").distinct()
-    more = stored(both_sides(likely, sets, [], "elements").mapInArrow(alike(percent), "a long, b long"))
-    links = links.unionByName(more)
-    return links, stored(components(links))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumns({"left": F.least("block", "with"), "right": F.greatest("block", "with")})
+    rows = in_blocks_of(rows.join(fines, ["doc", "band"]).select(*MEMBER_SCHEMA.names)).mapInArrow(with_candidates(percent), MEMBER)
+    rows = written(rows)
+    checked = in_blocks_of(rows.join(sets.select("doc", "elements"), "doc"))
+    more = checked.select(*MEMBER_SCHEMA.names, "elements").mapInArrow(linked_in_blocks(percent), "a long, b long").distinct()
+    # Components so far stand for their links.
+    hung = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return written(components(hung.unionByName(more)))
+
+
+def in_blocks_of(rows: DataFrame) -> DataFrame:
+    keys = ["pivot", "left", "right", "band"]
+    return rows.repartition(shuffle_partitions(rows), *keys).sortWithinPartitions(*keys, "doc")
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -288,9 +334,9 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def grouped_texts(texts: DataFrame, size: int, percent: int) -> DataFrame:
     """id, key, n_shingles, class_id and component_id of each row (id, key, text); the last two null for empty sets."""
-    rows = stored(set_profiles(texts, size))
+    rows = written(set_profiles(texts, size))
     classes = rows.where("n_shingles > 0").groupBy("high", "low", "n_shingles").agg(F.min("id").alias("class_id"))
-    _, found = similarity_links(texts, size, percent)
+    found = similarity_links(texts, size, percent)
     # A signature row stands under the key of some text of its class: bring components to classes.
     keys = rows.select("key", "high", "low", "n_shingles").distinct()
     linked = found.withColumnRenamed("node", "key").join(keys, "key").select("high", "low", "n_shingles", "component").distinct()

@@ -4,14 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline.session import stored
+
+#: Removes the shuffle files of a query when it is done, not when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: A null id counts as one document that comes after all others.
 LAST_ID = (1 << 63) - 1
 
 
+def written(frame: DataFrame) -> DataFrame:
+    """``stored``, with what the write has shuffled removed right after it: later steps read the table alone."""
+    conf = frame.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        return stored(frame)
+    finally:
+        conf.set(CLEANUP, before)
+
+
 def id_or_last(name: str = "doc_id") -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(LAST_ID))
 
@@ -66,3 +82,36 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tupl
         yield key, piece
         for _ in piece:
             pass
+
+
+#: Bits of a membership filter: 2 MB, whatever the data.
+FILTER_BITS = 1 << 24
+
+
+def membership(frame: DataFrame, column: str) -> np.ndarray:
+    """A filter of fixed size for the hashes in ``column``: false where a hash is certainly not among them."""
+    place = F.pmod(F.col(column), F.lit(FILTER_BITS)) + 1
+    parts = (
+        frame.select(place.alias("place"))
+        .groupBy(F.bitmap_bucket_number("place").alias("part"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    )
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for row in parts.collect():
+        bits = np.frombuffer(row["bits"], np.uint8)
+        begin = (row["part"] - 1) * len(bits)
+        out[begin : begin + len(bits)] = bits
+    return out
+
+
+def likely_members(frame: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
+    """The rows the filter lets pass, so that fewer are shuffled; a join must follow that decides."""
+    filter_bits = bits.tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.frombuffer(filter_bits, np.uint8)
+        for batch in batches:
+            place = np.asarray(batch.column(column)) % FILTER_BITS
+            yield batch.filter(pa.array((known[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)))
+
+    return frame.mapInArrow(run, frame.schema)
