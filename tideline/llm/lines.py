@@ -10,9 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.tables import LAST_ID, beside, grouped, id_or_last, salted
+from tideline.llm.tables import LAST_ID, beside, grouped, id_or_last, salted, written
 from tideline.llm.words import mixed, texts_of
-from tideline.session import stored
 
 MIN_LENGTH = 10
 KEYS_PER_SHARD = 1024
@@ -180,11 +179,11 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Returns id, high and low (the key's hash), lines (how often in this document), n_docs, first (smallest id).
     """
-    rows = stored(line_hashes(docs.select(id_or_last(id_col).alias("id"), F.col(text_col).alias("text")), least))
+    rows = written(line_hashes(docs.select(id_or_last(id_col).alias("id"), F.col(text_col).alias("text")), least))
     ends = [F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n_docs")]
-    repeated = stored(rows.groupBy("high", "low").agg(*ends).where("first < last").drop("last"))
+    repeated = written(rows.groupBy("high", "low").agg(*ends).where("first < last").drop("last"))
     shards = max(1, -(-repeated.count() // KEYS_PER_SHARD))
-    tables = stored(build_shards(repeated, shards))
+    tables = written(build_shards(repeated, shards))
     probes = rows.withColumn("shard", F.pmod("high", F.lit(shards)).cast("long"))
     tables, probes = salted(tables, probes, probes.groupBy("shard").agg(F.count("*").alias("load")), PROBES_PER_TASK)
     columns = ["shard", "salt", "kind", "id", "high", "low", "lines", "hash", "prints", "counts", "firsts"]

@@ -12,9 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.automaton import SuffixAutomaton
-from tideline.llm.tables import LAST_ID, beside, id_or_last, salted
+from tideline.llm.tables import LAST_ID, beside, id_or_last, salted, written
 from tideline.llm.words import OTHERS, Words, in_blocks, run_hashes, signed, sliding, texts_of, tokenised
-from tideline.session import stored
 
 WINDOW = 50
 #: Words of a landmark, the run that brings equal windows together; each window has at least one.
@@ -188,7 +187,7 @@ def repeated_spans(rows: DataFrame, texts: DataFrame, window: int, size: int) ->
        owner and stayed open on both sides, so they are compared among themselves, by 128 bits of hash.
     """
     marks = rows.select("id", "key", F.inline(F.arrays_zip("hashes", "places"))).withColumnRenamed("hashes", "hash")
-    shared = stored(
+    shared = written(
         marks.groupBy("hash")
         .agg(F.min("id").alias("owner"), F.max("id").alias("last"), F.min_by("places", "id").alias("place"))
         .where("owner < last")
@@ -200,13 +199,13 @@ def repeated_spans(rows: DataFrame, texts: DataFrame, window: int, size: int) ->
     shared = shared.select("hash", "owner", F.pmod(F.xxhash64("owner", "home"), F.lit(shards)).alias("shard"))
     meeting = marks.join(shared, "hash").select("id", "key", F.struct("shard", "owner", F.col("places").alias("place")).alias("mark"))
     plans = meeting.groupBy("id", "key").agg(F.collect_list("mark").alias("marks"))
-    cut = stored(passages(texts.join(plans, ["id", "key"]), shards, window, size))
+    cut = written(passages(texts.join(plans, ["id", "key"]), shards, window, size))
     probes = cut.where("kind = 1").drop("kind")
     loads = probes.groupBy("shard").agg(F.sum(F.size("places")).alias("load"))
     reference, probes = salted(cut.where("kind = 0").drop("kind"), probes, loads, PROBES_PER_TASK)
     columns = ["shard", "salt", "kind", "id", "key", "at", "words", "places"]
     dealt = beside(reference, probes, ["shard", "salt"], ["id"]).select(*columns)
-    matched = stored(dealt.mapInArrow(match(window, size), MATCHED))
+    matched = written(dealt.mapInArrow(match(window, size), MATCHED))
     spans = matched.where(F.size("spans") > 0).select("id", "key", "spans")
     # Step 2.
     left = matched.select("id", "key", F.inline(F.arrays_zip("starts", "highs", "lows")))
@@ -268,7 +267,7 @@ def dedup_substrings(
     """
     text = F.col(text_col)
     texts = docs.select(id_or_last(id_col).alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("key"), text.alias("text"))
-    rows = stored(profiles(texts, window, landmark))
+    rows = written(profiles(texts, window, landmark))
     firsts = rows.groupBy("digest").agg(F.min("id").alias("first_id"))
     rows = rows.join(firsts, "digest").withColumn("copy", (F.col("first_id") < F.col("id")) & (F.col("n_words") >= window))
     spans = repeated_spans(rows.where("first_id = id"), texts, window, landmark)
