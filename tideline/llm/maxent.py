@@ -11,9 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.tables import LAST_ID
+from tideline.llm.tables import LAST_ID, written
 from tideline.llm.words import Words, in_blocks, signed, texts_of, tokenised
-from tideline.session import stored
 
 #: Classes: the end, the commonest words one each, the commonest word endings one each, other endings by hash.
 WORD_CLASSES, TAIL_CLASSES, HASH_CLASSES = 47, 64, 16
@@ -28,7 +27,7 @@ PULL = 5.0
 #: Words whose counts every task has, at most; the others are looked up by a join.
 HOT_WORDS = 1 << 17
 #: Tokens counted together.
-CHUNK_TOKENS = 1 << 22
+CHUNK_TOKENS = 1 << 21
 END = np.uint64(0x5D1E6F3A9B7C2481)
 
 
@@ -93,7 +92,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
             )
 
     counts = texts.select("text").mapInArrow(run, "word long, tail long, n long")
-    return stored(counts.groupBy("word").agg(F.max("tail").alias("tail"), F.sum("n").alias("n")))
+    return written(counts.groupBy("word").agg(F.max("tail").alias("tail"), F.sum("n").alias("n")))
 
 
 @dataclass
@@ -189,7 +188,7 @@ def context_counts(texts: DataFrame, known: Vocabulary) -> DataFrame:
 
     cells = texts.select("text").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     split = cells.select(F.expr(f"cell div {CLASSES}").cast("int").alias("context"), F.expr(f"cell % {CLASSES}").alias("class"), "n")
-    return stored(split.repartition(GRADIENT_TASKS, "context"))
+    return written(split.repartition(GRADIENT_TASKS, "context"))
 
 
 def feature_rows(context: np.ndarray) -> list[np.ndarray]:
@@ -243,7 +242,7 @@ def summed(cells: DataFrame, weights: np.ndarray | None) -> np.ndarray:
             yield pa.RecordBatch.from_pylist([{"sums": feature_sums(context.astype(np.int64), seen).tobytes()}])
 
     total = np.zeros((BUCKETS, CLASSES), np.float64)
-    for row in cells.mapInArrow(run, "sums binary").toLocalIterator():
+    for row in cells.mapInArrow(run, "sums binary").collect():
         total += np.frombuffer(row["sums"], np.float32).reshape(BUCKETS, CLASSES)
     return total
 
