@@ -154,6 +154,37 @@ def test_language_stage(docs, none):
     assert language.in_known_language(none).count() == 0
 
 
+def test_rare_languages_stay(spark):
+    """Languages that few rows declare beside a hot source: one in other letters and one in Latin ones."""
+    rng = random.Random(11)
+    tongues = {"aa": (["ka", "lo", "mi", "ten"], 9000), "qg": (["მი", "და", "რო", "ლს"], 4), "qz": (["xhu", "zgj", "ëz", "qy"], 4)}
+    made = [(sentences(rng, syllables, 60), name, name) for name, (syllables, n) in tongues.items() for _ in range(n)]
+    rows = spark.createDataFrame([(i, *r) for i, r in enumerate(made)], "doc_id long, text string, lang string, source string")
+    from pyspark.sql import functions as F
+
+    out = language.identify(rows, "doc_id", "text", F.col("lang"), F.col("source")).collect()
+    assert len(out) == len(made) and all(r["lang"] == made[r["id"]][1] and r["accepted"] for r in out)
+    assert language.in_known_language(rows).count() == len(made)
+
+
+def test_many_languages_in_small_parts(spark, monkeypatch):
+    """Parts of counts and weights that are handed on early add up to the same."""
+    rng = random.Random(12)
+    names = [a + b for a in "abcdefgh" for b in "mnopqrst"]
+    made = [(i, sentences(random.Random(names[i % 64]), [f"{names[i % 64]}{c}" for c in "aeiou"], 50 + rng.randint(0, 9)), names[i % 64])
+            for i in range(640)]
+    rows = spark.createDataFrame(made, "doc_id long, text string, lang string").selectExpr("*", "concat(lang, '.com') AS source")
+    from pyspark.sql import functions as F
+
+    def found():
+        out = language.identify(rows, "doc_id", "text", F.col("lang"), F.col("source")).collect()
+        return {r["id"]: (r["lang"], round(r["posterior"], 6), r["accepted"]) for r in out}
+
+    whole = found()
+    monkeypatch.setattr(language, "CELLS", 3 * language.FEATURES)
+    assert found() == whole and all(whole[i][0] == name for i, _, name in made)
+
+
 def test_page_languages(spark):
     rng = random.Random(5)
     made = [

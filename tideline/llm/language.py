@@ -17,8 +17,8 @@ from tideline.session import stored
 
 #: Three neighbouring bytes, hashed to so many features.
 FEATURES = 1 << 12
-#: A language counts if at least this share of the rows declares it, so there are at most 1000.
-LEAST_SHARE = 0.001
+#: Feature counts or weights, by language or host, that a task holds before it hands them on.
+CELLS = 1 << 22
 #: A text never counts for more than this many independent features, as neighbouring ones overlap.
 STRENGTH = 60.0
 #: Rows that a prior counts for in the level below it; cells added to the declared-language table.
@@ -59,111 +59,154 @@ class TextModel:
 
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages = languages
-        smooth = counts + 0.5
-        known = np.log(smooth / smooth.sum(1, keepdims=True))
-        self.logs = np.vstack([known, np.full((1, FEATURES), -np.log(FEATURES))])
+        self.logs = np.full((len(languages) + 1, FEATURES), -np.log(FEATURES), np.float32)
+        for i, own in enumerate(counts):
+            self.logs[i] = np.log((own + 0.5) / (own.sum(dtype=np.float64) + 0.5 * FEATURES))
 
     def log_likelihoods(self, text: bytes) -> tuple[np.ndarray, int]:
         counts = features(text)
         n = int(counts.sum())
-        return self.logs @ counts * (STRENGTH / (n + STRENGTH)), n
+        return self.logs @ (counts * (STRENGTH / (n + STRENGTH))).astype(np.float32), n
 
 
 def train(rows: DataFrame, is_markup: bool) -> TextModel:
-    """Feature counts of all rows (text, declared) by declared language."""
-    shares = rows.where("declared IS NOT NULL").groupBy("declared").agg(F.count("*").alias("n"))
-    total = shares.agg(F.sum("n")).first()[0] or 0
-    languages = sorted(r["declared"] for r in shares.where(F.col("n") >= LEAST_SHARE * total).collect())
+    """Feature counts of all rows (text, declared) by declared language, however few rows declare it.
+
+    Counts are a table keyed by language and feature; only a row per language, its counts, goes to the driver.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for declared, text in zip(batch.column("declared").to_pylist(), texts_of(batch), strict=True):
-                if declared in languages and text:
-                    counts = features(plain(text.decode("utf-8", "replace")) if is_markup else text)
-                    sums[declared] = sums.get(declared, 0) + counts
+                if declared is None:
+                    continue
+                counts = features(plain(text.decode("utf-8", "replace")) if is_markup else text) if text else 0
+                sums[declared] = sums.get(declared, np.zeros(FEATURES, np.int64)) + counts
+                if len(sums) * FEATURES >= CELLS:
+                    yield from counted(sums)
+                    sums = {}
+        yield from counted(sums)
+
+    def counted(sums: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         for declared, counts in sums.items():
-            at = np.flatnonzero(counts)
+            # A language without a single feature has a row all the same.
+            at = np.flatnonzero(counts) if counts.any() else np.zeros(1, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([declared] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())],
                 ["declared", "feature", "n"],
             )
 
     found = rows.select("declared", "text").mapInArrow(run, "declared string, feature long, n long")
-    counts = np.zeros((len(languages), FEATURES))
-    for row in found.groupBy("declared", "feature").agg(F.sum("n").alias("n")).collect():
-        counts[languages.index(row["declared"]), row["feature"]] = row["n"]
-    return TextModel(languages, counts)
+    cells = found.groupBy("declared", "feature").agg(F.sum("n").alias("n"))
+    by_language = cells.groupBy("declared").agg(F.collect_list("feature").alias("at"), F.collect_list("n").alias("n"))
+    own = {}
+    for row in stored(by_language).toLocalIterator():
+        own[row["declared"]] = np.zeros(FEATURES, np.float32)
+        own[row["declared"]][row["at"]] = row["n"]
+    languages = sorted(own)
+    return TextModel(languages, [own.pop(name) for name in languages])
 
 
-SCORED = "id long, key long, host string, declared string, n long, logs array<double>, weights array<double>"
+SCORED = "id long, key long, host string, declared string, n long, logs array<float>"
 
 
 def score_texts(rows: DataFrame, model: TextModel, is_markup: bool) -> DataFrame:
-    """Log likelihoods of each row's text and, under flat priors, the languages' weights."""
+    """Log likelihoods of each row's text, the unknown language last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            logs, sizes = [], []
-            for text in texts_of(batch):
-                text = text or b""
-                log, n = model.log_likelihoods(plain(text.decode("utf-8", "replace")) if is_markup else text)
-                logs.append(log)
-                sizes.append(n)
-            table = np.array(logs).reshape(len(logs), -1)
-            known = table[:, :-1]
-            weights = np.exp(known - known.max(1, keepdims=True)) if known.shape[1] else known
-            weights = weights / weights.sum(1, keepdims=True) if known.shape[1] else known
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(c) for c in ("id", "key", "host", "declared")], pa.array(sizes, pa.int64()),
-                    lists(table), lists(weights),
-                ],
-                ["id", "key", "host", "declared", "n", "logs", "weights"],
-            )
+        step = max(1, CELLS // len(model.logs))
+        for whole in batches:
+            for begin in range(0, whole.num_rows, step):
+                batch = whole.slice(begin, step)
+                logs, sizes = [], []
+                for text in texts_of(batch):
+                    text = text or b""
+                    log, n = model.log_likelihoods(plain(text.decode("utf-8", "replace")) if is_markup else text)
+                    logs.append(log)
+                    sizes.append(n)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[batch.column(c) for c in ("id", "key", "host", "declared")], pa.array(sizes, pa.int64()),
+                        lists(np.array(logs)),
+                    ],
+                    ["id", "key", "host", "declared", "n", "logs"],
+                )
 
     return stored(rows.select("id", "key", "host", "declared", "text").mapInArrow(run, SCORED))
 
 
 def lists(table: np.ndarray) -> pa.Array:
     offsets = np.arange(len(table) + 1, dtype=np.int32) * table.shape[1]
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(table).ravel(), pa.float64()))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(table).ravel()))
+
+
+def weights_by(scored: DataFrame, key: str) -> DataFrame:
+    """(key, n, w): texts and the sums of their languages' weights, under flat priors, for each value of a column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for value, logs in zip(batch.column(key).to_pylist(), batch.column("logs"), strict=True):
+                known = logs.values.to_numpy()[:-1].astype(np.float64)
+                weights = np.exp(known - known.max())
+                # The last place counts the texts.
+                sums[value] = sums.get(value, 0) + np.append(weights / weights.sum(), 1.0)
+                if len(sums) * (len(known) + 1) >= CELLS:
+                    yield summed(sums)
+                    sums = {}
+        if sums:
+            yield summed(sums)
+
+    def summed(sums: dict[str, np.ndarray]) -> pa.RecordBatch:
+        table = np.array(list(sums.values()))
+        columns = [pa.array(list(sums), pa.string()), pa.array(table[:, -1]), lists(table[:, :-1])]
+        return pa.RecordBatch.from_arrays(columns, [key, "n", "w"])
+
+    return vector_sums(scored.select(key, "logs").mapInArrow(run, f"{key} string, n double, w array<double>"), [key])
+
 
+def vector_sums(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums of n and, place by place, of w by ``keys``; a row is as long as there are languages."""
+    cells = rows.select(*keys, "n", F.posexplode("w").alias("at", "v")).groupBy(*keys, "at")
+    sums = cells.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).groupBy(*keys)
+    places = F.array_sort(F.collect_list(F.struct("at", "v")))
+    return sums.agg(F.max("n").alias("n"), F.transform(places, lambda c: c["v"]).alias("w"))
 
-def host_priors(scored: DataFrame, size: int) -> DataFrame:
+
+def constant(values: np.ndarray) -> Column:
+    """An array column as one literal, however many values there are."""
+    return F.split(F.lit(",".join(map(repr, values.tolist()))), ",").cast("array<double>")
+
+
+def host_priors(scored: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
     """(host, prior): language shares of a host's texts, smoothed by its domain's, its suffix's and all texts'.
 
     Each level's prior counts for PRIOR_ROWS rows of the level below. Only sums per host are grouped further.
     """
-    sums = [F.sum(F.col("weights")[i]).alias(f"w{i}") for i in range(size)]
-    hosts = with_domain(scored.where("n > 0").groupBy("host").agg(F.count("*").alias("n"), *sums))
-    again = [F.sum(f"w{i}").alias(f"w{i}") for i in range(size)]
-    top = hosts.agg(F.sum("n").alias("n"), *again).first()
-    shares = [((top[f"w{i}"] or 0.0) + 1.0 / size) / ((top["n"] or 0) + 1.0) for i in range(size)]
+    hosts = stored(with_domain(weights_by(scored.where("n > 0"), "host")))
+    top = vector_sums(hosts, []).first()
+    shares = (np.array(top["w"] or np.zeros(size)) + 1.0 / size) / ((top["n"] or 0) + 1.0)
     parents, keys = None, []
     for key in ("suffix", "domain", "host"):
-        groups = hosts.groupBy(*keys, key).agg(F.sum("n").alias("n"), *again)
-        if parents is None:
-            outer = [F.lit(s) for s in shares]
-        else:
-            groups = groups.join(parents, keys)
-            outer = [F.col("prior")[i] for i in range(size)]
-        prior = F.array(*[(F.col(f"w{i}") + PRIOR_ROWS * outer[i]) / (F.col("n") + PRIOR_ROWS) for i in range(size)])
-        parents = groups.select(*keys, key, prior.alias("own")).withColumnRenamed("own", "prior")
+        groups = vector_sums(hosts, [*keys, key])
+        groups = groups.withColumn("outer", constant(shares)) if parents is None else groups.join(parents, keys)
+        prior = F.zip_with("w", "outer", lambda w, p: (w + PRIOR_ROWS * p) / (F.col("n") + PRIOR_ROWS))
+        parents = groups.select(*keys, key, prior.alias("outer"))
         keys = [*keys, key]
-    return parents.select("host", "prior"), shares
+    return parents.select("host", F.col("outer").alias("prior")), shares
 
 
-def declared_odds(scored: DataFrame, languages: list[str]) -> dict[str, np.ndarray]:
-    """log P(declared | language) for each declared language that is known, from the texts' weights."""
-    size = len(languages)
-    sums = [F.sum(F.col("weights")[i]).alias(f"w{i}") for i in range(size)]
-    known = scored.where(F.col("declared").isin(languages) & (F.col("n") > 0)).groupBy("declared").agg(*sums).collect()
-    table = np.full((size, size), CELL)
-    for row in known:
-        table[languages.index(row["declared"])] += [row[f"w{i}"] for i in range(size)]
-    logs = np.log(table / table.sum(0))
-    return {language: logs[i] for i, language in enumerate(languages)}
+def declared_odds(scored: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
+    """(declared, odds): log P(declared | language) by language for each declared one, from the texts' weights.
+
+    Beside it the odds of a declared language none of whose texts has letters.
+    """
+    rows = stored(weights_by(scored.where("n > 0 AND declared IS NOT NULL"), "declared"))
+    top = vector_sums(rows, []).first()
+    totals = np.array(top["w"] or np.zeros(size)) + CELL * size
+    odds = F.zip_with("w", constant(totals), lambda w, total: F.log((w + CELL) / total))
+    return rows.select("declared", odds.alias("odds")), np.log(CELL / totals)
 
 
 def identify(
@@ -178,7 +221,7 @@ def identify(
     """The language of each row's text, by Bayes' rule over all evidence.
 
     * text: a naive Bayes model of byte triples, trained on all rows by the language they declare, its weight bounded
-      by STRENGTH as neighbouring triples overlap;
+      by STRENGTH as neighbouring triples overlap. Every declared primary tag is a language, however rare;
     * declared language: how often texts of each language declare it, counted over all rows;
     * address suffix and host: the share of languages on the host, smoothed by registered domain, suffix and all.
 
@@ -205,16 +248,19 @@ def identify(
         out = scored.select("id", "key", F.lit(UNKNOWN).alias("lang"), F.lit(1.0).alias("posterior"), "declared")
         return out.withColumn("accepted", F.lit(False))
     priors, shares = host_priors(scored, len(languages))
-    odds = declared_odds(scored, languages)
+    by_declared, without = declared_odds(scored, len(languages))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [*languages, UNKNOWN]
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
-                prior = np.array(row["prior"] or shares)
-                log = np.array(row["logs"])
-                log[:-1] += np.log(prior * (1 - UNKNOWN_PRIOR)) + odds.get(row["declared"], 0.0)
+            # Row by row, so that no more than one row's arrays are Python objects or copies.
+            for at, row in enumerate(batch.select(["id", "key", "declared", "n"]).to_pylist()):
+                prior, odds = batch.column("prior")[at].values, batch.column("odds")[at].values
+                log = batch.column("logs")[at].values.to_numpy().astype(np.float64)
+                log[:-1] += np.log((shares if prior is None else prior.to_numpy()) * (1 - UNKNOWN_PRIOR))
+                if row["declared"] is not None:
+                    log[:-1] += without if odds is None else odds.to_numpy()
                 log[-1] += np.log(UNKNOWN_PRIOR)
                 weights = np.exp(log - log.max())
                 best = int(weights.argmax())
@@ -234,7 +280,7 @@ def identify(
             ("declared", pa.string()), ("accepted", pa.bool_()),
         ]
     )
-    joined = scored.drop("weights").join(priors, "host", "left")
+    joined = scored.join(priors, "host", "left").join(by_declared, "declared", "left")
     return joined.mapInArrow(run, "id long, key long, lang string, posterior double, declared string, accepted boolean")
 
 
