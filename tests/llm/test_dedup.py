@@ -179,6 +179,23 @@ def test_one_of_each_group(docs):
     assert left.count() == len(blank) + len({w[2] for w in want if w[1]})
 
 
+def test_one_of_each_group_by_component_not_by_id(spark):
+    """Texts that share a null id, or one number, stay if their components differ; copies go."""
+    import random
+
+    rng = random.Random(13)
+    texts = [" ".join(f"t{rng.randrange(10**6)}" for _ in range(60)) for _ in range(6)]
+    near = texts[0].replace(texts[0].split()[30], "other")
+    made = [(None, t) for t in texts[:3]] + [(5, t) for t in texts[3:]] + [(None, near), (9, texts[3] + " more"), (7, texts[5]), (5, texts[4])]
+    made += [(None, "one"), (None, "two"), (None, "ONE"), (None, None), (None, None)]
+    docs = spark.createDataFrame(made, "doc_id long, text string").repartition(4)
+    left = [tuple(r) for r in jaccard.one_of_each_group(docs).collect()]
+    kept = Counter(i for i, _ in left)
+    assert kept == Counter({None: 3 + 2 + 2, 5: 3})
+    assert {t for i, t in left if i == 5} == set(texts[3:]) and {t for i, t in left if i is None} >= set(texts[1:3])
+    assert len({t for _, t in left} & {texts[0], near}) == 1 and len({t for _, t in left} & {"one", "ONE"}) == 1
+
+
 def test_empty_tables(spark, none):
     items = spark.createDataFrame([], "item_id long, text string")
     for out in (

@@ -333,7 +333,11 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def grouped_texts(texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """id, key, n_shingles, class_id and component_id of each row (id, key, text); the last two null for empty sets."""
+    """id, key, n_shingles, class_id and component_id of each row (id, key, text); the last two null for empty sets.
+
+    Ids may stand at several texts, so they do not tell components apart: beside them there are ``high`` and ``low``, the
+    digest of the set, and ``component``, the key that stands for all linked sets, null without links.
+    """
     rows = written(set_profiles(texts, size))
     classes = rows.where("n_shingles > 0").groupBy("high", "low", "n_shingles").agg(F.min("id").alias("class_id"))
     found = similarity_links(texts, size, percent)
@@ -343,10 +347,10 @@ def grouped_texts(texts: DataFrame, size: int, percent: int) -> DataFrame:
     member = classes.join(linked, ["high", "low", "n_shingles"], "left")
     least = member.where("component IS NOT NULL").groupBy("component").agg(F.min("class_id").alias("component_id"))
     member = member.join(least, "component", "left").select(
-        "high", "low", "n_shingles", "class_id", F.coalesce("component_id", "class_id").alias("component_id")
+        "high", "low", "n_shingles", "class_id", F.coalesce("component_id", "class_id").alias("component_id"), "component"
     )
     out = rows.join(member, ["high", "low", "n_shingles"], "left")
-    return out.select("id", "key", "n_shingles", "class_id", "component_id")
+    return out.select("id", "key", "n_shingles", "class_id", "component_id", "high", "low", "component")
 
 
 def jaccard_components(
@@ -376,16 +380,19 @@ def jaccard_components(
 def one_of_each_group(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
-    """The documents that stay, with all their columns: the smallest id of each component, as one row.
+    """The documents that stay, with all their columns: of each component the row with the smallest id, as one row.
 
-    Documents without words belong to no group and all stay.
+    Null ids, and an id that stands at several texts, name no component: each component keeps a row of its own, of
+    equal ids the one with the smallest text hash. Documents without words belong to no group and all stay.
     """
     marked = docs.withColumns(
         {"__id": id_or_last(id_col), "__key": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))}
     )
     found = grouped_texts(keyed(docs, id_col, text_col), size, percent)
-    first = found.where("id = component_id").groupBy("id").agg(F.min("key").alias("key"))
-    stay = first.select(F.col("id").alias("__id"), F.col("key").alias("__key"))
+    # Linked sets go by their component, others by their own digest.
+    digest = [F.when(F.col("component").isNull(), F.col(c)).alias(c) for c in ("high", "low", "n_shingles")]
+    first = found.where("n_shingles > 0").groupBy("component", *digest).agg(F.min(F.struct("id", "key")).alias("first"))
+    stay = first.select(F.col("first.id").alias("__id"), F.col("first.key").alias("__key"))
     single = marked.join(stay, ["__id", "__key"], "left_semi").dropDuplicates(["__id", "__key"])
     blank = ~F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     return single.where(~blank).unionByName(marked.where(blank)).drop("__id", "__key")
