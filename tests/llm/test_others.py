@@ -108,6 +108,15 @@ def test_rules_and_reputation(spark):
     assert reputation.filter_urls(pages, outcomes.limit(0)).where("rule IS NULL AND verdict = 'block'").count() == 0
 
 
+def test_hosts_without_labels_have_their_domains_prior(spark):
+    labelled = [(f"http://h{i % 30}.bad.net/{i}", i % 50 != 0) for i in range(3000)]
+    labelled += [(f"http://h{i % 30}.good.net/{i}", i % 50 == 0) for i in range(3000)]
+    outcomes = spark.createDataFrame(labelled, "url string, bad boolean")
+    made = [(1, "http://new.bad.net/1"), (2, "http://new.good.net/1"), (3, "http://else.net/"), (4, None), (5, "http://h1.bad.net/")]
+    out = reputation.filter_urls(spark.createDataFrame(made, "page_id long, url string"), outcomes, rules=())
+    assert {r["page_id"]: r["verdict"] for r in out.collect()} == {1: "block", 2: "allow", 3: "allow", 4: "allow", 5: "block"}
+
+
 def test_shrinkage(spark):
     """Small hosts lie near their domain, large ones near their own rate."""
     made = [("h1.a.com", i < 90) for i in range(100)] + [("h2.a.com", True)] + [("h3.b.com", i < 5) for i in range(100)]

@@ -64,9 +64,15 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     strength fitted to how much the groups of that level differ. Only sums per host are grouped further, so a host
     with a third of all pages is one row from the start. Returns host, n, bad, rate, sd; no labels give no rows.
     """
+    return host_posteriors(outcomes)[0]
+
+
+def host_posteriors(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, float | None, float]:
+    """``host_reputation``, and what is known of other hosts: (domain, rate), (suffix, rate), the rate of all pages
+    (null without labels) and the strength of a host's prior."""
     hosts = with_domain(outcomes.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad")))
     total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
-    parents, keys = None, []
+    parents, keys, levels = None, [], {}
     for key in ("suffix", "domain", "host"):
         groups = hosts.groupBy(*keys, key).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
         if parents is None:
@@ -77,8 +83,10 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
         a = F.col("bad") + strength * F.col("mean")
         b = F.col("n") - F.col("bad") + strength * (1 - F.col("mean"))
         parents = groups.withColumns({"rate": a / (a + b), "sd": F.sqrt(a * b / (a + b + 1)) / (a + b)})
-        keys = [*keys, key]
-    return parents.select("host", "n", "bad", "rate", "sd")
+        keys, levels[key] = [*keys, key], parents
+    overall = total["bad"] / total["n"] if total["n"] else None
+    known = [levels["domain"].select("domain", "rate"), levels["suffix"].select("suffix", "rate")]
+    return parents.select("host", "n", "bad", "rate", "sd"), *known, overall, strength
 
 
 def rule_of(rules=RULES) -> tuple[Column, Column]:
@@ -102,17 +110,25 @@ def filter_urls(
 ) -> DataFrame:
     """A verdict on every page: a rule's if one fits, else block if its host's posterior lower bound is too bad.
 
-    ``outcomes`` has labelled pages (url, bad boolean; null bad rows are left out). A host without labels, and a
-    null or malformed url, is allowed unless a rule says otherwise: nothing is known against it. Repeated rows get
-    a row each, an empty table none, other columns are not read. Returns page_id, host, path, rule, verdict, rate
-    (posterior mean, null without labels).
+    ``outcomes`` has labelled pages (url, bad boolean; null bad rows are left out). A host without labels has
+    its prior: the rate of its registered domain, else of its suffix, else of all labelled pages, with the fitted
+    strength. Without any labels, and for a null or malformed url, a page is allowed unless a rule says otherwise:
+    nothing is known against it. Repeated rows get a row each, an empty table none, other columns are not read.
+    Returns page_id, host, path, rule, verdict, rate (posterior mean, null for a host without labels).
     """
     known = with_address(outcomes.where("bad IS NOT NULL").select(F.col(url_col).alias("url"), "bad")).select("host", "bad")
-    reputation = host_reputation(known).select("host", "rate", (F.col("rate") - deviations * F.col("sd") > max_bad).alias("bad"))
+    own, domains, suffixes, overall, strength = host_posteriors(known)
+    reputation = own.select("host", "rate", (F.col("rate") - deviations * F.col("sd") > max_bad).alias("bad"))
     rule, verdict = rule_of(rules)
     rows = with_address(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")))
-    own = F.when(F.col("bad"), "block").otherwise("allow")
-    return rows.join(reputation, "host", "left").select(
+    rows = with_domain(rows).join(reputation, "host", "left")
+    rows = rows.join(domains.withColumnRenamed("rate", "of_domain"), "domain", "left")
+    rows = rows.join(suffixes.withColumnRenamed("rate", "of_suffix"), "suffix", "left")
+    prior = F.coalesce("of_domain", "of_suffix", F.lit(overall).cast("double"))
+    spread = F.sqrt(prior * (1 - prior) / (strength + 1))
+    unseen = (F.col("host") != "") & (prior - deviations * spread > max_bad)
+    own = F.when(F.coalesce("bad", unseen), "block").otherwise("allow")
+    return rows.select(
         "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"), "rate"
     )
 
