@@ -5,8 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tideline.llm import decontamination, exact, extraction, jaccard, language, lines, maxent, mixing, reputation, substrings
+from pyspark.sql import functions as F
+
+from tideline.llm import (
+    conversations,
+    decontamination,
+    exact,
+    extraction,
+    infilling,
+    jaccard,
+    language,
+    lines,
+    maxent,
+    mixing,
+    quality,
+    reputation,
+    substrings,
+)
 from tideline.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,6 +168,113 @@ FROM d JOIN r ON r.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY
 """
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    return conversations.repaired_summary(rows, conversations.damaged(rows))
+
+
+#: Checksums by a table of the 256 bytes; states 0 to 3 of the grammar: nothing yet, after s, after u, after a.
+OP11_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+         lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+           lambda h, b: xor(h >> 8, t[(xor(h, b) & 255) + 1]))) % 20 AS draw
+  FROM conversations, crc
+), d AS (
+  SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+         CASE draw WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM c, (SELECT unnest([0, 1]) AS copy) WHERE draw <> 0 AND (copy = 0 OR draw = 3)
+), n AS (
+  SELECT *, row_number() OVER o AS i, left(role, 1) AS sym, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS ended,
+         lag(left(role, 1)) OVER o AS prior
+  FROM d WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text))
+), f AS (
+  SELECT *, CASE WHEN ended = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN right(ended, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault FROM n
+), moves(p, q, sym, cost, audit, lead) AS (
+  VALUES (0, 1, 's', 0, 'K', ''), (0, 2, 'u', 0, 'K', ''), (0, 3, 'a', 3, 'IK', 'user:'), (1, 2, 'u', 0, 'K', ''), (1, 3, 'a', 3, 'IK', 'user:'),
+         (2, 3, 'a', 0, 'K', ''), (2, 2, 'u', 3, 'IK', 'assistant:'), (3, 2, 'u', 0, 'K', ''), (3, 3, 'a', 3, 'IK', 'user:')
+), acts AS (
+  SELECT p, q, sym, cost, audit, lead, '' AS given FROM moves
+  UNION ALL SELECT p, q, NULL, cost + 3, replace(audit, 'K', 'R'), lead, CASE sym WHEN 'u' THEN 'user' ELSE 'assistant' END FROM moves WHERE sym <> 's'
+  UNION ALL SELECT s, s, NULL, 4, 'D', NULL, NULL FROM (SELECT unnest(range(4)) AS s)
+), r AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS state, {'cost': CAST(0 AS BIGINT), 'audit': '', 'lines': CAST([] AS VARCHAR[])} AS best
+  FROM (SELECT DISTINCT conv_id FROM f)
+  UNION ALL
+  SELECT conv_id, i, state, min(best) FROM (
+    SELECT r.conv_id, f.i, a.q AS state, {
+      'cost': r.best.cost + a.cost + CASE WHEN f.fault = 'truncated' AND a.given IS NOT NULL THEN 3 ELSE 0 END, 'audit': r.best.audit || a.audit,
+      'lines': CASE WHEN a.given IS NULL THEN r.best.lines
+                    ELSE list_concat(r.best.lines, CASE WHEN a.lead = '' THEN CAST([] AS VARCHAR[]) ELSE [a.lead] END,
+                                     [CASE WHEN a.given = '' THEN f.role ELSE a.given END || ':' || f.text]) END} AS best
+    FROM r JOIN f ON f.conv_id IS NOT DISTINCT FROM r.conv_id AND f.i = r.i + 1
+    JOIN acts a ON a.p = r.state AND (a.given IS NULL OR f.fault IS NULL OR f.fault = 'truncated') AND (a.sym IS NULL OR a.sym = f.sym)
+  ) GROUP BY conv_id, i, state
+), z AS (
+  SELECT conv_id, min({'cost': best.cost + e.cost, 'audit': best.audit || e.audit,
+         'lines': list_concat(best.lines, e.lines)}) AS best
+  FROM (SELECT *, max(i) OVER (PARTITION BY conv_id) AS n FROM r) r
+  JOIN (VALUES (0, 0, '', CAST([] AS VARCHAR[])), (1, 6, 'II', ['user:', 'assistant:']), (2, 3, 'I', ['assistant:']), (3, 0, '', CAST([] AS VARCHAR[])))
+       e(state, cost, audit, lines) ON e.state = r.state AND r.i = r.n
+  GROUP BY conv_id
+), g AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+         count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE prior || sym NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(g.gaps, 0) AS gaps, coalesce(g.blank, 0) AS blank, coalesce(g.duplicate, 0) AS duplicate,
+       coalesce(g.truncated, 0) AS truncated, coalesce(g.illegal, 0) AS illegal, coalesce(z.best.cost, 0) AS cost,
+       coalesce(z.best.audit, '') AS audit, sha256(coalesce(array_to_string(z.best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    made = infilling.fill_in_middle(docs)
+    return made.select(
+        F.col("id").alias("doc_id"),
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infilling.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), x AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, list_transform(range(4), lambda k: CAST('0x' || substr(h, 1 + 8 * k, 8) AS BIGINT)) AS r FROM d
+), c AS (
+  SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS lo, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS hi,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 90 THEN 'plain'
+              WHEN r[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM x
+), p AS (
+  SELECT *, array_to_string(u[1:lo], '') AS prefix, array_to_string(u[lo + 1:hi], '') AS middle, array_to_string(u[hi + 1:], '') AS suffix FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+def op13_quality(spark: SparkSession, folder: str) -> DataFrame:
+    scored = quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -166,6 +288,9 @@ QUERIES: dict[str, Query] = {
         op8_lm_score,
         op9_main_text,
         op10_jaccard_join,
+        op11_conversation_repair,
+        op12_fill_in_middle,
+        op13_quality,
     )
 }
 ORACLES: dict[str, str] = {
@@ -176,4 +301,6 @@ ORACLES: dict[str, str] = {
     "op6_mix": mixing.SQL,
     "op7_decontamination": OP7_SQL,
     "op10_jaccard_join": OP10_SQL,
+    "op11_conversation_repair": OP11_SQL,
+    "op12_fill_in_middle": OP12_SQL,
 }
