@@ -10,7 +10,6 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tideline.operators import changes as C
-from tideline.operators import state as S
 from tideline.operators.ordered import OrderedJob, Stage, running_count, running_sum
 from tideline.operators.ranking import top_n_per_group
 from tideline.operators.rows import split_rows
@@ -22,8 +21,10 @@ from tideline.session import scratch_folder
 from tideline.sinks.tables import append_batch, read_batches
 from tideline.sources.behaviour import action_event, app_log
 from tideline.sources.tables import table, table_stream
+from tideline.streaming import keyed as K
 from tideline.streaming import operators as O
 from tideline.streaming.carry import ordered_stream
+from tideline.streaming.dimensions import RunningDimension
 from tideline.streaming.run import append_to, appended, each_batch, kept_current, with_event_time
 
 ORDER = ["action_time", "log_id"]
@@ -41,6 +42,16 @@ def parts_of(spark, folder, base: str):
         yield table_stream(spark, base, "events")
 
 
+def appended_in_parts(spark, folder, purpose, result_of):
+    """Final rows of a query that is stopped and started between three parts of the events, its state in Spark's store."""
+    base, schema = scratch_folder(spark, purpose), None
+    for events in parts_of(spark, folder, base):
+        result = result_of(action_event(events))
+        schema = result.schema
+        append_to(result, f"{base}/rows", f"{base}/checkpoint")
+    return spark.read.schema(schema).parquet(f"{base}/rows")
+
+
 def ordered_in_parts(spark, folder, rows_of, job):
     """An ordered job that is stopped and started between three parts of the events, state carried over."""
     base, result = scratch_folder(spark, "parts"), None
@@ -96,13 +107,13 @@ def wm_custom(spark, folder):
 @query(
     "wm_min_of_inputs",
     action_sql("""
-    WITH both_kinds AS (SELECT * FROM action_event WHERE (event_id = 'click' AND ts < TIMESTAMP '2024-01-20') OR event_id = 'view')
+    WITH both_kinds AS (SELECT * FROM action_event WHERE event_id IN ('click', 'view'))
     SELECT * FROM (SELECT time_bucket(INTERVAL 1 hour, ts) AS window_start, count(*) AS cnt FROM both_kinds GROUP BY ALL)
     WHERE window_start + INTERVAL 1 hour <= (SELECT min(m) FROM (SELECT max(ts) AS m FROM both_kinds GROUP BY event_id))"""),
 )
 def wm_min_of_inputs(spark, folder):
     """Two inputs of which the slower one sets the time."""
-    clicks = actions(spark, folder).where("event_id = 'click' AND ts < TIMESTAMP_NTZ '2024-01-20'")
+    clicks = actions(spark, folder).where("event_id = 'click'")
     views = actions(spark, folder).where("event_id = 'view'")
     merged = with_event_time(clicks, "ts", "0 seconds").unionByName(with_event_time(views, "ts", "0 seconds"))
     hourly = O.windowed(merged, "rt", "1 hour", [], F.count(F.lit(1)).alias("cnt"))
@@ -315,31 +326,165 @@ def running_count_state(spark, folder):
 
 @query("st_pattern_ttl_stream", ORACLES["st_pattern_ttl"])
 def st_pattern_ttl_stream(spark, folder):
-    """The view, click, purchase pattern, found while the stream runs."""
-    rows = lambda events: action_event(events).select("guid", *ORDER, "event_id")
-    return ordered_in_parts(spark, folder, rows, joining.pattern_job())
+    """The view, click, purchase pattern in state that is gone a day after a user's last view."""
+    return appended_in_parts(
+        spark, folder, "pattern",
+        lambda rows: K.in_order(
+            rows.select("guid", *ORDER, "event_id"), ["guid"], ORDER, "0 seconds", "log_id BIGINT, guid BIGINT",
+            K.SequenceWithin, "event_id", "view", "click", "purchase", DAY,
+        ),
+    )
 
 
 @query("st_value_ttl_stream", ORACLES["st_value_ttl"])
 def st_value_ttl_stream(spark, folder):
-    """The expiring counter, carried from batch to batch."""
-    job = S.counter_with_expiry(["guid"], ORDER, 3 * HOUR, "cnt")
-    rows = lambda events: action_event(events).select("guid", *ORDER)
-    return ordered_in_parts(spark, folder, rows, job).select("log_id", "cnt")
+    """The counter in state that is gone three hours after a user's last row."""
+    return appended_in_parts(
+        spark, folder, "counter",
+        lambda rows: K.in_order(
+            rows.select("guid", *ORDER), ["guid"], ORDER, "0 seconds", "log_id BIGINT, cnt BIGINT",
+            K.ExpiringCounter, 3 * HOUR, "cnt",
+        ),
+    )
+
+
+@query(
+    "st_timer_alert_stream",
+    f"SELECT * FROM ({ORACLES['st_timer_alert']}) WHERE alert_time <= (SELECT epoch_ms(max(ts)) FROM events)",
+)
+def st_timer_alert_stream(spark, folder):
+    """Timers five seconds after each error, set in one run and gone off in it or in a later one."""
+    return appended_in_parts(
+        spark, folder, "due",
+        lambda rows: K.due_alerts(rows.where("event_id = 'error'"), ["guid"], "action_time", 5000, "0 seconds"),
+    )
 
 
 @query(
     "st_timer_cancel_stream",
-    f"SELECT guid, action_time, log_id FROM ({ORACLES['st_timer_cancel']}) WHERE make_timestamp((action_time + {HOUR} + 1) * 1000) <= (SELECT max(ts) - INTERVAL 1 millisecond FROM events)",
+    f"SELECT * FROM ({ORACLES['st_timer_cancel']}) WHERE alert_time < (SELECT epoch_ms(max(ts)) FROM events)",
 )
 def st_timer_cancel_stream(spark, folder):
-    """Alerts for clicks that nothing followed for an hour, once the hour is over."""
+    """A timer an hour after each click, moved or deleted by what follows, also in a later run."""
+    return appended_in_parts(
+        spark, folder, "silence",
+        lambda rows: K.silence_alerts(
+            rows.select("guid", *ORDER, (F.col("event_id") == "click").alias("clicked")),
+            ["guid"], ORDER, "clicked", HOUR, "0 seconds",
+        ),
+    )
+
+
+@query(
+    "st_silence_session_stream",
+    f"SELECT guid, action_time, log_id FROM ({ORACLES['st_timer_cancel']}) WHERE make_timestamp((action_time + {HOUR} + 1) * 1000) <= (SELECT max(ts) - INTERVAL 1 millisecond FROM events)",
+)
+def st_silence_session_stream(spark, folder):
+    """The same alerts without timers, as the ends of activity sessions."""
     rows = actions(spark, folder).select("guid", *ORDER, "event_id", F.timestamp_millis("action_time").alias("moment"))
     marked = with_event_time(rows, "moment", "0 seconds")
     ended = O.silence(marked, "rt", ["guid"], ORDER, HOUR, "event_id")
     return appended(spark, ended, "silence").where("event_id = 'click'").drop("event_id")
 
 
+def _summed(name: str = "total"):
+    def function(rows, window):
+        return rows.groupby(window, as_index=False).agg(**{name: ("action_timelong", "sum"), "held": ("action_timelong", "size")})
+
+    return function
+
+
+@query("win_count_tumble_stream", ORACLES["win_count_tumble"])
+def win_count_tumble_stream(spark, folder):
+    """Action time of each five rows of a channel, the rows of an unfinished window kept from run to run."""
+    return appended_in_parts(
+        spark, folder, "fives",
+        lambda rows: K.row_windows(
+            rows.select("channel", *ORDER, "action_timelong"), ["channel"], ORDER, "0 seconds",
+            "channel STRING, window_no BIGINT, total BIGINT", "window_no", _summed(), K.CountTumble, size=5,
+        ),
+    )
+
+
+@query("win_trigger_evict_stream", ORACLES["win_trigger_evict"])
+def win_trigger_evict_stream(spark, folder):
+    """A window that fires every two rows and keeps the newest four, across runs."""
+    return appended_in_parts(
+        spark, folder, "evicted",
+        lambda rows: K.row_windows(
+            rows.select("channel", *ORDER, "action_timelong"), ["channel"], ORDER, "0 seconds",
+            "channel STRING, firing BIGINT, total BIGINT, held BIGINT", "firing", _summed(), K.CountSlide,
+            fire_every=2, keep_last=4,
+        ),
+    )
+
+
+@query(
+    "win_marker_trigger_stream",
+    action_sql("""
+    WITH marked AS (SELECT *, coalesce(count(*) FILTER (WHERE event_id = 'purchase') OVER
+           (PARTITION BY guid ORDER BY action_time, log_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS window_no FROM action_event),
+         placed AS (SELECT *, row_number() OVER (PARTITION BY guid, window_no ORDER BY action_time DESC, log_id DESC) AS place,
+           max(CASE WHEN event_id = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY guid, window_no) AS fired FROM marked)
+    SELECT guid, window_no, string_agg(event_id, ':' ORDER BY place DESC) AS joined FROM placed
+    WHERE fired = 1 AND place <= 5 GROUP BY guid, window_no"""),
+)
+def win_marker_trigger_stream(spark, folder):
+    """Windows of a user that a purchase closes, each giving its newest five events, across runs."""
+
+    def joined(rows, window):
+        return rows.groupby(window, as_index=False).agg(joined=("event_id", ":".join))
+
+    return appended_in_parts(
+        spark, folder, "marked",
+        lambda rows: K.row_windows(
+            rows.select("guid", *ORDER, "event_id", (F.col("event_id") == "purchase").alias("closes")),
+            ["guid"], ORDER, "0 seconds", "guid BIGINT, window_no BIGINT, joined STRING", "window_no", joined,
+            K.MarkerWindows, marker="closes", keep_last=5,
+        ),
+    )
+
+
+@query(
+    "join_temporal_stream",
+    f"SELECT j.* FROM ({ORACLES['join_temporal']}) j JOIN events ON event_id = log_id WHERE ts <= (SELECT max(ts) FROM events)",
+)
+def join_temporal_stream(spark, folder):
+    """Purchases with the page the user had viewed last by then, each held until no older view can come."""
+
+    def joined(rows):
+        buys = rows.where("event_id = 'purchase'").select("guid", *ORDER)
+        views = rows.where("event_id = 'view'").select(
+            "guid", F.col("action_time").alias("seen_at"), F.col("log_id").alias("seen_id"), F.col("page_id").alias("seen_page")
+        )
+        found = K.as_of_join(buys, views, ["guid"], ORDER, ["seen_at", "seen_id"], ["seen_at", "seen_page"], "0 seconds")
+        return found.select("log_id", "guid", "seen_at", "seen_page")
+
+    return appended_in_parts(spark, folder, "as-of", joined)
+
+
+@query(
+    "join_broadcast_stream",
+    action_sql("""
+    WITH parted AS (SELECT *, CASE WHEN day(ts) <= 9 THEN 0 WHEN day(ts) <= 20 THEN 1 ELSE 2 END AS part FROM action_event),
+         signups AS (SELECT *, coalesce(lead(part) OVER (PARTITION BY guid ORDER BY action_time, log_id), 3) AS until
+                     FROM parted WHERE event_id = 'signup')
+    SELECT a.log_id, a.guid, n.page_id AS last_page FROM parted a
+    LEFT JOIN signups n ON a.guid = n.guid AND a.part >= n.part AND a.part < n.until WHERE a.event_id = 'view'"""),
+)
+def join_broadcast_stream(spark, folder):
+    """Views with the newest signup of the user, from a dimension that a second stream moves on between batches."""
+    base, dimension = scratch_folder(spark, "running"), None
+    for events in parts_of(spark, folder, base):
+        rows = action_event(events)
+        updates = rows.where("event_id = 'signup'").select("guid", F.col("page_id").alias("last_page"), *ORDER)
+        dimension = dimension or RunningDimension(spark, f"{base}/dimension", ["guid"], ORDER, updates.schema)
+        each_batch(updates, dimension.update, f"{base}/updates", "append")
+        views = rows.where("event_id = 'view'").select("log_id", "guid")
+        each_batch(views, dimension.lookup(f"{base}/rows", f"{base}/pins"), f"{base}/checkpoint", "append")
+    return read_batches(spark, f"{base}/rows")
+
+
 @query(
     "out_changelog_stream",
     action_sql("""
