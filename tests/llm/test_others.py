@@ -233,6 +233,39 @@ def test_rare_words_come_by_the_join(docs, monkeypatch):
         assert math.isclose(r["score"], other["score"], rel_tol=1e-5)
 
 
+def test_words_of_one_zero_byte(spark):
+    """A word that is a NUL ends like no other; it is not the end."""
+    rng = random.Random(3)
+    made = [(i, " ".join([*(f"w{rng.randrange(60)}" for _ in range(40)), *["\x00"] * 40])) for i in range(60)]
+    out = maxent.score_documents(spark.createDataFrame(made, "doc_id long, text string"), steps=3).collect()
+    assert len(out) == 60 and all(math.isfinite(r["score"]) and r["score"] < 0 for r in out)
+
+
+def plain_training(cells, steps):
+    """The gradient steps over (context, class, n) in one array."""
+    totals = np.zeros((maxent.CONTEXTS, 1))
+    seen = np.zeros((maxent.BUCKETS, maxent.CLASSES))
+    for context, own, n in cells:
+        totals[context] += n
+        for rows in maxent.feature_rows(np.array([context])):
+            seen[rows[0], own] += n
+    at = np.flatnonzero(totals)
+    weights = np.zeros((maxent.BUCKETS, maxent.CLASSES), np.float32)
+    for step in range(steps):
+        expected = maxent.feature_sums(at, (totals[at] * np.exp(maxent.log_softmax(weights, at))).astype(np.float32))
+        change = (seen - expected - maxent.PULL * weights * 0.01) / (expected + maxent.PULL)
+        moved = np.where(change > 0, np.log1p(np.maximum(change, 0)), change)
+        weights = (weights + (0.6 if step < 3 else 0.4) * np.clip(moved, -1.5, 1.5)).astype(np.float32)
+    return weights
+
+
+def test_training_equals_plain_steps(spark):
+    rng = random.Random(4)
+    cells = [(rng.randrange(maxent.CONTEXTS), c, rng.randint(1, 30)) for c in range(maxent.CLASSES) for _ in range(9)]
+    frame = spark.createDataFrame(cells, "context int, class int, n long").repartition(5)
+    assert np.allclose(maxent.train(frame, 4), plain_training(cells, 4), atol=2e-4)
+
+
 def test_model_learns_and_adds_up(spark):
     rng = random.Random(6)
     follow = {a: rng.sample(range(30), 3) for a in range(30)}

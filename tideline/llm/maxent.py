@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.tables import LAST_ID, written
+from tideline.llm.tables import LAST_ID, beside, grouped, written
 from tideline.llm.words import Words, in_blocks, signed, texts_of, tokenised
 
 #: Classes: the end, the commonest words one each, the commonest word endings one each, other endings by hash.
@@ -29,6 +29,10 @@ HOT_WORDS = 1 << 17
 #: Tokens counted together.
 CHUNK_TOKENS = 1 << 21
 END = np.uint64(0x5D1E6F3A9B7C2481)
+#: Endings are the last two bytes of a word; the end has a number of its own.
+END_TAIL, TAILS = 1 << 16, (1 << 16) + 1
+#: Parts that the weight table is kept in.
+SLICES = 8
 
 
 def held_out(id_column: Column) -> Column:
@@ -38,7 +42,7 @@ def held_out(id_column: Column) -> Column:
 
 @dataclass
 class Tokens:
-    """Words of some texts, each followed by an end: hash, ending (0 for the end), and where each text begins."""
+    """Words of some texts, each followed by an end: hash, ending (``END_TAIL`` for the end), and where each text begins."""
 
     hashes: np.ndarray
     tails: np.ndarray
@@ -50,7 +54,7 @@ def with_ends(words: Words) -> Tokens:
     last = words.data[words.ends - 1].astype(np.int64)
     before = np.where(words.ends - words.starts > 1, words.data[np.maximum(words.ends - 2, 0)], 0).astype(np.int64)
     return Tokens(
-        np.insert(words.hashes, at, END), np.insert(before * 256 + last, at, 0), words.first + np.arange(n + 1)
+        np.insert(words.hashes, at, END), np.insert(before * 256 + last, at, END_TAIL), words.first + np.arange(n + 1)
     )
 
 
@@ -137,22 +141,22 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
         if room < 0:
             break
         least = row["step"]
-    hot = counts.where(step >= least).collect() if least is not None else []
-    word = np.array([r["word"] for r in hot], np.int64).view(np.uint64)
+    hot = counts.where(step >= least if least is not None else F.lit(False)).select("word", "n", "tail").toArrow()
+    word, n, tail = (hot[c].to_numpy().astype(np.int64) for c in ("word", "n", "tail"))
+    word = word.view(np.uint64)
     order = np.argsort(word)
-    n, tail = (np.array([r[c] for r in hot], np.int64)[order] for c in ("n", "tail"))
-    word = word[order]
+    word, n, tail = word[order], n[order], tail[order]
     own = np.zeros(len(word), np.int64)
     best = np.lexsort((word, -n))
     best = best[word[best] != END][:WORD_CLASSES]
     own[best] = 1 + np.arange(len(best))
-    tails = np.zeros((1 << 16, 2), np.int64)
-    for row in counts.groupBy("tail").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
-        tails[row["tail"]] = row["n"], row["v"]
-    tails[0] = 0  # the end alone
+    tails = np.zeros((TAILS, 2), np.int64)
+    per_tail = counts.groupBy("tail").agg(F.sum("n").alias("n"), F.count("*").alias("v")).toArrow()
+    tails[per_tail["tail"].to_numpy()] = np.column_stack([per_tail["n"].to_numpy(), per_tail["v"].to_numpy()])
+    tails[END_TAIL] = 0  # the end is no word of a class
     np.subtract.at(tails, tail[best], np.stack([n[best], np.ones(len(best), np.int64)], 1))
-    common = np.lexsort((np.arange(1 << 16), -tails[:, 0]))[:TAIL_CLASSES]
-    classes = 1 + WORD_CLASSES + TAIL_CLASSES + (np.arange(1 << 16) * 40503 >> 8) % HASH_CLASSES
+    common = np.lexsort((np.arange(END_TAIL), -tails[:END_TAIL, 0]))[:TAIL_CLASSES]
+    classes = 1 + WORD_CLASSES + TAIL_CLASSES + (np.arange(TAILS) * 40503 >> 8) % HASH_CLASSES
     classes[common] = 1 + WORD_CLASSES + np.arange(TAIL_CLASSES)
     return Vocabulary(
         word, n, own, classes, totals["n"] or 0, totals["v"],
@@ -175,7 +179,7 @@ def contexts(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def context_counts(texts: DataFrame, known: Vocabulary) -> DataFrame:
-    """(context, class, n) of all texts, dealt by context."""
+    """(context, class, n) of all texts; there are at most ``CONTEXTS * CLASSES`` rows, whatever the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def value(tokens: Tokens) -> np.ndarray:
@@ -187,8 +191,7 @@ def context_counts(texts: DataFrame, known: Vocabulary) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(n)], ["cell", "n"])
 
     cells = texts.select("text").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    split = cells.select(F.expr(f"cell div {CLASSES}").cast("int").alias("context"), F.expr(f"cell % {CLASSES}").alias("class"), "n")
-    return written(split.repartition(GRADIENT_TASKS, "context"))
+    return written(cells.select(F.expr(f"cell div {CLASSES}").cast("int").alias("context"), F.expr(f"cell % {CLASSES}").alias("class"), "n"))
 
 
 def feature_rows(context: np.ndarray) -> list[np.ndarray]:
@@ -227,41 +230,103 @@ def feature_sums(context: np.ndarray, table: np.ndarray) -> np.ndarray:
     return out
 
 
-def summed(cells: DataFrame, weights: np.ndarray | None) -> np.ndarray:
-    """Feature sums over all contexts: of the counts seen or, given weights, of those the model expects."""
+def in_slices(table: np.ndarray) -> pa.RecordBatch:
+    """A weight-shaped table as one row per slice."""
+    parts = [part.astype(np.float32).tobytes() for part in np.split(table, SLICES)]
+    return pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], names=["slice", "sums"])
+
+
+def slice_of(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.float32).reshape(BUCKETS // SLICES, CLASSES)
+
+
+def seen_sums(cells: DataFrame) -> DataFrame:
+    """(slice, sums): how often each weight's feature and class were seen together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
-        if parts:
-            table = pa.concat_tables(parts)
-            context, number = np.unique(table["context"].to_numpy(), return_inverse=True)
-            seen = np.zeros((len(context), CLASSES), np.float32)
-            seen[number, table["class"].to_numpy()] = table["n"].to_numpy()
-            if weights is not None:
-                seen = seen.sum(1, keepdims=True) * np.exp(log_softmax(weights, context.astype(np.int64)))
-            yield pa.RecordBatch.from_pylist([{"sums": feature_sums(context.astype(np.int64), seen).tobytes()}])
-
-    total = np.zeros((BUCKETS, CLASSES), np.float64)
-    for row in cells.mapInArrow(run, "sums binary").collect():
-        total += np.frombuffer(row["sums"], np.float32).reshape(BUCKETS, CLASSES)
-    return total
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                context, number = np.unique(np.asarray(batch.column(0)), return_inverse=True)
+                seen = np.zeros((len(context), CLASSES), np.float32)
+                np.add.at(seen, (number, np.asarray(batch.column(1))), np.asarray(batch.column(2)))
+                own = feature_sums(context.astype(np.int64), seen)
+                total = own if total is None else total + own
+        if total is not None:
+            yield in_slices(total)
+
+    return cells.select("context", "class", "n").mapInArrow(run, "slice int, sums binary")
+
+
+def expected_sums(totals: DataFrame, weights: DataFrame) -> DataFrame:
+    """(slice, sums): how often the model expects each, with some of the contexts in each task and all weights."""
+    copies = weights.select("slice", "sums", F.explode(F.sequence(F.lit(0), F.lit(GRADIENT_TASKS - 1))).alias("task"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in grouped(batches, ["task"]):
+            table, context, n = np.zeros((BUCKETS, CLASSES), np.float32), [], []
+            for row in rows:
+                if row["kind"] == 0:
+                    at = row["slice"] * (BUCKETS // SLICES)
+                    table[at : at + BUCKETS // SLICES] = slice_of(row["sums"])
+                else:
+                    context.append(row["context"])
+                    n.append(row["n"])
+            total = np.zeros((BUCKETS, CLASSES), np.float32)
+            for begin in range(0, len(context), 4096):
+                part = np.array(context[begin : begin + 4096], np.int64)
+                likely = np.exp(log_softmax(table, part)) * np.array(n[begin : begin + 4096], np.float32)[:, None]
+                total += feature_sums(part, likely)
+            yield in_slices(total)
+
+    return beside(copies, totals, ["task"], ["slice", "context"]).mapInArrow(run, "slice int, sums binary")
 
 
 def train(cells: DataFrame, steps: int = STEPS) -> np.ndarray:
     """Weights of the class model, by gradient steps over all contexts of the corpus.
 
-    A task has some of the contexts and sends what its contexts expect of each weight; the driver, which has the
-    weights, adds these up. The gradient, seen minus expected, is scaled by the expected count of each weight.
-    What is sent is bounded by the weight table and the number of gradient tasks.
+    All of it stays in Spark: a task has some of the contexts and adds up what the model expects of each weight; these
+    sums meet by slices of the weight table, which is moved on there and stored for the next step. The gradient, seen
+    minus expected, is scaled by the expected count of each weight. The driver gets the last table only.
     """
-    seen = summed(cells, None)
-    weights = np.zeros((BUCKETS, CLASSES), np.float32)
+    spark = cells.sparkSession
+    task = F.pmod(F.xxhash64("context"), F.lit(GRADIENT_TASKS)).cast("int")
+    totals = written(cells.groupBy("context").agg(F.sum("n").alias("n")).withColumn("task", task))
+    seen = written(seen_sums(cells))
+    weights = spark.range(0, SLICES, 1, 1).mapInArrow(_zeros, "slice int, sums binary")
+
+    def moved(rate: float):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for (number,), rows in grouped(batches, ["slice"]):
+                sums = np.zeros((3, BUCKETS // SLICES, CLASSES), np.float64)
+                for row in rows:
+                    sums[row["what"]] += slice_of(row["sums"])
+                old, had, expected = sums
+                change = (had - expected - PULL * old * 0.01) / (expected + PULL)
+                new = old + rate * np.clip(np.where(change > 0, np.log1p(np.maximum(change, 0)), change), -1.5, 1.5)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number], pa.int32()), pa.array([new.astype(np.float32).tobytes()])], names=["slice", "sums"]
+                )
+
+        return run
+
     for step in range(steps):
-        expected = summed(cells, weights)
-        change = (seen - expected - PULL * weights * 0.01) / (expected + PULL)
-        rate = 0.6 if step < 3 else 0.4
-        weights = (weights + rate * np.clip(np.where(change > 0, np.log1p(np.maximum(change, 0)), change), -1.5, 1.5)).astype(np.float32)
-    return weights
+        parts = [
+            frame.withColumn("what", F.lit(i)) for i, frame in enumerate((weights, seen, expected_sums(totals, weights)))
+        ]
+        met = parts[0].unionByName(parts[1]).unionByName(parts[2])
+        dealt = met.repartition(SLICES, "slice").sortWithinPartitions("slice", "what", "sums")
+        weights = written(dealt.mapInArrow(moved(0.6 if step < 3 else 0.4), "slice int, sums binary"))
+    table = weights.orderBy("slice").toArrow()
+    return np.concatenate([slice_of(x.as_py()) for x in table["sums"]])
+
+
+def _zeros(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        empty = bytes(BUCKETS // SLICES * CLASSES * 4)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).cast(pa.int32()), pa.array([empty] * batch.num_rows, pa.binary())], names=["slice", "sums"]
+        )
 
 
 @lru_cache(maxsize=1)
