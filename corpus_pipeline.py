@@ -22,27 +22,30 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; the source plays the part of the host."""
+    """Documents in a known language; the source plays the part of the host. Rows without text go; other nulls stay.
+
+    Here and in the stages after it, ids may be null or repeated, columns may have any names, and no rows give none.
+    """
     return in_known_language(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One of each group of texts that agree but for white space."""
+    """One of each group of texts that agree but for white space: the longest, then the one with the smallest id."""
     return without_copies(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One of each group of near copies."""
-    return one_of_each_group(docs)
+    """One of each group of near copies: texts whose runs of five words agree to four fifths, and what these link."""
+    return one_of_each_group(docs, size=5, percent=80)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that do not contain benchmark passages to a twentieth or more."""
+    """Documents that do not contain benchmark passages to a twentieth or more; texts without words stay."""
     return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix by source weights: a row for each copy of a document it takes."""
+    """The mix by source weights: a row for each copy of a document it takes. A null source is one like any other."""
     return mixed_documents(docs)
 
 

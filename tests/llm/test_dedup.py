@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 from tests.llm import cases
-from tideline.llm import automaton, decontamination, exact, jaccard, lines, substrings
+from tideline.llm import automaton, decontamination, exact, jaccard, language, lines, substrings
 
 ROWS = cases.make_documents()
 
@@ -96,6 +96,28 @@ def test_without_copies(docs):
     assert left.count() == len(want)
 
 
+def test_without_copies_keeps_the_longest_of_one_id(spark):
+    rows = spark.createDataFrame([(1, "a b", 1), (1, "a      b", 2), (2, "a b", 3), (None, "x", 4), (None, "x ", 5)], "doc_id long, text string, n long")
+    assert {r["n"] for r in exact.without_copies(rows).collect()} == {2, 5}
+
+
+def test_columns_of_any_name_come_through(spark):
+    """Columns named like those the helpers use themselves keep their values."""
+    names = ["row", "id", "key", "digest", "text_", "__key", "__id", "__digest", "__text", "blank", "host", "n_chars", "component"]
+    text = " ".join(f"w{i}" for i in range(40))
+    made = [(i, f"{text} {i}" if i else None, "en", "s", *[f"{n}{i}" for n in names]) for i in range(4)]
+    docs = spark.createDataFrame(made, f"doc_id long, text string, lang string, source string, {', '.join(f'`{n}` string' for n in names)}")
+    items = spark.createDataFrame([(1, "none of these words here")], "item_id long, text string")
+    for left in (
+        exact.without_copies(docs),
+        jaccard.one_of_each_group(docs),
+        decontamination.without_contaminated(docs, items),
+        language.in_known_language(docs),
+    ):
+        assert left.columns == docs.columns
+        assert {tuple(r) for r in left.collect()} <= set(made) and left.count()
+
+
 ITEMS = [
     (1, " ".join(ROWS[7][1].split()[:20]) if ROWS[7][1] else "x"),
     (12, "one"),

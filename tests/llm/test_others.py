@@ -361,7 +361,7 @@ def test_pipeline(spark, tmp_path):
     first, second, third, fourth, last = steps.values()
     assert {r[0] for r in first} >= {r[0] for r in ROWS if r[1] and len(r[1]) > 100}
     assert Counter((r[0]) for r in second) == Counter({w[1] for w in cases.exact(first)})
-    groups = cases.jaccard(second)
+    groups = cases.jaccard(second, size=5, percent=80)
     assert {r[0] for r in third} == {g[2] for g in groups}
     bad = {w[0] for w in cases.contamination(third, items) if w[-1]}
     assert {r[0] for r in fourth} == {r[0] for r in third} - bad and bad

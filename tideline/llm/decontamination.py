@@ -272,8 +272,13 @@ def contamination(
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The documents that are not contaminated, with all their columns. The verdict is one on the text alone."""
-    keyed = docs.withColumn("__text", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    verdicts = contamination(keyed, items, id_col="__text", text_col=text_col, **options)
-    bad = verdicts.where("contaminated").select(F.col("doc_id").alias("__text")).distinct()
-    return keyed.join(bad, "__text", "left_anti").select(*[F.col(c) for c in docs.columns])
+    """The documents that are not contaminated, with all their columns, whatever their names.
+
+    The verdict is one on the text alone, so repeated rows and rows of one id are judged each by its text, and ids may be
+    null. Null and empty texts are never contaminated and stay. Without items all rows stay; no rows give none.
+    """
+    text = F.col(text_col)
+    keyed = docs.select(F.struct("*").alias("row"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("id"), text.alias("text"))
+    verdicts = contamination(keyed.select("id", "text"), items, id_col="id", text_col="text", **options)
+    bad = verdicts.where("contaminated").select(F.col("doc_id").alias("id")).distinct()
+    return keyed.join(bad, "id", "left_anti").select("row.*")

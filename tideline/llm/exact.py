@@ -85,6 +85,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Returns id, keep_id, group_size, kept, digest; other columns of ``docs`` are ignored.
     """
+    return _groups(docs, id_col, text_col, fan_in).drop("n_chars")
+
+
+def _groups(docs: DataFrame, id_col: str, text_col: str, fan_in: int = 16) -> DataFrame:
     rows = digests(docs, id_col, text_col)
     rounds, slots = 1, fan_in
     while slots < shuffle_partitions(docs):
@@ -111,16 +115,24 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col("copies").alias("group_size"),
         (F.col("row") == F.col("best_row")).alias("kept"),
         "digest",
+        "n_chars",
     )
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; of repeated rows one stays."""
-    stay = exact_groups(docs, id_col, text_col).where("kept").select(
-        F.col("id").alias("__id"), F.col("digest").alias("__digest")
+    """The rows of ``docs`` that stay (see ``exact_groups``), with all their columns, whatever their names.
+
+    Of rows that agree in id, text but for white space, and length, any one stays. Rows without text count as empty and
+    are copies of each other; a null id comes last. An empty table gives no rows.
+    """
+    stay = _groups(docs, id_col, text_col).where("kept").select("id", "digest", "n_chars")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.select(
+        F.struct("*").alias("row"),
+        F.col(id_col).cast("long").alias("id"),
+        F.sha2(F.regexp_replace(text, r"[\x20\x09-\x0D]+", ""), 256).alias("digest"),
+        F.length(text).cast("long").alias("n_chars"),
     )
-    bare = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"[\x20\x09-\x0D]+", "")
-    keyed = docs.withColumn("__id", F.col(id_col).cast("long")).withColumn("__digest", F.sha2(bare, 256))
-    same = F.expr("l.__id <=> r.__id AND l.__digest = r.__digest")
+    same = F.expr("l.id <=> r.id AND l.digest = r.digest AND l.n_chars = r.n_chars")
     found = keyed.alias("l").join(stay.alias("r"), same, "left_semi")
-    return found.dropDuplicates(["__id", "__digest"]).drop("__id", "__digest")
+    return found.dropDuplicates(["id", "digest"]).select("row.*")

@@ -383,16 +383,20 @@ def one_of_each_group(
     """The documents that stay, with all their columns: of each component the row with the smallest id, as one row.
 
     Null ids, and an id that stands at several texts, name no component: each component keeps a row of its own, of
-    equal ids the one with the smallest text hash. Documents without words belong to no group and all stay.
+    equal ids the one with the smallest text hash. Documents without words belong to no group and all stay. Columns may
+    have any names; an empty table gives no rows.
     """
-    marked = docs.withColumns(
-        {"__id": id_or_last(id_col), "__key": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))}
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    marked = docs.select(
+        F.struct("*").alias("row"),
+        id_or_last(id_col).alias("id"),
+        F.xxhash64(text).alias("key"),
+        (~text.rlike(r"[^\x20\x09-\x0D]")).alias("blank"),
     )
     found = grouped_texts(keyed(docs, id_col, text_col), size, percent)
     # Linked sets go by their component, others by their own digest.
     digest = [F.when(F.col("component").isNull(), F.col(c)).alias(c) for c in ("high", "low", "n_shingles")]
     first = found.where("n_shingles > 0").groupBy("component", *digest).agg(F.min(F.struct("id", "key")).alias("first"))
-    stay = first.select(F.col("first.id").alias("__id"), F.col("first.key").alias("__key"))
-    single = marked.join(stay, ["__id", "__key"], "left_semi").dropDuplicates(["__id", "__key"])
-    blank = ~F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return single.where(~blank).unionByName(marked.where(blank)).drop("__id", "__key")
+    stay = first.select("first.id", "first.key")
+    single = marked.where("NOT blank").join(stay, ["id", "key"], "left_semi").dropDuplicates(["id", "key"])
+    return single.select("row.*").unionByName(marked.where("blank").select("row.*"))

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.reputation import with_address, with_domain
+from tideline.llm.tables import written
 from tideline.llm.words import LOWER, byte_table, texts_of
-from tideline.session import stored
 
 #: Three neighbouring bytes, hashed to so many features.
 FEATURES = 1 << 12
@@ -101,7 +101,7 @@ def train(rows: DataFrame, is_markup: bool) -> TextModel:
     cells = found.groupBy("declared", "feature").agg(F.sum("n").alias("n"))
     by_language = cells.groupBy("declared").agg(F.collect_list("feature").alias("at"), F.collect_list("n").alias("n"))
     own = {}
-    for row in stored(by_language).toLocalIterator():
+    for row in written(by_language).toLocalIterator():
         own[row["declared"]] = np.zeros(FEATURES, np.float32)
         own[row["declared"]][row["at"]] = row["n"]
     languages = sorted(own)
@@ -133,7 +133,7 @@ def score_texts(rows: DataFrame, model: TextModel, is_markup: bool) -> DataFrame
                     ["id", "key", "host", "declared", "n", "logs"],
                 )
 
-    return stored(rows.select("id", "key", "host", "declared", "text").mapInArrow(run, SCORED))
+    return written(rows.select("id", "key", "host", "declared", "text").mapInArrow(run, SCORED))
 
 
 def lists(table: np.ndarray) -> pa.Array:
@@ -184,7 +184,7 @@ def host_priors(scored: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
 
     Each level's prior counts for PRIOR_ROWS rows of the level below. Only sums per host are grouped further.
     """
-    hosts = stored(with_domain(weights_by(scored.where("n > 0"), "host")))
+    hosts = written(with_domain(weights_by(scored.where("n > 0"), "host")))
     top = vector_sums(hosts, []).first()
     shares = (np.array(top["w"] or np.zeros(size)) + 1.0 / size) / ((top["n"] or 0) + 1.0)
     parents, keys = None, []
@@ -202,7 +202,7 @@ def declared_odds(scored: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
 
     Beside it the odds of a declared language none of whose texts has letters.
     """
-    rows = stored(weights_by(scored.where("n > 0 AND declared IS NOT NULL"), "declared"))
+    rows = written(weights_by(scored.where("n > 0 AND declared IS NOT NULL"), "declared"))
     top = vector_sums(rows, []).first()
     totals = np.array(top["w"] or np.zeros(size)) + CELL * size
     odds = F.zip_with("w", constant(totals), lambda w, total: F.log((w + CELL) / total))
@@ -292,12 +292,17 @@ def page_languages(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
 
 
 def in_known_language(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", host_col: str = "source") -> DataFrame:
-    """The documents whose language is accepted, with all their columns; ``host_col`` plays the host's part.
+    """The documents whose language is accepted, with all their columns, whatever their names; ``host_col`` plays the
+    host's part.
 
-    The verdict depends on the text, the declared language and the host alone, so it is brought back by these.
+    The verdict depends on the text, the declared language and the host alone, so rows that agree in these stay or go
+    together, and ids do not matter. Null and empty texts are not accepted and go; a null declared language or host
+    is no evidence. An empty table gives no rows.
     """
-    key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.coalesce(F.col(lang_col), F.lit("")), F.coalesce(F.col(host_col), F.lit("")))
-    keyed = docs.withColumn("__key", key)
-    found = identify(keyed, "__key", text_col, F.col(lang_col), F.col(host_col))
-    bad = found.where("NOT accepted").select(F.col("id").alias("__key")).distinct()
-    return keyed.join(bad, "__key", "left_anti").select(*[F.col(c) for c in docs.columns])
+    text, lang, host = F.col(text_col), F.col(lang_col), F.col(host_col)
+    none = F.lit("")
+    key = F.xxhash64(F.coalesce(text, none), F.coalesce(lang, none), F.coalesce(host, none))
+    keyed = docs.select(F.struct("*").alias("row"), key.alias("id"), text.alias("text"), lang.alias("lang"), host.alias("host"))
+    found = identify(keyed.drop("row"), "id", "text", F.col("lang"), F.col("host"))
+    bad = found.where("NOT accepted").select("id").distinct()
+    return keyed.join(bad, "id", "left_anti").select("row.*")

@@ -21,7 +21,7 @@ CLASSES = 1 + WORD_CLASSES + TAIL_CLASSES + HASH_CLASSES
 GROUPS = 8
 CONTEXTS = CLASSES * CLASSES * GROUPS
 #: Rows of the hashed weight table, gradient steps, and their tasks (the table of contexts is bounded).
-BUCKETS, STEPS, GRADIENT_TASKS = 1 << 13, 12, 8
+BUCKETS, STEPS, GRADIENT_TASKS = 1 << 13, 12, 4
 #: Counts that hold each weight back.
 PULL = 5.0
 #: Words whose counts every task has, at most; the others are looked up by a join.

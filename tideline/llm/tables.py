@@ -13,19 +13,26 @@ from tideline.session import stored
 
 #: Removes the shuffle files of a query when it is done, not when the driver happens to collect its garbage.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows that go to a Python worker at once. Texts and sets are long, and a worker holds a batch several times over.
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
 #: A null id counts as one document that comes after all others.
 LAST_ID = (1 << 63) - 1
 
 
 def written(frame: DataFrame) -> DataFrame:
-    """``stored``, with what the write has shuffled removed right after it: later steps read the table alone."""
+    """``stored``, with what the write has shuffled removed right after it: later steps read the table alone.
+
+    The write goes through Python workers in small batches, so that their memory does not follow the texts' length.
+    """
     conf = frame.sparkSession.conf
-    before = conf.get(CLEANUP, "false")
+    before = {CLEANUP: conf.get(CLEANUP, "false"), BATCH: conf.get(BATCH)}
     conf.set(CLEANUP, "true")
+    conf.set(BATCH, BATCH_ROWS)
     try:
         return stored(frame)
     finally:
-        conf.set(CLEANUP, before)
+        for name, value in before.items():
+            conf.set(name, value)
 
 
 def id_or_last(name: str = "doc_id") -> Column:
