@@ -125,6 +125,26 @@ def test_preparing_runs_no_job(spark, frame):
     assert not list(jobs)
 
 
+@pytest.mark.parametrize("max_rows", [7, 10_000])
+def test_counting_first_changes_no_result_and_keeps_nothing(spark, frame, max_rows):
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+
+    def results(counted):
+        whole = O.ordered(frame, ["k"], ORDER, max_rows, counted=counted, keep=counted)
+        scanned = whole.scan(O.running_count("a"), O.running_sum("s", F.col("v"))).scan(
+            O.running_last("l", F.col("v"), inclusive=False), O.next_value("n", F.col("t")), O.running_max("m", F.col("v"))
+        )
+        framed = O.row_frames(frame, ["k"], ORDER, 2, lambda w: {"n": F.sum("id").over(w)}, max_rows, counted=counted)
+        ranged = O.range_sums(frame, ["k"], ORDER, 200, {"n": F.col("v")}, max_rows, counted=counted)
+        return [sorted(map(str, f.collect())) for f in (scanned.rows(), framed, ranged)]
+
+    counted = results(True)
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
+    plain = results(False)
+    assert counted == plain
+    spark.catalog.clearCache()
+
+
 @pytest.mark.parametrize("keyed", [True, False])
 def test_scan_goes_on_from_earlier_totals(frame, keyed):
     keys = ["k"] if keyed else []

@@ -97,7 +97,7 @@ def accumulate(
         return run
 
     def gathered(states: DataFrame, by: list[str]) -> DataFrame:
-        return states.repartition(*by).sortWithinPartitions(*by)
+        return states.repartition(*by).sortWithinPartitions(*by) if by else states.coalesce(1)
 
     by_part = [*keys, "__part"]
     states = frame.select(*keys, *columns).mapInArrow(add, partial)
@@ -159,7 +159,8 @@ def _in_order(frame: DataFrame, keys: list[str], order: list[str], function: Gro
         if out:
             yield _batch(out, schema)
 
-    return frame.select(*names).repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+    dealt = frame.select(*names).repartition(*keys) if keys else frame.select(*names).coalesce(1)
+    return dealt.sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
 
 
 class Average(Accumulator):

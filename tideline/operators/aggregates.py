@@ -52,7 +52,7 @@ def concat_in_order(
     A key's whole text has no bound, so it comes in numbered parts; read in part order they
     are the text of the key.
     """
-    placed = ordered(frame, keys, order, max_rows).scan(running_count("__at")).rows()
+    placed = ordered(frame, keys, order, max_rows, counted=True).scan(running_count("__at")).rows()
     part = F.floor((F.col("__at") - 1) / F.lit(rows_per_part)).cast("long")
     entry = F.struct(*order, F.col(text).alias("__text"))
     joined = F.array_join(

@@ -212,7 +212,7 @@ def with_membership(
                     held, form, data = places[a], value("__form")[a].as_py(), value("__data")[a].as_py()
                 elif places[a] == held and held[-1] is not None:
                     found[a:b] = contains(form, data, asked_places[a:b])
-            yield pa.RecordBatch.from_arrays([*[value(c) for c in rows.columns], pa.array(found)], names=schema.names).filter(
+            yield pa.RecordBatch.from_arrays([*[value(c) for c in schema.names[:-1]], pa.array(found)], names=schema.names).filter(
                 pa.array(kinds == 1)
             )
 

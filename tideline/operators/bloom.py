@@ -100,7 +100,7 @@ def with_maybe_seen(rows: DataFrame, filters: DataFrame, key: list[str], sizing:
                         at = probe[a:b]
                         hit &= (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
                     found[a:b] = hit
-            out = pa.RecordBatch.from_arrays([*[value(c) for c in rows.columns], pa.array(found)], names=schema.names)
+            out = pa.RecordBatch.from_arrays([*[value(c) for c in schema.names[:-1]], pa.array(found)], names=schema.names)
             yield out.filter(pa.array(kind == 1))
 
     return both.mapInArrow(run, schema)

@@ -34,6 +34,18 @@ def running_total_changes(keys: list[str], order: list[str], value: str, name: s
     return OrderedJob(keys, order, [running], spread)
 
 
+def count_changes(counted: DataFrame, count: str) -> DataFrame:
+    """What each row does to its key's count: ``+I`` at the first, then ``-U`` of the old and ``+U`` of the new one."""
+    n = F.col(count)
+
+    def change(op: str, value: Column) -> Column:
+        return F.struct(F.lit(op).alias("op"), value.alias(count))
+
+    changes = F.when(n == 1, F.array(change("+I", n))).otherwise(F.array(change("-U", n - 1), change("+U", n)))
+    rest = [c for c in counted.columns if c != count]
+    return counted.select(*rest, F.explode(changes).alias("__c")).select(*rest, "__c.*")
+
+
 def snapshot_changes(old: DataFrame, new: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """The changes that lead from one state of a keyed table to the next."""
     # A null key is a key like any other.

@@ -83,7 +83,7 @@ def as_of_join(
     )
     sequence = left_rows.unionByName(version_rows, allowMissingColumns=True)
     carried = (
-        ordered(sequence, keys, ["__t", "__side", "__id"], max_rows)
+        ordered(sequence, keys, ["__t", "__side", "__id"], max_rows, counted=True)
         .scan(running_last("__seen", F.col("__version")))
         .rows()
     )

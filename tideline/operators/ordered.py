@@ -3,9 +3,9 @@
 Running counts, "last value so far", next-row lookups and short row frames all depend on
 the order of rows inside a key. A plain window function sorts a whole key in one task,
 which a key with a third of all rows does not survive. So every key is cut into slices of
-at most about ``max_rows`` rows, in the same plan at every size: the window functions run
-per (key, slice), and what a slice needs from the others is a small total per slice,
-folded in slice order and joined back. A key with few rows is one slice.
+at most about ``max_rows`` rows: the window functions run per (key, slice), and what a
+slice needs from the others is a small total per slice, folded in slice order and joined
+back. A key with few rows is one slice.
 
 Slices are cut by row counts. A histogram per key over short stretches of time gives the
 rows before each stretch, and so the slice it falls into. A stretch with too many rows is
@@ -13,6 +13,11 @@ cut by the rows before each of its instants, and an instant with too many rows b
 of the row id. A row far off in time or a burst thus fills no slice. All of this is part
 of the plan: preparing it runs no job.
 
+``counted`` looks first: a job counts rows per key, of which the driver learns the largest
+number only, and if no key has more than ``max_rows`` rows, plain window functions do. If
+one has, rows that a later step reads again are written to the shared folder in between, so
+nothing stays in the executors' storage.
+
 With no key at all the whole table is one ordered sequence and is treated the same way.
 """
 
@@ -26,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.timing import bucket
+from tideline.session import stored
 
 MAX_ROWS = 2_000_000
 #: Length of the stretches that are counted first, in units of the order's time (ms).
@@ -41,6 +47,7 @@ class Running:
 
     ``local`` works inside a slice, ``total`` condenses a slice to one value, ``fold``
     condenses the totals of the other slices and ``merge`` joins local and folded value.
+    ``alone`` is the local value where there is nothing to merge it with.
     """
 
     name: str
@@ -49,6 +56,7 @@ class Running:
     fold: Callable[[Column], Column]
     merge: Callable[[Column, Column], Column]
     forward: bool = False
+    alone: Callable[[Column], Column] = lambda local: local
 
 
 def _up_to(window: WindowSpec, inclusive: bool) -> WindowSpec:
@@ -62,6 +70,7 @@ def running_sum(name: str, value: Column, inclusive: bool = True) -> Running:
         lambda order: F.sum(value),
         F.sum,
         lambda local, carry: F.coalesce(local, F.lit(0)) + F.coalesce(carry, F.lit(0)),
+        alone=lambda local: F.coalesce(local, F.lit(0)),
     )
 
 
@@ -120,15 +129,18 @@ def next_value(name: str, value: Column) -> Running:
 
 @dataclass(frozen=True)
 class Ordered:
-    """Rows ready for ordered expressions, each with the slice of its key that holds it."""
+    """Rows ready for ordered expressions, each, if keys are ``cut``, with the slice of its key that holds it."""
 
     frame: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
+    cut: bool
+    counted: bool = False
     scanned: bool = False
 
-    def _group(self) -> list[str]:
-        return [*self.keys, _SLICE]
+    def group(self) -> list[str]:
+        """The columns whose equal values make a group that one task may hold."""
+        return [*self.keys, _SLICE] if self.cut else [*self.keys]
 
     def scan(self, *running: Running, since: DataFrame | None = None) -> "Ordered":
         """Add one column per expression.
@@ -136,12 +148,13 @@ class Ordered:
         ``since`` holds, per key, the totals reached before these rows (see ``totals``);
         the micro-batches of a stream hand it on from one to the next.
         """
-        group = self._group()
-        # Rows feed both the totals and the result, so an earlier scan is kept, not run twice.
-        frame = self.frame.persist() if self.scanned else self.frame
-        frame = join_null_safe(frame, self._carried(frame, running), group)
-        carry = {r.name: F.col(f"__c_{r.name}") for r in running}
-        helpers = [f"__c_{r.name}" for r in running]
+        frame, carry, helpers = self.frame, {}, []
+        if self.cut:
+            # Rows feed both the totals and the result, so an earlier scan is kept, not run twice.
+            frame = _kept(frame, self.counted) if self.scanned else frame
+            frame = join_null_safe(frame, self._carried(frame, running), self.group())
+            carry = {r.name: F.col(f"__c_{r.name}") for r in running}
+            helpers = [f"__c_{r.name}" for r in running]
         earlier = [r for r in running if not r.forward] if since is not None else []
         if earlier and self.keys:
             reached = since.select(*self.keys, *[F.col(r.name).alias(f"__s_{r.name}") for r in earlier])
@@ -150,15 +163,17 @@ class Ordered:
             frame = frame.withColumns({f"__s_{r.name}": since.select(r.name).scalar() for r in earlier})
         for r in earlier:
             reached = F.col(f"__s_{r.name}")
-            carry[r.name] = r.merge(carry[r.name], reached)
+            carry[r.name] = r.merge(carry[r.name], reached) if r.name in carry else reached
             helpers.append(f"__s_{r.name}")
-        window = Window.partitionBy(*group).orderBy(*self.order)
-        columns = {r.name: r.merge(r.local(window), carry[r.name]) for r in running}
+        window = Window.partitionBy(*self.group()).orderBy(*self.order)
+        columns = {
+            r.name: r.merge(r.local(window), carry[r.name]) if r.name in carry else r.alone(r.local(window)) for r in running
+        }
         return replace(self, frame=frame.withColumns(columns).drop(*helpers), scanned=True)
 
     def _carried(self, frame: DataFrame, running: tuple[Running, ...]) -> DataFrame:
         """Per slice, the folded totals of the slices before (or after) it."""
-        group, position = self._group(), F.struct(*self.order)
+        group, position = self.group(), F.struct(*self.order)
         totals = frame.groupBy(*group).agg(*[r.total(position).alias(r.name) for r in running])
         by_slice = Window.partitionBy(*self.keys).orderBy(_SLICE)
         before, after = by_slice.rowsBetween(_FIRST, -1), by_slice.rowsBetween(1, _LAST)
@@ -171,7 +186,7 @@ class Ordered:
         )
 
     def by(self, *keys: str) -> "Ordered":
-        """The same rows under finer or coarser keys; the slices of the first keys serve both."""
+        """The same rows under finer keys, or the first ones again; the slices of the first keys serve both."""
         return replace(self, keys=keys)
 
     def transform(self, change: Callable[[DataFrame], DataFrame]) -> "Ordered":
@@ -192,27 +207,39 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFr
     return left.join(renamed, condition, "left").drop(*[f"__r_{k}" for k in keys])
 
 
+def _kept(frame: DataFrame, counted: bool) -> DataFrame:
+    return stored(frame) if counted else frame.persist()
+
+
 def ordered(
-    frame: DataFrame, keys: list[str], order: list[str], max_rows: int = MAX_ROWS, grain: int = GRAIN, keep: bool = False
+    frame: DataFrame,
+    keys: list[str],
+    order: list[str],
+    max_rows: int = MAX_ROWS,
+    grain: int = GRAIN,
+    keep: bool = False,
+    counted: bool = False,
 ) -> Ordered:
-    """Prepare ``frame`` for ordered work per key.
+    """Prepare ``frame`` for ordered work per key; ``counted`` does it by what a count of its rows says.
 
     ``order`` starts with a BIGINT time and ends with a unique id, so the order is total.
     The id is a number, or a text, which a single instant is cut by in its first characters
     only. ``keep`` says that the frame is costly to make and should be made once, not once for
     the counts and once for the rows.
     """
-    rows = frame.persist() if keep else frame
+    rows = _kept(frame, counted) if keep else frame
+    if counted and _largest(rows, keys) <= max_rows:
+        return Ordered(rows, tuple(keys), tuple(order), cut=False)
     # Rows without a time come first.
     time = F.coalesce(F.col(order[0]).cast("long"), F.lit(-(1 << 62)))
     rows = rows.withColumn("__stretch", bucket(time, grain))
-    counted = rows.groupBy(*keys, "__stretch").agg(F.count(F.lit(1)).alias("__n"))
-    rows = join_null_safe(rows, _cuts(counted, keys, "__stretch", max_rows, "__s1", "__full"), [*keys, "__stretch"])
+    histogram = rows.groupBy(*keys, "__stretch").agg(F.count(F.lit(1)).alias("__n"))
+    rows = join_null_safe(rows, _cuts(histogram, keys, "__stretch", max_rows, "__s1", "__full"), [*keys, "__stretch"])
     # Instants of the stretches that are too large for a slice; without any, nothing is joined.
     instants = rows.where(F.col("__full")).withColumn("__instant", time)
     place = [*keys, "__stretch"]
-    counted = instants.groupBy(*place, "__instant").agg(F.count(F.lit(1)).alias("__n"))
-    cuts = _cuts(counted, place, "__instant", max_rows, "__s2", "__crowd")
+    histogram = instants.groupBy(*place, "__instant").agg(F.count(F.lit(1)).alias("__n"))
+    cuts = _cuts(histogram, place, "__instant", max_rows, "__s2", "__crowd")
     rows = join_null_safe(rows.withColumn("__instant", time), cuts, [*place, "__instant"])
     last = F.col(order[-1])
     text_id = isinstance(frame.schema[order[-1]].dataType, T.StringType)
@@ -229,14 +256,21 @@ def ordered(
         F.when(crowd, part).alias("g"),
     )
     cut = rows.withColumn(_SLICE, slice_).drop("__stretch", "__instant", "__s1", "__full", "__s2", "__crowd")
-    return Ordered(cut, tuple(keys), tuple(order))
+    return Ordered(cut, tuple(keys), tuple(order), cut=True, counted=counted)
+
+
+def _largest(frame: DataFrame, keys: list[str]) -> int:
+    """The number of rows of the largest key."""
+    if not keys:
+        return frame.count()
+    return frame.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
 
 
-def _cuts(counted: DataFrame, keys: list[str], cell: str, max_rows: int, name: str, full: str) -> DataFrame:
+def _cuts(histogram: DataFrame, keys: list[str], cell: str, max_rows: int, name: str, full: str) -> DataFrame:
     """For each cell of a key, the slice that the rows before it put it into, and whether it is too large itself."""
     before = Window.partitionBy(*keys).orderBy(cell).rowsBetween(_FIRST, -1)
     rank = F.floor(F.coalesce(F.sum("__n").over(before), F.lit(0)) / F.lit(max_rows)).cast("long")
-    return counted.select(*keys, cell, rank.alias(name), (F.col("__n") > max_rows).alias(full))
+    return histogram.select(*keys, cell, rank.alias(name), (F.col("__n") > max_rows).alias(full))
 
 
 def totals(
@@ -286,7 +320,7 @@ class OrderedJob:
     finish: Callable[[DataFrame], DataFrame]
 
     def over(self, frame: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-        cut = ordered(frame, self.keys, self.order, max_rows)
+        cut = ordered(frame, self.keys, self.order, max_rows, counted=True)
         for stage in self.stages:
             cut = cut.transform(stage.prepare).scan(*stage.running())
         return self.finish(cut.rows())
@@ -299,14 +333,17 @@ def row_frames(
     preceding: int,
     columns: Callable[[WindowSpec], dict[str, Column]],
     max_rows: int = MAX_ROWS,
+    counted: bool = False,
 ) -> DataFrame:
     """Window functions over the current row and the ``preceding`` rows before it.
 
     A slice first receives copies of the last rows before it; they take part in the frames
     and are dropped afterwards.
     """
-    cut = ordered(frame, keys, order, max_rows)
-    window = Window.partitionBy(*cut._group()).orderBy(*order).rowsBetween(-preceding, _CURRENT)
+    cut = ordered(frame, keys, order, max_rows, counted=counted)
+    window = Window.partitionBy(*cut.group()).orderBy(*order).rowsBetween(-preceding, _CURRENT)
+    if not cut.cut:
+        return cut.frame.withColumns(columns(window))
     newest_first = Window.partitionBy(*keys, _SLICE).orderBy(*[F.col(c).desc() for c in order])
     tails = (
         cut.frame
@@ -335,6 +372,7 @@ def range_sums(
     span: int,
     sums: dict[str, Column],
     max_rows: int = MAX_ROWS,
+    counted: bool = False,
 ) -> DataFrame:
     """Add sums over the rows of the last ``span`` time units up to this one's time.
 
@@ -351,7 +389,7 @@ def range_sums(
         *[F.lit(None).cast(instants.schema[n].dataType).alias(n) for n in sums],
     )
     reached = (
-        ordered(ends.unionByName(marks), keys, ["__t", "__side", "__at"], max_rows)
+        ordered(ends.unionByName(marks), keys, ["__t", "__side", "__at"], max_rows, counted=counted)
         .scan(*[running_sum(f"__to_{n}", F.col(n)) for n in sums])
         .rows()
     )

@@ -82,7 +82,7 @@ def silence_alerts(
     Any later row of the key withdraws the pending alert.
     """
     time = F.col(order[0])
-    watched = ordered(frame.withColumn("__watch", condition), keys, order, max_rows).scan(
+    watched = ordered(frame.withColumn("__watch", condition), keys, order, max_rows, counted=True).scan(
         next_value("__next", time)
     )
     due = time + F.lit(delay)

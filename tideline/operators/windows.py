@@ -143,7 +143,7 @@ def numbered(
     frame: DataFrame, keys: list[str], order: list[str], name: str, max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """Position 1..n of each row in its key (or in the whole table, with no key)."""
-    return ordered(frame, keys, order, max_rows).scan(running_count(name)).rows()
+    return ordered(frame, keys, order, max_rows, counted=True).scan(running_count(name)).rows()
 
 
 def count_tumble(
@@ -194,7 +194,7 @@ def marker_windows(
     """
     closed = F.coalesce(marker, F.lit(False))
     placed = (
-        ordered(frame, keys, order, max_rows)
+        ordered(frame, keys, order, max_rows, counted=True)
         .scan(running_count("window_no", closed, inclusive=False))
         .rows()
         .withColumn("__closes", closed)

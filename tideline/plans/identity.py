@@ -57,14 +57,16 @@ class IdentityState:
 
 
 def _best_bound(
-    logs: DataFrame, members: DataFrame, max_rows: int, state: IdentityState | None = None
-) -> tuple[DataFrame, tuple[DataFrame, DataFrame, DataFrame]]:
-    """Adds N as ``__n_all`` and, as ``__best``, the strongest account up to the row; and what each scan reached."""
-    rows = ordered(logs, ["deviceid"], ORDER, max_rows).transform(lambda f: _registered(f, members))
+    logs: DataFrame, members: DataFrame, max_rows: int, state: IdentityState | None, continued: bool
+) -> tuple[DataFrame, list[DataFrame]]:
+    """Adds N as ``__n_all`` and, as ``__best``, the strongest account up to the row; and, if the job is to be
+    ``continued``, what each scan reached."""
+    rows = ordered(logs, ["deviceid"], ORDER, max_rows, counted=True).transform(lambda f: _registered(f, members))
     reached = []
 
     def scan(rows, keys: list[str], since: DataFrame | None, *running):
-        reached.append(totals(rows.frame, keys, ORDER, list(running), since))
+        if continued:
+            reached.append(totals(rows.frame, keys, ORDER, list(running), since))
         return rows.by(*keys).scan(*running, since=since)
 
     rows = scan(rows, ["deviceid"], state and state.events, running_count("__n_all", F.col("__account").isNotNull()))
@@ -85,7 +87,7 @@ def _best_bound(
     )
     rows = rows.transform(lambda f: f.withColumn("__candidate", candidate))
     rows = scan(rows, ["deviceid"], state and state.best, running_min("__best", F.col("__candidate")))
-    return rows.rows(), tuple(reached)
+    return rows.rows(), reached
 
 
 def device_bindings(logs: DataFrame, members: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
@@ -96,7 +98,7 @@ def device_bindings(logs: DataFrame, members: DataFrame, max_rows: int = MAX_ROW
     """
     rows = _registered(logs, members).where(F.col("__account").isNotNull())
     counted = ordered(
-        rows.select("deviceid", "__account", *ORDER), ["deviceid"], ORDER, max_rows
+        rows.select("deviceid", "__account", *ORDER), ["deviceid"], ORDER, max_rows, counted=True
     ).scan(running_count("__n_all")).rows()
     per_account = counted.groupBy("deviceid", "__account").agg(
         F.count(F.lit(1)).alias("__n"), F.min("__n_all").alias("__n_first")
@@ -121,7 +123,7 @@ def temporary_ids(
     if known is not None:
         fresh = first_visits.join(known.select("deviceid"), "deviceid", "left_anti")
         start = known.agg(F.coalesce(F.max("guid"), F.lit(TEMP_ID_BASE)).cast("long")).scalar()
-    numbered = ordered(fresh, [], ["first_time", "deviceid"], max_rows, keep=True).scan(running_count("__at")).rows()
+    numbered = ordered(fresh, [], ["first_time", "deviceid"], max_rows, keep=True, counted=True).scan(running_count("__at")).rows()
     given = numbered.select("deviceid", (F.col("__at") + start).alias("guid"), "first_time")
     return given if known is None else known.unionByName(given)
 
@@ -133,7 +135,7 @@ def map_identity(
 
     A device that once fell back to a temporary id keeps it for its anonymous rows.
     """
-    return _mapped(logs, members, known_ids, max_rows, None)[0]
+    return _mapped(logs, members, known_ids, max_rows, None, continued=False)[0]
 
 
 def continue_identity(
@@ -143,15 +145,16 @@ def continue_identity(
 
     Runs over consecutive stretches of a log give together what one run over all of it gives.
     """
-    return _mapped(logs, members, state and state.temporary, max_rows, state)
+    mapped, reached, ids = _mapped(logs, members, state and state.temporary, max_rows, state, continued=True)
+    return mapped, IdentityState(*reached, ids)
 
 
 def _mapped(
-    logs: DataFrame, members: DataFrame, known_ids: DataFrame | None, max_rows: int, state: IdentityState | None
-) -> tuple[DataFrame, IdentityState]:
-    best, reached = _best_bound(logs, members, max_rows, state)
+    logs: DataFrame, members: DataFrame, known_ids: DataFrame | None, max_rows: int, state: IdentityState | None, continued: bool
+) -> tuple[DataFrame, list[DataFrame], DataFrame]:
+    best, reached = _best_bound(logs, members, max_rows, state, continued)
     # Read by the numbering of devices and by the result.
-    best = best.persist()
+    best = stored(best)
     anonymous = F.col("__account").isNull()
     bound = -F.col("__best.minus_score") - F.col("__n_all") > 0
     unresolved = anonymous & ~F.coalesce(bound, F.lit(False))
@@ -191,4 +194,4 @@ def _mapped(
         .alias("register_time"),
         F.when(on_temp, F.col("__first_time")).alias("first_access_time"),
     )
-    return mapped, IdentityState(*reached, ids)
+    return mapped, reached, ids

@@ -17,6 +17,7 @@ from tideline.operators.ordered import (
 )
 from tideline.operators.ranking import top_n
 from tideline.operators.windows import cumulate
+from tideline.streaming.keyed import RunningValues, Value, in_order
 
 # Event names with a meaning of their own.
 STARTS = ["applaunch", "wakeup"]
@@ -68,7 +69,7 @@ def visit_rows(detail: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     A launch, a wake-up or the user's first row starts a sub-session, whose dimensions are
     those of its first row. A page load sets the page, also when it is the first row.
     """
-    rows = ordered(detail, ["guid"], ORDER, max_rows, keep=True).scan(
+    rows = ordered(detail, ["guid"], ORDER, max_rows, keep=True, counted=True).scan(
         *previous_row(), next_value("__next", F.col("timestamp"))
     )
     return rows.transform(with_starts).scan(*visit_state()).rows()
@@ -124,6 +125,45 @@ def session_job() -> OrderedJob:
     )
 
 
+class VisitState(RunningValues):
+    """Session starts, pages and load times; a user's first row starts a sub-session whatever it is."""
+
+    def prepare(self, rows, first):
+        starts = rows["opens"].to_numpy(bool)
+        if first:
+            starts[0] = True
+        loads = starts | rows["loads"].to_numpy(bool)
+        return rows.assign(starts=starts, start=rows["start"].where(starts, None), load=rows["at"].where(loads, None))
+
+
+def split_sessions_stream(visits: DataFrame, delay: str) -> DataFrame:
+    """``split_sessions`` while the log comes in, each user's visit in Spark's state store."""
+    time, event = F.col("timestamp"), F.col("eventid")
+    start = F.struct("sessionid", F.concat_ws(":", "sessionid", time.cast("string")).alias("split_session_id"), *DIMENSIONS)
+    rows = visits.select(
+        "guid", *ORDER, "eventid", event.isin(STARTS).alias("opens"), (event == PAGE_LOAD).alias("loads"),
+        F.to_json(start).alias("start"), F.when(event == PAGE_LOAD, F.col("properties")["pageId"]).alias("page"),
+        time.cast("string").alias("at"),
+    )
+    values = [
+        Value("visit", "last", "start"), Value("page_now", "last", "page"), Value("page_before", "last", "page", False),
+        Value("load_now", "last", "load"), Value("load_before", "last", "load", False),
+    ]
+    output = (
+        "guid BIGINT, log_id BIGINT, timestamp BIGINT, eventid STRING, starts BOOLEAN, visit STRING, page_now STRING, "
+        "page_before STRING, load_now STRING, load_before STRING"
+    )
+    kept = in_order(rows, ["guid"], ORDER, delay, output, VisitState, values)
+    starts = visits.select(start.alias("start")).schema["start"].dataType
+    return split_sessions(
+        kept.select(
+            "guid", *ORDER, "eventid", F.col("starts").alias("__starts"), F.from_json("visit", starts).alias("__start"),
+            F.col("page_now").alias("__page"), F.col("page_before").alias("__page_before"),
+            F.col("load_now").cast("long").alias("__load"), F.col("load_before").cast("long").alias("__load_before"),
+        )
+    )
+
+
 def heartbeats(visits: DataFrame, every: int, at_most: int) -> DataFrame:
     """Only the rows that fill silent stretches."""
     return _traffic(visits, _beat_entries(every, at_most))

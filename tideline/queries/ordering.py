@@ -76,6 +76,7 @@ def over_rows(spark, folder):
             "sum_long": F.sum(LONG).over(w),
             "avg_long": F.sum(LONG).over(w) / F.count(F.lit(1)).over(w),
         },
+        counted=True,
     )
     return framed.select("log_id", "sum_long", "avg_long")
 
@@ -89,7 +90,7 @@ def over_rows(spark, folder):
 def over_range(spark, folder):
     """Sum and average over a user's last day up to each row."""
     rows = actions(spark, folder).select("guid", *ORDER, "action_timelong")
-    framed = range_sums(rows, ["guid"], ORDER, DAY, {"sum_long": LONG, "rows": F.lit(1)})
+    framed = range_sums(rows, ["guid"], ORDER, DAY, {"sum_long": LONG, "rows": F.lit(1)}, counted=True)
     return framed.select("log_id", "sum_long", (F.col("sum_long") / F.col("rows")).alias("avg_long"))
 
 
@@ -102,7 +103,7 @@ def over_range(spark, folder):
 def last_n_concat(spark, folder):
     """Each element joined to the two before it, over the whole sequence."""
     rows = actions(spark, folder).select(*ORDER, "event_id")
-    framed = row_frames(rows, [], ORDER, 2, lambda w: {"joined": F.array_join(F.collect_list("event_id").over(w), "")})
+    framed = row_frames(rows, [], ORDER, 2, lambda w: {"joined": F.array_join(F.collect_list("event_id").over(w), "")}, counted=True)
     return framed.select("log_id", "joined")
 
 
@@ -118,6 +119,7 @@ def last_n_per_key(spark, folder):
     framed = row_frames(
         rows, ["channel"], ORDER, 2,
         lambda w: {"joined": F.concat_ws(",", "channel", F.array_join(F.collect_list("event_id").over(w), ","))},
+        counted=True,
     )
     return framed.select("log_id", "joined")
 
@@ -131,7 +133,7 @@ def last_n_per_key(spark, folder):
 def running_counts(spark, folder):
     """Rows, and views, of a channel up to each row."""
     rows = actions(spark, folder).select("channel", *ORDER, "event_id")
-    return ordered(rows, ["channel"], ORDER).scan(
+    return ordered(rows, ["channel"], ORDER, counted=True).scan(
         running_count("cnt"), running_count("views", F.col("event_id") == "view")
     ).rows().select("log_id", "cnt", "views")
 
@@ -145,7 +147,7 @@ def running_counts(spark, folder):
 def running_count_by_event(spark, folder):
     """Rows of a channel and event up to each row, as a message."""
     rows = actions(spark, folder).select("channel", "event_id", *ORDER)
-    counted = ordered(rows, ["channel", "event_id"], ORDER).scan(running_count("cnt")).rows()
+    counted = ordered(rows, ["channel", "event_id"], ORDER, counted=True).scan(running_count("cnt")).rows()
     return counted.select("log_id", F.format_string("%s,%s : %d", "channel", "event_id", "cnt").alias("message"))
 
 
@@ -157,7 +159,7 @@ def running_count_by_event(spark, folder):
 def running_sums(spark, folder):
     """Action time of a user up to each row."""
     rows = actions(spark, folder).select("guid", *ORDER, "action_timelong")
-    return ordered(rows, ["guid"], ORDER).scan(running_sum("total", F.col(LONG))).rows().select("log_id", "total")
+    return ordered(rows, ["guid"], ORDER, counted=True).scan(running_sum("total", F.col(LONG))).rows().select("log_id", "total")
 
 
 _NUMBERED = """WITH placed AS (SELECT *, row_number() OVER ({part} ORDER BY action_time, log_id) AS pos FROM action_event)"""

@@ -10,7 +10,6 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tideline.operators import changes as C
-from tideline.operators.ordered import OrderedJob, Stage, running_count, running_sum
 from tideline.operators.ranking import top_n_per_group
 from tideline.operators.rows import split_rows
 from tideline.plans import traffic as V
@@ -18,9 +17,11 @@ from tideline.queries import joining, ordering, relational, time_windows, wareho
 from tideline.queries.registry import ORACLES, query
 from tideline.queries.relational import DAY, HOUR, action_sql
 from tideline.session import scratch_folder
+from tideline.sinks.committed import commit_to, read_committed
 from tideline.sinks.tables import append_batch, read_batches
 from tideline.sources.behaviour import action_event, app_log
 from tideline.sources.tables import table, table_stream
+from tideline.sources.watched import watch_changing_lines
 from tideline.streaming import keyed as K
 from tideline.streaming import operators as O
 from tideline.streaming.carry import ordered_stream
@@ -52,14 +53,6 @@ def appended_in_parts(spark, folder, purpose, result_of):
     return spark.read.schema(schema).parquet(f"{base}/rows")
 
 
-def ordered_in_parts(spark, folder, rows_of, job):
-    """An ordered job that is stopped and started between three parts of the events, state carried over."""
-    base, result = scratch_folder(spark, "parts"), None
-    for events in parts_of(spark, folder, base):
-        result = ordered_stream(spark, rows_of(events), job, f"{base}/job")
-    return result
-
-
 def _closed(size: str, delay: str, select: str, extra: str = "") -> str:
     return action_sql(f"""
     SELECT * FROM (
@@ -263,44 +256,51 @@ def set_union_stream_live(spark, folder):
     return appended(spark, rows.where("event_id = 'click'").unionByName(rows.where("event_id = 'error'")), "union")
 
 
+def _running(rows, keys, output, *values):
+    return K.in_order(rows, keys, ORDER, "0 seconds", output, K.RunningValues, list(values))
+
+
 @query("running_count_stream", ORACLES["running_count"])
 def running_count_stream(spark, folder):
-    """Running counts carried from batch to batch."""
-    job = OrderedJob(
-        ["channel"], ORDER,
-        [Stage(lambda: [running_count("cnt"), running_count("views", F.col("event_id") == "view")])],
-        lambda counted: counted.select("log_id", "cnt", "views"),
-    )
-    rows = lambda events: action_event(events).select("channel", *ORDER, "event_id")
-    return ordered_in_parts(spark, folder, rows, job)
+    """Running counts in Spark's state store, over runs."""
+
+    def counted(rows):
+        ready = rows.select("channel", *ORDER, F.lit(1).alias("one"), (F.col("event_id") == "view").cast("int").alias("view"))
+        return _running(
+            ready, ["channel"], "log_id BIGINT, cnt BIGINT, views BIGINT", K.Value("cnt", "sum", "one"), K.Value("views", "sum", "view")
+        )
+
+    return appended_in_parts(spark, folder, "counts", counted)
+
+
+def _summed_up(rows):
+    ready = rows.select("guid", *ORDER, F.coalesce("action_timelong", F.lit(0)).alias("value"))
+    return _running(ready, ["guid"], "log_id BIGINT, total BIGINT", K.Value("total", "sum", "value"))
 
 
 @query("running_sum_stream", ORACLES["running_sum"])
 def running_sum_stream(spark, folder):
-    """Running sums carried from batch to batch."""
-    job = OrderedJob(
-        ["guid"], ORDER, [Stage(lambda: [running_sum("total", F.col("action_timelong"))])],
-        lambda summed: summed.select("log_id", "total"),
-    )
-    rows = lambda events: action_event(events).select("guid", *ORDER, "action_timelong")
-    return ordered_in_parts(spark, folder, rows, job)
+    """Running sums in Spark's state store, over runs."""
+    return appended_in_parts(spark, folder, "sums", _summed_up)
 
 
 @query("st_recovery", ORACLES["running_sum"])
 def st_recovery(spark, folder):
-    """Running sums of a stream that is stopped after half the data and started again."""
-    source, base = scratch_folder(spark, "halves"), scratch_folder(spark, "recovered")
-    rows = action_event(table(spark, folder, "events")).select("guid", *ORDER, "action_timelong", "ts")
-    job = OrderedJob(
-        ["guid"], ORDER, [Stage(lambda: [running_sum("total", F.col("action_timelong"))])],
-        lambda summed: summed.select("log_id", "total"),
-    )
-    result = None
-    for half in ("ts < TIMESTAMP_NTZ '2024-01-15'", "ts >= TIMESTAMP_NTZ '2024-01-15'"):
-        rows.where(half).drop("ts").write.mode("append").parquet(source)
-        stream = spark.readStream.schema(rows.drop("ts").schema).parquet(source)
-        result = ordered_stream(spark, stream, job, base)
-    return result
+    """Running sums of a stream that fails while it writes its second batch, and goes on from the checkpoint."""
+    base, failed = scratch_folder(spark, "recovered"), []
+
+    def write(batch, number):
+        append_batch(batch, f"{base}/rows", number)
+        if number > 1 and not failed:
+            failed.append(number)
+            raise RuntimeError("stopped after the write, before the state was committed")
+
+    for events in parts_of(spark, folder, base):
+        try:
+            each_batch(_summed_up(action_event(events)), write, f"{base}/checkpoint", "append")
+        except StreamingQueryException:
+            each_batch(_summed_up(action_event(events)), write, f"{base}/checkpoint", "append")
+    return read_batches(spark, f"{base}/rows")
 
 
 @query("st_restart_source", action_sql("SELECT log_id, guid FROM action_event"))
@@ -356,7 +356,9 @@ def st_timer_alert_stream(spark, folder):
     """Timers five seconds after each error, set in one run and gone off in it or in a later one."""
     return appended_in_parts(
         spark, folder, "due",
-        lambda rows: K.due_alerts(rows.where("event_id = 'error'"), ["guid"], "action_time", 5000, "0 seconds"),
+        lambda rows: K.due_alerts(
+            rows.withColumn("failed", F.col("event_id") == "error"), ["guid"], "action_time", "failed", 5000, "0 seconds"
+        ),
     )
 
 
@@ -496,27 +498,67 @@ def join_broadcast_stream(spark, folder):
     UNION ALL SELECT channel, event_id, '-U', old FROM steps WHERE new > old AND old > 0"""),
 )
 def out_changelog_stream(spark, folder):
-    """Changes of a grouped count over three batches: inserts, then withdrawn and new counts."""
-    base = scratch_folder(spark, "feed")
-    feed = O.change_feed(["channel", "event_id"], ["cnt"], f"{base}/state", f"{base}/rows")
-    for events in parts_of(spark, folder, base):
-        counts = action_event(events).groupBy("channel", "event_id").agg(F.count(F.lit(1)).alias("cnt"))
-        each_batch(counts, feed, f"{base}/checkpoint")
-    return read_batches(spark, f"{base}/rows")
+    """Changes of a grouped count over three batches, the counts in Spark's state store."""
+    keys = ["channel", "event_id"]
+    return appended_in_parts(
+        spark, folder, "feed",
+        lambda rows: K.in_order(
+            rows.select(*keys, *ORDER), keys, ORDER, "0 seconds", "channel STRING, event_id STRING, op STRING, cnt BIGINT",
+            K.CountChanges, "cnt",
+        ),
+    )
 
 
 @query("out_changelog_rows_stream", ORACLES["out_changelog_rows"])
 def out_changelog_rows_stream(spark, folder):
-    """Row-by-row changes of the running count, carried from batch to batch."""
-    rows = lambda events: action_event(events).select("guid", *ORDER, F.lit(1).cast("long").alias("one"))
-    return ordered_in_parts(spark, folder, rows, C.running_total_changes(["guid"], ORDER, "one", "cnt"))
+    """Row-by-row changes of the running count, the count in Spark's state store."""
+
+    def changed(rows):
+        ready = rows.select("guid", *ORDER, F.lit(1).alias("one"))
+        counted = _running(
+            ready, ["guid"], "guid BIGINT, action_time BIGINT, log_id BIGINT, cnt BIGINT", K.Value("cnt", "sum", "one")
+        )
+        return C.count_changes(counted, "cnt")
+
+    return appended_in_parts(spark, folder, "changes", changed)
 
 
 @query("dw_session_split_stream", ORACLES["dw_session_split"])
 def dw_session_split_stream(spark, folder):
-    """Sessions split while the stream runs."""
-    rows = lambda events: warehouse.visits_of(app_log(events))
-    return ordered_in_parts(spark, folder, rows, V.session_job())
+    """Sessions split while the stream runs, each user's visit in Spark's state store."""
+    base, schema = scratch_folder(spark, "visits"), None
+    for events in parts_of(spark, folder, base):
+        split = V.split_sessions_stream(warehouse.visits_of(app_log(events)), "0 seconds")
+        schema = split.schema
+        append_to(split, f"{base}/rows", f"{base}/checkpoint")
+    return spark.read.schema(schema).parquet(f"{base}/rows")
+
+
+@query("sink_two_phase", action_sql("SELECT guid, count(*) AS cnt, CAST(sum(action_timelong) AS BIGINT) AS total FROM action_event GROUP BY guid"))
+def sink_two_phase(spark, folder):
+    """Rows through a sink whose tasks stage files that a commit publishes, started anew for each part."""
+    base = scratch_folder(spark, "committed")
+    for events in parts_of(spark, folder, base):
+        rows = action_event(events).select("guid", "action_timelong")
+        commit_to(rows, f"{base}/table", f"{base}/checkpoint")
+    return read_committed(spark, f"{base}/table", rows.schema).groupBy("guid").agg(*_counts())
+
+
+@query(
+    "src_watch_changed",
+    action_sql("""SELECT log_id, count(*) AS times FROM (
+      SELECT log_id FROM action_event WHERE day(ts) <= 9 UNION ALL SELECT log_id FROM action_event WHERE day(ts) <= 20) GROUP BY log_id"""),
+)
+def src_watch_changed(spark, folder):
+    """A folder whose files are replaced by longer ones between two runs: what changed is read again, whole."""
+    base = scratch_folder(spark, "changing")
+    rows = action_event(table(spark, folder, "events"))
+    for last_day in (9, 20):
+        rows.where(F.day("ts") <= last_day).select(F.col("log_id").cast("string")).write.mode("overwrite").text(f"{base}/in")
+        for _ in range(2):
+            append_to(watch_changing_lines(spark, f"{base}/in"), f"{base}/rows", f"{base}/checkpoint")
+    lines = spark.read.schema("value string").parquet(f"{base}/rows")
+    return lines.groupBy(F.col("value").cast("long").alias("log_id")).agg(F.count("*").alias("times"))
 
 
 @query(

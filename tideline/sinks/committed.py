@@ -59,7 +59,7 @@ class CommittedWriter(DataSourceStreamArrowWriter):
     def commit(self, messages: list[Staged | None], batchId: int) -> None:
         system, target = self._place("manifests", f"{batchId:012d}.json")
         if system.get_file_info(target).type != fs.FileType.NotFound:
-            self._remove(messages)
+            self.abort(messages, batchId)
             return
         staged = [m for m in messages if m and m.name]
         content = {"batch": batchId, "rows": sum(m.rows for m in staged), "files": [m.name for m in staged]}
@@ -70,12 +70,16 @@ class CommittedWriter(DataSourceStreamArrowWriter):
         system.move(draft, target)
 
     def abort(self, messages: list[Staged | None], batchId: int) -> None:
-        self._remove(messages)
-
-    def _remove(self, messages: list[Staged | None]) -> None:
+        """Remove what was staged, unless the batch's manifest names it: Spark also gives up batches whose commit failed
+        after it had published them."""
+        system, manifest = self._place("manifests", f"{batchId:012d}.json")
+        kept: set[str] = set()
+        if system.get_file_info(manifest).type != fs.FileType.NotFound:
+            with system.open_input_stream(manifest) as stream:
+                kept = set(json.loads(stream.read())["files"])
         for message in messages:
-            if message and message.name:
-                system, place = self._place("data", message.name)
+            if message and message.name and message.name not in kept:
+                _, place = self._place("data", message.name)
                 if system.get_file_info(place).type != fs.FileType.NotFound:
                     system.delete_file(place)
 

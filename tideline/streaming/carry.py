@@ -29,7 +29,7 @@ def batch_work(
         spark = batch.sparkSession
         # Read by the count, by each stage's totals and by the result.
         batch.persist()
-        cut = ordered(batch, job.keys, job.order, max_rows)
+        cut = ordered(batch, job.keys, job.order, max_rows, counted=True)
         for i, stage in enumerate(job.stages):
             cut = cut.transform(stage.prepare)
             running = stage.running()

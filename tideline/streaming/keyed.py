@@ -12,6 +12,7 @@ and clears the state when the watermark passes it. So the store holds the keys t
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -163,6 +164,70 @@ class ExpiringCounter(InOrder):
         self.state.clear()
 
 
+@dataclass(frozen=True)
+class Value:
+    """A running value: the ``sum`` of a whole-number column, or the newest text of a column that was not null."""
+
+    name: str
+    kind: str
+    column: str
+    inclusive: bool = True
+
+
+class RunningValues(InOrder):
+    """Running values of a key; the state holds one value for each and is written for keys with new rows only."""
+
+    def __init__(self, keys, order, columns, output, values: list[Value]):
+        super().__init__(keys, order, columns, output)
+        self.values = values
+
+    def open(self, handle):
+        types = ", ".join(f"v{i} {'LONG' if v.kind == 'sum' else 'STRING'}" for i, v in enumerate(self.values))
+        self.state = handle.getValueState("reached", types)
+
+    def prepare(self, rows: pd.DataFrame, first: bool) -> pd.DataFrame:
+        """The rows with columns that depend on whether the key's first row is among them."""
+        return rows
+
+    def on_rows(self, rows):
+        known = self.state.get() if self.state.exists() else None
+        rows = self.prepare(rows, known is None)
+        reached = []
+        for value, before in zip(self.values, known or [None] * len(self.values)):
+            own = rows[value.column].to_numpy()
+            if value.kind == "sum":
+                before = int(before or 0)
+                up_to = before + np.cumsum(own.astype(np.int64))
+                reached.append(int(up_to[-1]))
+            else:
+                at = np.maximum.accumulate(np.where(pd.notna(own), np.arange(len(own)), -1))
+                up_to = np.where(at >= 0, own[at], before).astype(object)
+                reached.append(up_to[-1])
+            if not value.inclusive:
+                up_to = np.concatenate((np.array([before], up_to.dtype), up_to[:-1]))
+            rows = rows.assign(**{value.name: up_to})
+        self.state.update(tuple(reached))
+        return rows
+
+
+class CountChanges(InOrder):
+    """What each micro-batch does to its keys' row counts: ``+I``, or ``-U`` of the old and ``+U`` of the new one."""
+
+    def __init__(self, keys, order, columns, output, name: str):
+        super().__init__(keys, order, columns, output)
+        self.name = name
+
+    def open(self, handle):
+        self.state = handle.getValueState("count", "n LONG")
+
+    def on_rows(self, rows):
+        old = self.state.get()[0] if self.state.exists() else 0
+        new = int(old) + len(rows)
+        self.state.update((new,))
+        ops = [("-U", int(old)), ("+U", new)] if old else [("+I", new)]
+        return pd.DataFrame(ops, columns=["op", self.name])
+
+
 class SequenceWithin(InOrder):
     """``trigger`` rows before which ``first`` and, after it, ``then`` occurred, all within ``ttl`` ms."""
 
@@ -288,17 +353,18 @@ class MarkerWindows(RowWindows):
 
 
 class DueAlerts(StatefulProcessor):
-    """An alert ``delay`` ms after each row; timers of the same key and time are one."""
+    """An alert ``delay`` ms after each watched row; timers of the same key and time are one."""
 
-    def __init__(self, key: str, times: str, name: str, delay: int):
-        self.key, self.times, self.name, self.delay = key, times, name, delay
+    def __init__(self, key: str, times: str, watched: str, name: str, delay: int):
+        self.key, self.times, self.watched, self.name, self.delay = key, times, watched, name, delay
 
     def init(self, handle):
         self.handle = handle
 
     def handleInputRows(self, key, rows, timerValues):
         for chunk in rows:
-            for time in np.unique(np.concatenate(list(chunk[self.times]))):
+            times, watched = (np.concatenate(list(chunk[c])) for c in (self.times, self.watched))
+            for time in np.unique(times[watched.astype(bool)]):
                 self.handle.registerTimer(int(time) + self.delay)
         return iter(())
 
@@ -460,16 +526,30 @@ def row_windows(
     return in_order(rows, keys, order, delay, output, processor, number, kept, function, **named)
 
 
-def due_alerts(rows: DataFrame, keys: list[str], time: str, delay_ms: int, delay: str, parts: int = 64) -> DataFrame:
-    """An alert per key and due time, ``delay_ms`` after each of ``rows``, once the watermark has passed it.
+def due_alerts(
+    rows: DataFrame, keys: list[str], time: str, watched: str, delay_ms: int, delay: str, parts: int = 64
+) -> DataFrame:
+    """An alert per key and due time, ``delay_ms`` after each row whose ``watched`` column is true, once the watermark
+    has passed it.
 
-    Alerts do not depend on each other, so a key's rows are spread over ``parts`` sets of timers by their time.
+    All rows move the watermark on, but of those that are not watched only the newest of a batch goes further. Alerts
+    do not depend on each other, so a key's rows are spread over ``parts`` sets of timers by their time.
     """
     key = _one_key(keys)
-    spread = rows.select(key, time, F.pmod(F.xxhash64(time), F.lit(parts)).cast("int").alias("part__"))
+    part = F.pmod(F.xxhash64(time), F.lit(parts)).cast("int").alias("part__")
+    spread = rows.select(key, part, time, F.coalesce(watched, F.lit(False)).alias("watched__"))
+
+    def fewer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                kept = np.asarray(batch.column(3)).copy()
+                kept[np.argmax(np.asarray(batch.column(2)))] = True
+                yield batch.filter(pa.array(kept))
+
     schema = T.StructType([rows.schema[key], T.StructField("alert_time", T.LongType())])
-    chunks = packed(spread, [key, "part__"], [time], delay).groupBy(key, "part__", NULLS)
-    return chunks.transformWithStateInPandas(DueAlerts(key, time, "alert_time", delay_ms), schema, "append", "EventTime")
+    chunks = packed(spread.mapInArrow(fewer, spread.schema), [key, "part__"], [time], delay).groupBy(key, "part__", NULLS)
+    made = DueAlerts(key, time, "watched__", "alert_time", delay_ms)
+    return chunks.transformWithStateInPandas(made, schema, "append", "EventTime")
 
 
 def silence_alerts(
