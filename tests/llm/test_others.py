@@ -241,6 +241,33 @@ def test_words_of_one_zero_byte(spark):
     assert len(out) == 60 and all(math.isfinite(r["score"]) and r["score"] < 0 for r in out)
 
 
+def test_url_filter_sql_judges_hosts_without_labels(spark, tmp_path):
+    """The query equals its SQL on pages of hosts that no label names, under bad and good domains and suffixes."""
+    from tests.compare import compare
+    from tideline.llm import queries
+
+    rng = random.Random(7)
+    pages, labels = [], []
+    for i in range(600):
+        domain, bad = rng.choice([("worse.net", 0.95), ("good.net", 0.05), ("mixed.org", 0.5), ("awful.xyz", 0.98)])
+        pages.append((i, f"http://h{rng.randrange(4)}.{domain}/p/{i}", "x"))
+        labels.append((i, int(rng.random() >= bad), 0))
+    for i, host in enumerate(["new.worse.net", "new.good.net", "new.mixed.org", "other.xyz", "a.b.c", "", "new.org"]):
+        pages.append((1000 + i, f"http://{host}/q", "x"))
+    pages += [(2000, None, None), (2001, "no address", "x")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels")
+    for name in ("pages", "labels"):
+        file = next((tmp_path / name).glob("part-*.parquet"))
+        if len(list((tmp_path / name).glob("part-*.parquet"))) > 1:
+            spark.read.parquet(f"{tmp_path}/{name}").coalesce(1).write.parquet(f"{tmp_path}/one-{name}")
+            file = next((tmp_path / f"one-{name}").glob("part-*.parquet"))
+        (tmp_path / f"{name}.parquet").symlink_to(file)
+    assert compare(spark, str(tmp_path), queries.op4_url_filter, reputation.SQL) == ""
+    verdicts = {r["page_id"]: r["verdict"] for r in queries.op4_url_filter(spark, str(tmp_path)).collect()}
+    assert verdicts[1000] == "block" and verdicts[1003] == "block" and verdicts[1001] == "allow" and verdicts[1005] == "allow"
+
+
 def plain_training(cells, steps):
     """The gradient steps over (context, class, n) in one array."""
     totals = np.zeros((maxent.CONTEXTS, 1))

@@ -181,6 +181,14 @@ WITH r AS (
 {_level("domain", "p.rate", "JOIN suffix_p p ON p.suffix = g.suffix")},
 {_level("host", "p.rate", "JOIN domain_p p ON p.domain = g.domain")}
 SELECT h.page_id, h.host, h.path, {_rules("rule")} AS rule,
-       coalesce({_rules("verdict")}, CASE WHEN p.rate - {DEVIATIONS} * p.sd > {MAX_BAD} THEN 'block' ELSE 'allow' END) AS verdict
-FROM h LEFT JOIN host_p p ON p.host = h.host
+       coalesce({_rules("verdict")}, CASE WHEN coalesce(p.rate - {DEVIATIONS} * p.sd > {MAX_BAD}, h.host <> '' AND h.prior - {DEVIATIONS} * h.spread > {MAX_BAD})
+                                          THEN 'block' ELSE 'allow' END) AS verdict
+FROM (
+  SELECT v.*, sqrt(prior * (1 - prior) / (k + 1)) AS spread FROM (
+    SELECT v.*, coalesce(d.rate, s.rate, t.rate) AS prior
+    FROM (SELECT *, CASE WHEN {_LAST(2)} IN ({_TWO}) THEN {_LAST(2)} ELSE {_LAST(1)} END AS suffix,
+                 CASE WHEN {_LAST(2)} IN ({_TWO}) THEN {_LAST(3)} ELSE {_LAST(2)} END AS domain FROM h) v
+    LEFT JOIN domain_p d ON d.domain = v.domain LEFT JOIN suffix_p s ON s.suffix = v.suffix, (SELECT sum(bad) / sum(n) AS rate FROM hosts) t
+  ) v, host_k
+) h LEFT JOIN host_p p ON p.host = h.host
 """
