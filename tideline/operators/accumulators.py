@@ -14,6 +14,7 @@ from itertools import groupby
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,7 +62,7 @@ def accumulate(
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states: dict[tuple, tuple] = {}
-        part = hash(id(states)) % parts
+        part = TaskContext.get().partitionId() % parts
         for batch in batches:
             places: dict[tuple, list[int]] = {}
             for i, key in enumerate(_keys_of(batch, keys)):
