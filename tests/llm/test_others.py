@@ -241,6 +241,25 @@ def test_words_of_one_zero_byte(spark):
     assert len(out) == 60 and all(math.isfinite(r["score"]) and r["score"] < 0 for r in out)
 
 
+def test_names_that_tell_what_an_element_holds(spark):
+    made = [
+        (1, "http://a.com/1", "<body class='has-sidebar no-ads'><article>Kept text.</article></body>"),
+        (2, "http://a.com/2", "<article class='post has-comments comments-open'><p>Also kept.</p><div class='comments'>no</div></article>"),
+        (3, "http://a.com/3", "<div class='with-banner'><p>Held by a frame.</p></div><div id='cookie-banner'>no</div>"),
+    ]
+    out = extraction.extract_main_text(spark.createDataFrame(made, "page_id long, url string, html string"))
+    assert {r["page_id"]: r["text"] for r in out.collect()} == {1: "Kept text.", 2: "Also kept.", 3: "Held by a frame."}
+
+
+def test_one_page_under_two_addresses_keeps_its_text(spark):
+    body = "<div><p>" + " ".join(f"word{i}" for i in range(40)) + "</p></div>"
+    banner = "<div><p>" + " ".join(f"menu{i}" for i in range(20)) + "</p></div>"
+    made = [(1, "http://a.com/x", banner + body), (2, "http://a.com/y", banner + body), (3, "http://a.com/z", banner + "<div>Other words here.</div>")]
+    out = extraction.extract_main_text(spark.createDataFrame(made, "page_id long, url string, html string"))
+    want = " ".join(f"word{i}" for i in range(40))
+    assert {r["page_id"]: r["text"] for r in out.collect()} == {1: want, 2: want, 3: "Other words here."}
+
+
 def test_url_filter_sql_judges_hosts_without_labels(spark, tmp_path):
     """The query equals its SQL on pages of hosts that no label names, under bad and good domains and suffixes."""
     from tests.compare import compare

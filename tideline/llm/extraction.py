@@ -30,6 +30,10 @@ CHROME_NAMES = frozenset(
     "footer header masthead menu modal nav navbar navigation newsletter notice notices popup promo related share "
     "sharing sidebar social sponsor sponsored subscribe".split()
 )
+#: A name that begins so tells what an element holds or lacks, not what it is.
+STATE_PARTS = frozenset("has with without no is not".split())
+#: Elements that are no part of a page's surroundings whatever they are named.
+FRAMES = frozenset("html body main article".split())
 CHROME_ROLES = frozenset("alert banner complementary contentinfo dialog form menu navigation search".split())
 
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -53,11 +57,17 @@ def role_of(tag: str, attributes: str, outer: int) -> int:
             if value in CHROME_ROLES:
                 return NEVER
             main = main or value == "main"
-        elif any(part in CHROME_NAMES for word in value.split() for part in NAME_PARTS.findall(word)):
+        elif tag not in FRAMES and any(names_chrome(word) for word in value.split()):
             return NEVER
     return SETTLED if main else outer
 
 
+def names_chrome(name: str) -> bool:
+    """Whether a class or id names an element of the page's surroundings."""
+    parts = NAME_PARTS.findall(name)
+    return bool(parts) and parts[0] not in STATE_PARTS and any(part in CHROME_NAMES for part in parts)
+
+
 def blocks_of(page: str) -> list[tuple[int, str]]:
     """(kind, text) of the blocks of a page in order, white space as one space, references decoded."""
     out: list[tuple[int, str]] = []
@@ -248,13 +258,13 @@ def extract_main_text(
     articles may be printed twice.
 
     Blocks are joined by newlines, white space in a block is one space, character references are decoded. Null html
-    counts as empty and gives empty text; a null or malformed url has the empty host. Repeated rows get a row each
-    and are one page for each other; an empty table gives no rows; other columns are not read. Returns page_id, url,
+    counts as empty and gives empty text; a null or malformed url has the empty host. Repeated rows, and a page that is
+    served under several addresses, get a row each and are one page for each other; an empty table gives no rows; other columns are not read. Returns page_id, url,
     text, n_chars.
     """
     rows = with_address(
         pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    ).select(F.xxhash64("page_id", "url", "html").alias("page"), "page_id", "url", "host", "html")
+    ).select(F.xxhash64("host", "html").alias("page"), "page_id", "url", "host", "html")
     read = read_pages(rows)
     done = read.where("text IS NOT NULL").select("page_id", "url", "text")
     opened = read.where("suffix IS NULL AND text IS NULL").select("page", "page_id", "url", "host", "html")
