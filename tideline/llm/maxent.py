@@ -20,14 +20,15 @@ CLASSES = 1 + WORD_CLASSES + TAIL_CLASSES + HASH_CLASSES
 #: The third word back counts as one of so many groups of classes.
 GROUPS = 8
 CONTEXTS = CLASSES * CLASSES * GROUPS
-#: Rows of the hashed weight table, gradient steps, and their tasks (the table of contexts is bounded).
+#: Rows of the hashed weight table, gradient steps, and their tasks: few, as each gets the whole table in each step, and
+#: the contexts are bounded in number.
 BUCKETS, STEPS, GRADIENT_TASKS = 1 << 13, 12, 4
 #: Counts that hold each weight back.
 PULL = 5.0
 #: Words whose counts every task has, at most; the others are looked up by a join.
 HOT_WORDS = 1 << 17
-#: Tokens counted together.
-CHUNK_TOKENS = 1 << 21
+#: Tokens counted together; a worker holds about 80 bytes for each.
+CHUNK_TOKENS = 1 << 20
 END = np.uint64(0x5D1E6F3A9B7C2481)
 #: Endings are the last two bytes of a word; the end has a number of its own.
 END_TAIL, TAILS = 1 << 16, (1 << 16) + 1
