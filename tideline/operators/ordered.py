@@ -224,12 +224,12 @@ def ordered(
 
     ``order`` starts with a BIGINT time and ends with a unique id, so the order is total.
     The id is a number, or a text, which a single instant is cut by in its first characters
-    only. ``keep`` says that the frame is costly to make and should be made once, not once for
-    the counts and once for the rows.
+    only. ``keep`` says that the frame is costly to make and should be made once if keys are cut,
+    not once for the histograms and once for the rows.
     """
+    if counted and _largest(frame, keys) <= max_rows:
+        return Ordered(frame, tuple(keys), tuple(order), cut=False)
     rows = _kept(frame, counted) if keep else frame
-    if counted and _largest(rows, keys) <= max_rows:
-        return Ordered(rows, tuple(keys), tuple(order), cut=False)
     # Rows without a time come first.
     time = F.coalesce(F.col(order[0]).cast("long"), F.lit(-(1 << 62)))
     rows = rows.withColumn("__stretch", bucket(time, grain))
