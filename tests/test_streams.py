@@ -9,7 +9,8 @@ from tideline.operators import changes as C
 from tideline.operators import state as S
 from tideline.operators.ordered import OrderedJob, Stage, running_count, running_last, running_sum
 from tideline.plans import traffic as V
-from tideline.session import scratch_folder
+from tideline.queries import QUERIES
+from tideline.session import STATE_STORE, scratch_folder
 from tideline.sinks import tables as K
 from tideline.sources.files import watch_lines
 from tideline.streaming import operators as O
@@ -229,3 +230,33 @@ def test_upsert_is_repeatable_and_compacts(spark):
     K.upsert_batch(spark.createDataFrame([(1, "z", 9)], schema), target, ["k"], ["at"], 1)
     got = sorted((r["k"], r["name"]) for r in K.read_keyed(spark, target, ["k"], ["at"]).collect())
     assert got == [(1, "z"), (2, "d"), (3, "e")]
+
+
+DEFAULT_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+
+
+@pytest.fixture
+def default_store(spark):
+    """The state store of a session that ``build_session`` did not make."""
+    before = {c: spark.conf.get(c) for c in (STATE_STORE, "spark.sql.shuffle.partitions")}
+    spark.conf.set(STATE_STORE, DEFAULT_STORE)
+    # Each partition of a stateful run starts a Python process.
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    for c, value in before.items():
+        spark.conf.set(c, value)
+
+
+@pytest.mark.parametrize(
+    "name, batch",
+    [("running_sum_stream", "running_sum"), ("st_recovery", "running_sum"), ("dw_session_split_stream", "dw_session_split")],
+)
+def test_keyed_queries_run_where_the_store_is_sparks_default(spark, default_store, name, batch):
+    path, kinds = scratch_folder(spark, "plain"), ["signup", "view", "click", "purchase", "error"]
+    rows = [(i, f"2024-01-{i % 28 + 1:02d} 0{i % 10}:00:00", i % 4, kinds[i % 5], float(i), f'{{"k": {i}}}') for i in range(60)]
+    schema = "event_id long, ts string, user_id long, event_type string, value double, props string"
+    events = spark.createDataFrame(rows, schema).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    events.coalesce(1).write.parquet(f"{path}/events.parquet")
+    got = values(QUERIES[name](spark, path))
+    assert got and got == values(QUERIES[batch](spark, path))
+    assert spark.conf.get(STATE_STORE) == DEFAULT_STORE
