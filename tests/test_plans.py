@@ -5,8 +5,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tideline.operators import rows as rows_module
 from tideline.plans import identity as I
 from tideline.plans import traffic as V
+from tideline.queries import QUERIES
+from tideline.session import scratch_folder
 
 CUTS = pytest.mark.parametrize("max_rows", [6, 10_000])
 
@@ -154,3 +157,32 @@ def test_retention_counts_rows_and_people(spark):
     frame = spark.createDataFrame(rows, "releasechannel string, devicetype string, guid long, timestamp long, first_time long")
     row = V.retention(frame, "2024-01-15").first()
     assert (row["rows_1day"], row["users_1day"], row["users_3day"], row["users_7day"]) == (2, 1, 1, 0)
+
+
+@pytest.mark.parametrize(
+    "name", ["topn_window_product_amount", "topn_window_product_coupon", "topn_window_product_qty", "dw_order_total_category"]
+)
+def test_tasks_grow_with_the_items(spark, monkeypatch, capsys, name):
+    """A task gets a number of rows, whatever the number of cores and of shuffle partitions."""
+    path = scratch_folder(spark, "shop")
+    orders = [(i if i % 7 else None, 1, "F", 1.0, f"1996-0{i % 9 + 1}-10", "1-URGENT") for i in range(60)]
+    lines = [(i % 70, i % 13 if i % 11 else None, float(i % 5), 10.0 + i, 0.01 * (i % 4)) for i in range(300)]
+    parts = [(i, f"type {i % 3}") for i in [*range(12), 3]]
+    made = {
+        "orders": (orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate string, o_orderpriority string"),
+        "lineitem": (lines, "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double, l_discount double"),
+        "part": (parts, "p_partkey long, p_type string"),
+    }
+    for table, (rows, schema) in made.items():
+        frame = spark.createDataFrame(rows, schema)
+        if table == "orders":
+            frame = frame.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+        frame.coalesce(1).write.parquet(f"{path}/{table}.parquet")
+    few = sorted(map(str, QUERIES[name](spark, path).collect()))
+    monkeypatch.setattr(rows_module, "ROWS_PER_TASK", 10)
+    many = QUERIES[name](spark, path)
+    assert few and sorted(map(str, many.collect())) == few
+    many.explain()
+    # 300 items, ten to a task: the join with parts, the join with orders and, by product, the sums.
+    assert capsys.readouterr().out.count(", 30), REPARTITION_BY_NUM") >= 4
+    assert name == "dw_order_total_category" or len(few) > 3

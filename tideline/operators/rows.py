@@ -37,3 +37,16 @@ def route(frame: DataFrame, rules: dict[str, Column], otherwise: str, column: st
 
 def branch(frame: DataFrame, name: str, column: str = "route") -> DataFrame:
     return frame.where(F.col(column) == name).drop(column)
+
+
+#: Rows a task of a sort or a grouping by many keys gets.
+ROWS_PER_TASK = 100_000
+
+
+def tasks_for(frame: DataFrame, rows: int | None = None) -> int:
+    """How many tasks give each about ``rows`` rows of a frame, which is counted: cheap for a table, not for a join.
+
+    Merging of small partitions goes by their compressed size and by the number of cores, so what a task holds in
+    memory could grow with the input.
+    """
+    return max(1, -(-frame.count() // (rows or ROWS_PER_TASK)))

@@ -41,16 +41,21 @@ def _windows_of(pane: Column, slide: int, size: int) -> Column:
 
 
 def hop_sums(
-    frame: DataFrame, time: Column, size: int, slide: int, keys: list[str], sums: dict[str, Column]
+    frame: DataFrame, time: Column, size: int, slide: int, keys: list[str], sums: dict[str, Column], tasks: int | None = None
 ) -> DataFrame:
     """Sliding sums: one partial per pane of ``slide`` ms, then panes copied to their windows.
 
     Rows are aggregated before they are copied, so the copies number panes, not rows.
-    ``size`` must be a multiple of ``slide``.
+    ``size`` must be a multiple of ``slide``. Give ``tasks`` (``rows.tasks_for``) for keys that are almost as many as
+    the rows: summing first would leave as many, so rows are dealt to that number of tasks, and a key's panes are
+    copied where they are summed up.
     """
-    panes = frame.groupBy(bucket(time, slide).alias("__pane"), *keys).agg(
-        *[F.sum(value).alias(name) for name, value in sums.items()]
-    )
+    rows = frame.select(bucket(time, slide).alias("__pane"), *keys, *[value.alias(name) for name, value in sums.items()])
+    if tasks:
+        rows = rows.repartition(tasks, "__pane", *keys)
+    panes = rows.groupBy("__pane", *keys).agg(*[F.sum(name).alias(name) for name in sums])
+    if tasks:
+        panes = panes.repartition(tasks, *keys)
     copied = panes.withColumn("__start", F.explode(_windows_of(F.col("__pane"), slide, size)))
     grouped = copied.groupBy("__start", *keys).agg(*[F.sum(name).alias(name) for name in sums])
     return grouped.select(

@@ -27,8 +27,13 @@ def order_total(orders: DataFrame, day: str | None = None, keys: list[str] = ())
     )
 
 
-def category_total(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Orders so far and their amount by product category; an order counts once in a category."""
+def category_total(orders: DataFrame, items: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Orders so far and their amount by product category; an order counts once in a category.
+
+    ``tasks`` (``rows.tasks_for``) deals the items and orders to that number of tasks.
+    """
+    if tasks:
+        items, orders = items.repartition(tasks, "order_id"), orders.repartition(tasks, "id").hint("merge")
     joined = items.select("order_id", "product_category", "quantity", "price").join(
         orders.select("id"), F.col("order_id") == F.col("id")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators.ordered import ordered, range_sums, row_frames, running_count, running_sum
 from tideline.operators.ranking import top_n_per_group
+from tideline.operators.rows import tasks_for
 from tideline.operators.windows import (
     count_slide,
     count_tumble,
@@ -42,14 +43,19 @@ def _top_window(name: str, key: str, measure: str) -> None:
     @query(name, with_views(sql, SHOP_ORDER, ORDER_ITEM))
     def run(spark, folder):
         orders = shop_order(table(spark, folder, "orders"))
-        items = order_item(table(spark, folder, "lineitem"), table(spark, folder, "part"))
+        lines = table(spark, folder, "lineitem")
+        # Products in a week are almost as many as items, categories are few.
+        tasks = tasks_for(lines) if key == "product_id" else None
+        items = order_item(lines, table(spark, folder, "part"), tasks)
+        if tasks:
+            items, orders = items.repartition(tasks, "order_id"), orders.repartition(tasks, "id").hint("merge")
         joined = items.join(orders.select("id", "create_time"), items.order_id == orders.id)
         amounts = {
             "qty": F.col("quantity"),
             "cents": cents(F.col("price")) * F.col("quantity"),
             "coupon_cents": cents(F.coalesce(F.col("coupon_amount").cast("double"), F.lit(0.0))),
         }
-        sums = hop_sums(joined, epoch_millis(F.col("create_time")), 4 * week, week, [key], amounts)
+        sums = hop_sums(joined, epoch_millis(F.col("create_time")), 4 * week, week, [key], amounts, tasks)
         ranked = top_n_per_group(sums, ["window_start"], [F.desc(measure), F.asc(key)], 3, rank="rn")
         return ranked.select("window_start", key, *amounts, F.col("rn").cast("long").alias("rn"))
 

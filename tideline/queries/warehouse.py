@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tideline.operators.changes import current_rows, insert_rows
+from tideline.operators.rows import tasks_for
 from tideline.plans import detail as D
 from tideline.plans import geo as G
 from tideline.plans import identity as I
@@ -434,8 +435,8 @@ def orders(spark, folder):
     return B.shop_order(table(spark, folder, "orders"))
 
 
-def items(spark, folder):
-    return B.order_item(table(spark, folder, "lineitem"), table(spark, folder, "part"))
+def items(spark, folder, tasks=None):
+    return B.order_item(table(spark, folder, "lineitem"), table(spark, folder, "part"), tasks)
 
 
 def changes(spark, folder):
@@ -467,7 +468,8 @@ def dw_order_total_pay(spark, folder):
 )
 def dw_order_total_category(spark, folder):
     """All orders so far by product category."""
-    return R.category_total(orders(spark, folder), items(spark, folder))
+    tasks = tasks_for(table(spark, folder, "lineitem"))
+    return R.category_total(orders(spark, folder), items(spark, folder, tasks), tasks)
 
 
 @query(
