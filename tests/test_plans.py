@@ -82,6 +82,17 @@ def test_identity_over_several_runs(spark):
     assert got == walk(rows, members)[0]
 
 
+def test_state_of_identity_is_taken_from_written_rows(spark):
+    """The totals for the next run read what the run has written, not the log and its scans once more for each."""
+    path = scratch_folder(spark, "log")
+    logs = spark.createDataFrame(identity_rows(4), "log_id long, deviceid string, account string, timestamp long")
+    logs.write.parquet(path)
+    people = spark.createDataFrame([(1, "a", 11)], "id long, account string, create_time long")
+    mapped, state = I.continue_identity(spark.read.parquet(path), people)
+    for frame in (mapped, state.events, state.accounts, state.best, state.temporary):
+        assert frame.inputFiles() and not [f for f in frame.inputFiles() if path.removeprefix("file:") in f]
+
+
 @CUTS
 def test_temporary_ids_go_on(spark, max_rows):
     visits = spark.createDataFrame([(f"d{i}", 100 - i) for i in range(20)], "deviceid string, first_time long")

@@ -59,14 +59,13 @@ class IdentityState:
 def _best_bound(
     logs: DataFrame, members: DataFrame, max_rows: int, state: IdentityState | None, continued: bool
 ) -> tuple[DataFrame, list[DataFrame]]:
-    """Adds N as ``__n_all`` and, as ``__best``, the strongest account up to the row; and, if the job is to be
-    ``continued``, what each scan reached."""
+    """Adds N as ``__n_all`` and, as ``__best``, the strongest account up to the row, and writes the rows; and, if the
+    job is to be ``continued``, what each scan reached, by the rows written."""
     rows = ordered(logs, ["deviceid"], ORDER, max_rows, counted=True).transform(lambda f: _registered(f, members))
-    reached = []
+    scans = []
 
     def scan(rows, keys: list[str], since: DataFrame | None, *running):
-        if continued:
-            reached.append(totals(rows.frame, keys, ORDER, list(running), since))
+        scans.append((keys, list(running), since))
         return rows.by(*keys).scan(*running, since=since)
 
     rows = scan(rows, ["deviceid"], state and state.events, running_count("__n_all", F.col("__account").isNotNull()))
@@ -87,7 +86,9 @@ def _best_bound(
     )
     rows = rows.transform(lambda f: f.withColumn("__candidate", candidate))
     rows = scan(rows, ["deviceid"], state and state.best, running_min("__best", F.col("__candidate")))
-    return rows.rows(), reached
+    # Read by the totals, by the numbering of devices and by the result.
+    best = stored(rows.rows())
+    return best, [totals(best, keys, ORDER, running, since) for keys, running, since in scans] if continued else []
 
 
 def device_bindings(logs: DataFrame, members: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
@@ -153,8 +154,6 @@ def _mapped(
     logs: DataFrame, members: DataFrame, known_ids: DataFrame | None, max_rows: int, state: IdentityState | None, continued: bool
 ) -> tuple[DataFrame, list[DataFrame], DataFrame]:
     best, reached = _best_bound(logs, members, max_rows, state, continued)
-    # Read by the numbering of devices and by the result.
-    best = stored(best)
     anonymous = F.col("__account").isNull()
     bound = -F.col("__best.minus_score") - F.col("__n_all") > 0
     unresolved = anonymous & ~F.coalesce(bound, F.lit(False))
