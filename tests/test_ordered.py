@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tideline.operators import ordered as O
+from tideline.operators import rows as rows_module
 
 ORDER = ["t", "id"]
 
@@ -144,6 +145,20 @@ def test_counting_first_changes_no_result_and_keeps_nothing(spark, frame, max_ro
     assert counted == results(False)
 
 
+@pytest.mark.parametrize("max_rows", [7, 10_000])
+def test_counted_rows_are_dealt_by_their_number(frame, monkeypatch, capsys, max_rows):
+    """400 rows, ten to a task, whatever the number of cores and the size of shuffle files."""
+    monkeypatch.setattr(rows_module, "ROWS_PER_TASK", 10)
+    whole = O.ordered(frame, ["k"], ORDER, max_rows, counted=True)
+    scanned = whole.scan(O.running_count("a")).by("k", "s").scan(O.running_count("b")).rows()
+    framed = O.row_frames(frame, ["k"], ORDER, 2, lambda w: {"n": F.sum("id").over(w)}, 10_000, counted=True)
+    goes_on = whole.scan(O.running_count("a"), since=O.totals(frame, ["k"], ORDER, [O.running_count("a")])).rows()
+    for result, times in ((scanned, 1), (framed, 1), (goes_on, 1)):
+        capsys.readouterr()
+        result.explain()
+        assert capsys.readouterr().out.count(", 40), REPARTITION_BY_NUM") == times
+
+
 @pytest.mark.parametrize("keyed", [True, False])
 def test_scan_goes_on_from_earlier_totals(frame, keyed):
     keys = ["k"] if keyed else []

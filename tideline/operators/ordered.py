@@ -16,7 +16,8 @@ of the plan: preparing it runs no job.
 ``counted`` looks first: a job counts rows per key, of which the driver learns the largest
 number only, and if no key has more than ``max_rows`` rows, plain window functions do. If
 one has, rows that a later step reads again are written to the shared folder in between, so
-nothing stays in the executors' storage.
+nothing stays in the executors' storage. The same job counts all rows, which are dealt to
+tasks by that number: what a task sorts does not grow with the table.
 
 With no key at all the whole table is one ordered sequence and is treated the same way.
 """
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.timing import bucket
+from tideline.operators.rows import tasks_of
 from tideline.session import stored
 
 MAX_ROWS = 2_000_000
@@ -137,11 +139,17 @@ class Ordered:
     cut: bool
     counted: bool = False
     scanned: bool = False
+    #: Tasks the rows are dealt to, if they were counted.
+    tasks: int | None = None
 
     def group(self) -> list[str]:
         """The columns whose equal values make a group that one task may hold."""
         return [*self.keys, _SLICE] if self.cut else [*self.keys]
 
+    def dealt(self, frame: DataFrame) -> DataFrame:
+        """The rows by group, in as many tasks as they need by their number."""
+        return frame.repartition(self.tasks, *self.group()) if self.tasks and self.group() else frame
+
     def scan(self, *running: Running, since: DataFrame | None = None) -> "Ordered":
         """Add one column per expression.
 
@@ -165,6 +173,9 @@ class Ordered:
             reached = F.col(f"__s_{r.name}")
             carry[r.name] = r.merge(carry[r.name], reached) if r.name in carry else reached
             helpers.append(f"__s_{r.name}")
+        # Rows that were scanned before and joined to nothing since are where they belong, for finer keys too.
+        if self.cut or earlier or not self.scanned:
+            frame = self.dealt(frame)
         window = Window.partitionBy(*self.group()).orderBy(*self.order)
         columns = {
             r.name: r.merge(r.local(window), carry[r.name]) if r.name in carry else r.alone(r.local(window)) for r in running
@@ -227,8 +238,12 @@ def ordered(
     only. ``keep`` says that the frame is costly to make and should be made once if keys are cut,
     not once for the histograms and once for the rows.
     """
-    if counted and _largest(frame, keys) <= max_rows:
-        return Ordered(frame, tuple(keys), tuple(order), cut=False)
+    tasks = None
+    if counted:
+        largest, count = _counted(frame, keys)
+        tasks = max(tasks_of(count), frame.sparkSession.sparkContext.defaultParallelism)
+        if largest <= max_rows:
+            return Ordered(frame, tuple(keys), tuple(order), cut=False, tasks=tasks)
     rows = _kept(frame, counted) if keep else frame
     # Rows without a time come first.
     time = F.coalesce(F.col(order[0]).cast("long"), F.lit(-(1 << 62)))
@@ -256,14 +271,16 @@ def ordered(
         F.when(crowd, part).alias("g"),
     )
     cut = rows.withColumn(_SLICE, slice_).drop("__stretch", "__instant", "__s1", "__full", "__s2", "__crowd")
-    return Ordered(cut, tuple(keys), tuple(order), cut=True, counted=counted)
+    return Ordered(cut, tuple(keys), tuple(order), cut=True, counted=counted, tasks=tasks)
 
 
-def _largest(frame: DataFrame, keys: list[str]) -> int:
-    """The number of rows of the largest key."""
+def _counted(frame: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """The number of rows of the largest key, and of all keys."""
     if not keys:
-        return frame.count()
-    return frame.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        count = frame.count()
+        return count, count
+    largest, count = frame.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+    return largest or 0, count or 0
 
 
 def _cuts(histogram: DataFrame, keys: list[str], cell: str, max_rows: int, name: str, full: str) -> DataFrame:
@@ -343,7 +360,7 @@ def row_frames(
     cut = ordered(frame, keys, order, max_rows, counted=counted)
     window = Window.partitionBy(*cut.group()).orderBy(*order).rowsBetween(-preceding, _CURRENT)
     if not cut.cut:
-        return cut.frame.withColumns(columns(window))
+        return cut.dealt(cut.frame).withColumns(columns(window))
     newest_first = Window.partitionBy(*keys, _SLICE).orderBy(*[F.col(c).desc() for c in order])
     tails = (
         cut.frame

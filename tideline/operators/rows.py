@@ -49,4 +49,9 @@ def tasks_for(frame: DataFrame, rows: int | None = None) -> int:
     Merging of small partitions goes by their compressed size and by the number of cores, so what a task holds in
     memory could grow with the input.
     """
-    return max(1, -(-frame.count() // (rows or ROWS_PER_TASK)))
+    return tasks_of(frame.count(), rows)
+
+
+def tasks_of(count: int, rows: int | None = None) -> int:
+    """How many tasks give each about ``rows`` of ``count`` rows."""
+    return max(1, -(-count // (rows or ROWS_PER_TASK)))

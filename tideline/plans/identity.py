@@ -35,7 +35,8 @@ def _registered(logs: DataFrame, members: DataFrame) -> DataFrame:
     # Rows without an account match nothing; a key of their own keeps them spread over tasks.
     nobody = F.concat(F.lit("\u0000"), F.col("log_id").cast("string"))
     account = F.when(not_blank(F.col("account")), F.col("account")).otherwise(nobody)
-    return logs.join(known, account == known["__account"], "left")
+    # Hashed, not sorted: a task holds its accounts, while log rows pass.
+    return logs.join(known.hint("shuffle_hash"), account == known["__account"], "left")
 
 
 @dataclass(frozen=True)
@@ -176,7 +177,7 @@ def _mapped(
         temp = temp.join(earlier, "deviceid", "left")
     else:
         temp = temp.withColumn("__known", F.lit(False))
-    joined = best.join(temp, "deviceid", "left")
+    joined = best.join(temp.hint("shuffle_hash"), "deviceid", "left")
     on_temp = anonymous & (
         F.coalesce(F.col("__known"), F.lit(False))
         | F.coalesce(F.col("__since") <= F.struct(*ORDER), F.lit(False))
