@@ -1,15 +1,21 @@
 """Keyed state in Spark's store: each job over parts, stopped and started in between, against its form for whole tables."""
 
+import os
 import random
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import pandas as pd
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tideline.operators import joins as J
 from tideline.operators import state as S
 from tideline.operators import windows as W
+from tideline.plans.traffic import VisitState
 from tideline.streaming import keyed as K
 
 ORDER = ["time", "id"]
@@ -215,3 +221,49 @@ def test_fire_is_pure():
     frame = pd.DataFrame({"time": range(8), "id": range(8), "v": range(8)})
     fired, left, n = slide.fire(frame, 0, 0)
     assert fired.groupby("firing")["v"].apply(list).to_dict() == {1: [1, 2], 2: [4, 5]} and list(left["v"]) == [6, 7] and n == 8
+
+
+PROCESSORS = [
+    *[kind for kind in vars(K).values() if isinstance(kind, type) and issubclass(kind, K.StatefulProcessor)], VisitState
+]
+
+
+@pytest.mark.parametrize("kind", [k for k in PROCESSORS if k is not K.StatefulProcessor], ids=lambda k: k.__name__)
+def test_processors_can_be_read_where_the_package_is_not(tmp_path, kind):
+    made = kind.__new__(kind)
+    made.values = [K.Value("n", "sum", "one")]
+    (tmp_path / "made").write_bytes(cloudpickle.dumps(made))
+    code = "import pickle, sys; made = pickle.load(open('made', 'rb')); assert 'tideline' not in sys.modules; print(type(made).__name__, made.values[0].name)"
+    found = subprocess.run([sys.executable, "-I", "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert found.stdout.split() == [kind.__name__, "n"], found.stderr
+
+
+FAR_AWAY = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from tideline.queries import QUERIES
+conf = {"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2", "spark.checkpoint.dir": "shared"}
+spark = SparkSession.builder.master("local[2]").config(map=conf).getOrCreate()
+day = F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(id % 28, 0, 0, id)").alias("ts")
+rows = spark.range(60).select(
+    F.col("id").alias("event_id"), day, (F.col("id") % 4).alias("user_id"), F.lit("view").alias("event_type"),
+    F.col("id").cast("double").alias("value"), F.lit('{"k": 1}').alias("props"),
+)
+rows.coalesce(1).write.parquet("in/events.parquet")
+got, want = ([tuple(r) for r in QUERIES[n](spark, "in").orderBy("log_id").collect()] for n in ("running_sum_stream", "running_sum"))
+assert len(got) == 60 and got == want
+print("equal")
+"""
+
+
+def test_a_stream_runs_where_only_the_driver_finds_the_package(tmp_path):
+    root = str(Path(K.__file__).parents[2])
+    # Started anew, so nothing of this process's Spark or of its path is left.
+    kept = {k: v for k, v in os.environ.items() if not k.startswith(("PYTHONPATH", "PYSPARK", "SPARK", "_"))}
+    found = subprocess.run(
+        [sys.executable, "-I", "-c", FAR_AWAY, root], cwd=tmp_path, capture_output=True, text=True,
+        env={**kept, "PYSPARK_PYTHON": sys.executable, "SPARK_LOCAL_IP": "127.0.0.1"},
+    )
+    assert "equal" in found.stdout.split(), found.stderr[-2000:]

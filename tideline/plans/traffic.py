@@ -17,7 +17,10 @@ from tideline.operators.ordered import (
 )
 from tideline.operators.ranking import top_n
 from tideline.operators.windows import cumulate
-from tideline.streaming.keyed import RunningValues, Value, in_order
+from tideline.streaming.keyed import RunningValues, Value, in_order, travels_whole
+
+# For VisitState.
+travels_whole(__name__)
 
 # Event names with a meaning of their own.
 STARTS = ["applaunch", "wakeup"]
