@@ -6,6 +6,7 @@ import subprocess
 import sys
 from collections import Counter
 from pathlib import Path
+from types import SimpleNamespace
 
 import pandas as pd
 import pytest
@@ -174,6 +175,58 @@ def test_a_later_part_withdraws_an_alert(spark, tmp_path):
     assert [tuple(r) for r in got.collect()] == [(2, 100, 2, 160)]
 
 
+class Kept:
+    """What a processor of one key sees of Spark: a value and timers."""
+
+    def __init__(self):
+        self.value, self.timers = None, set()
+
+    def getValueState(self, *_):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def listTimers(self):
+        return iter(sorted(self.timers))
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+@pytest.mark.parametrize("mark, alerts, timers", [(60, 0, [61]), (461, 5, [561]), (560, 5, [561]), (5000, 9, [])])
+def test_a_key_has_one_silence_timer(mark, alerts, timers):
+    """However many stretches of a key are open: timers are state, and each costs a call when it goes off."""
+    made, kept = K.SilenceAlerts("key", ORDER, 60), Kept()
+    made.init(kept)
+    times = [100 * i for i in range(9)]
+    for part in (times[5:], times[:5]):
+        made.handleInputRows((1, "0"), [{"first__": part, "last__": part, "id__": part, "watched__": [True] * len(part)}], None)
+        assert list(kept.listTimers()) == [part[0] + 61]
+    out = []
+    while kept.timers and min(kept.timers) <= mark:
+        at = min(kept.timers)
+        out += made.handleExpiredTimer(
+            (1, "0"), SimpleNamespace(getCurrentWatermarkInMs=lambda: mark), SimpleNamespace(getExpiryTimeInMs=lambda: at)
+        )
+        kept.timers.discard(at)
+    assert len(out) <= 1
+    assert [a for frame in out for a in frame["alert_time"]] == [t + 60 for t in times[:alerts]]
+    assert list(kept.listTimers()) == timers
+
+
 def test_joined_stretches():
     rng = random.Random(1)
     for _ in range(200):
