@@ -5,10 +5,13 @@ import random
 import subprocess
 import sys
 from collections import Counter
+from datetime import datetime, timedelta
 from pathlib import Path
 from types import SimpleNamespace
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -16,7 +19,10 @@ from pyspark.sql import functions as F
 from tideline.operators import joins as J
 from tideline.operators import state as S
 from tideline.operators import windows as W
+from tests.compare import compare
 from tideline.plans.traffic import VisitState
+from tideline.queries import ORACLES, QUERIES
+from tideline.session import STATE_STORE
 from tideline.streaming import keyed as K
 
 ORDER = ["time", "id"]
@@ -269,6 +275,48 @@ def test_packed_keeps_every_row(spark, tmp_path):
     assert all(list(zip(c["time"], c["id"])) == sorted(zip(c["time"], c["id"])) for c in chunks)
 
 
+def test_numbers_beside_nulls_are_exact(spark, tmp_path):
+    rows = [(i % 2, 7 + i if i % 3 else None, i, None, None if i % 5 == 1 else (1 << 60) + i) for i in range(40)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(2).write.parquet(f"{tmp_path}/in")
+    columns = [*ORDER, "kind", "value"]
+    chunks = K.packed(spark.read.parquet(f"{tmp_path}/in"), ["key"], ORDER, "0 seconds", masked=True).toPandas()
+    got = K.unpacked([chunks], columns).astype(object)
+    assert Counter(got.where(got.notna(), None).itertuples(index=False, name=None)) == Counter(r[1:] for r in rows)
+    # A chunk is as late as its newest row with a time.
+    assert sorted(chunks[K.CHUNK_TIME].dt.microsecond // 1000) == sorted(max(t) for t in (
+        [r[1] for r in half if r[0] == key and r[1]] for half in (rows[:20], rows[20:]) for key in (0, 1)))
+
+
+NULLED = ["out_changelog_stream"]
+
+
+@pytest.fixture(scope="module")
+def nulled(tmp_path_factory):
+    """Events of which some lack a time, a user, a kind, a value or the text that gives the channel; no time comes twice."""
+    rng, start, rows = random.Random(11), datetime(2024, 1, 1), []
+    for i in range(700):
+        at = start + timedelta(minutes=60 * i + rng.randrange(50), milliseconds=i)
+        kind = rng.choice(["view", "click", "purchase", "error", "signup"])
+        row = [at, i // 40 % 3 if i % 4 else 0, kind, rng.randrange(9000) / 100, '{"k": %d}' % rng.randrange(100)]
+        rows.append((i, *[None if rng.random() < 0.06 else x for x in row]))
+    rng.shuffle(rows)
+    names, kinds = ["event_id", "ts", "user_id", "event_type", "value", "props"], ["int64", pa.timestamp("us"), "int64", "string", "float64", "string"]
+    folder = tmp_path_factory.mktemp("nulled")
+    pq.write_table(pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names), folder / "events.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", NULLED)
+def test_rows_with_nulls_equal_sql(spark, nulled, name):
+    """With the store that a session has by default."""
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.unset(STATE_STORE)
+    try:
+        assert compare(spark, nulled, QUERIES[name], ORACLES[name]) == ""
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
 def test_fire_is_pure():
     slide = K.CountSlide(["k"], ORDER, [*ORDER, "v"], [], "firing", "", total, fire_every=3, keep_last=2)
     frame = pd.DataFrame({"time": range(8), "id": range(8), "v": range(8)})
