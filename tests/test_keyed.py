@@ -287,7 +287,7 @@ def test_numbers_beside_nulls_are_exact(spark, tmp_path):
         [r[1] for r in half if r[0] == key and r[1]] for half in (rows[:20], rows[20:]) for key in (0, 1)))
 
 
-NULLED = ["out_changelog_stream", "out_changelog_rows_stream", "running_sum_stream", "st_recovery", "running_count_stream", "st_pattern_ttl_stream", "st_value_ttl_stream", "st_timer_alert_stream", "st_timer_cancel_stream", "win_count_tumble_stream", "win_trigger_evict_stream", "win_marker_trigger_stream"]
+NULLED = ["out_changelog_stream", "out_changelog_rows_stream", "running_sum_stream", "st_recovery", "running_count_stream", "st_pattern_ttl_stream", "st_value_ttl_stream", "st_timer_alert_stream", "st_timer_cancel_stream", "win_count_tumble_stream", "win_trigger_evict_stream", "win_marker_trigger_stream", "join_temporal_stream"]
 
 
 @pytest.fixture(scope="module")
