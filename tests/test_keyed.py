@@ -265,6 +265,26 @@ def test_as_of_join_takes_late_versions(spark, tmp_path):
     assert state_rows(progress) <= 2 * 2 * len({r[0] for r in rows}) + 4
 
 
+def test_as_of_join_with_many_keys_is_few_states(spark, tmp_path):
+    """A call and a state per group of keys; versions are found again after more keys have come and pages were dealt anew."""
+    rng = random.Random(9)
+    rows = [(None if i % 50 == 7 else rng.randrange(20 + i), 3 * i, i, rng.choice("vcp"), i) for i in range(1800)]
+    parts = [rows[:100], rows[100:800], rows[800:]]
+
+    def sides(frame):
+        left = frame.where("kind <> 'v'").select("key", *ORDER, "kind")
+        return left, frame.where("kind = 'v'").select("key", F.col("time").alias("since"), F.col("id").alias("vid"), "value")
+
+    got, progress = run_parts(
+        spark, tmp_path, parts,
+        lambda s: K.as_of_join(*sides(s), ["key"], ORDER, ["since", "vid"], ["since", "value"], "0 seconds", parts=2, groups=4),
+    )
+    whole = J.as_of_join(*sides(spark.createDataFrame(rows, SCHEMA)), ["key"], ORDER, ["since", "vid"], ["since", "value"])
+    same(got, whole.select(got.columns))
+    keys = len({r[0] for r in rows if r[3] == "v"} - {None})
+    assert keys > 400 and state_rows(progress) < keys / 4
+
+
 def test_packed_keeps_every_row(spark, tmp_path):
     rows = made_rows(7, n=200) + [(None, 5, 10**6, None, None)]
     spark.createDataFrame(rows, SCHEMA).repartition(4).write.parquet(f"{tmp_path}/in")
